@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapewarden.config import PD_ALERTS_TOPIC, WASH_ALERTS_TOPIC
+from tapewarden.functions.costly import with_once
 from tapewarden.functions.timestamps import ISO_MESSAGE_FORMAT, parse_iso_timestamp
 from tapewarden.schema import PUMP_DUMP_ALERTS, WASH_ALERTS, KeyedTable
 
@@ -40,7 +41,7 @@ def decode_alerts(
 ) -> DataFrame:
     """Alert messages of one table as rows; the raw text stays in ``value``."""
     body = F.from_json(F.col("value"), _message_schema(table))
-    sent = messages.select("value", body.alias("_a")).select("value", "_a.*")
+    sent = with_once(messages.select("value"), "_a", body).select("value", "_a.*")
     return normalize_alerts(sent, table, received_at)
 
 

@@ -6,25 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapewarden.functions.pricing import guarded_ratio, price_change
-from tapewarden.operators.blocks import bounded_broadcast, trailing_totals
-
-
-def _same_columns_both_sides(df: DataFrame, numbers: tuple[str, ...]) -> DataFrame:
-    """An always-true condition over every aggregate of ``df``.
-
-    A frame joined with its own per-symbol totals is planned twice, and column
-    pruning would leave each side different aggregates, hence two scans of the
-    raw trades. With all columns in use on both sides the plans are equal and
-    Spark shuffles the trades once (ReusedExchange).
-    """
-    used = [F.coalesce(F.abs(F.col(n)).cast("double"), F.lit(0.0)) for n in numbers]
-    return df.filter(sum(used[1:], used[0]) >= 0)
-
-
-_WINDOW_NUMBERS = ("trade_count", "total_volume", "mean_volume", "std_volume")
-_BAR_NUMBERS = (
-    "open_price", "close_price", "high_price", "low_price", "total_volume", "trade_count",
-)
+from tapewarden.operators.blocks import bounded_broadcast, planned_alike, trailing_totals
 
 
 def volume_baseline(windows: DataFrame) -> DataFrame:
@@ -41,7 +23,7 @@ def with_zscores(windows: DataFrame, symbol_bound: int | None = None) -> DataFra
 
     0 where the symbol has one window or no spread.
     """
-    shared = _same_columns_both_sides(windows, _WINDOW_NUMBERS)
+    shared = planned_alike(windows)
     baseline = volume_baseline(shared).drop("window_count")
     spread = F.col("baseline_std")
     z_score = F.when(
@@ -62,7 +44,7 @@ def _with_ratio(bars: DataFrame) -> DataFrame:
 
 def with_leave_one_out(bars: DataFrame, symbol_bound: int | None = None) -> DataFrame:
     """Ratio to the mean volume of all *other* bars of the symbol; a lone bar's is its own."""
-    shared = _same_columns_both_sides(bars, _BAR_NUMBERS)
+    shared = planned_alike(bars)
     totals = shared.groupBy("symbol").agg(
         F.count("total_volume").alias("_n"), F.sum("total_volume").alias("_s")
     )
@@ -77,8 +59,7 @@ def with_leave_one_out(bars: DataFrame, symbol_bound: int | None = None) -> Data
 
 def with_trailing(bars: DataFrame) -> DataFrame:
     """Ratio to the mean volume of the *earlier* bars of the symbol; the first bar's is its own."""
-    shared = _same_columns_both_sides(bars, _BAR_NUMBERS)
-    totals = trailing_totals(shared, ["symbol"], "window_start", "total_volume")
+    totals = trailing_totals(bars, ["symbol"], "window_start", "total_volume")
     earlier = F.when(
         F.col("_prior_count") > 0, F.col("_prior_sum") / F.col("_prior_count")
     ).otherwise(F.col("total_volume"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapewarden.functions.timestamps import time_block
@@ -26,6 +26,22 @@ def bounded_broadcast(df: DataFrame, row_bound: int | None) -> DataFrame:
     return df
 
 
+def planned_alike(df: DataFrame) -> DataFrame:
+    """Keep all columns of an aggregate in use, so that two readers of it share one shuffle.
+
+    A frame joined with its own totals is planned twice. Column pruning would
+    leave each side other aggregates and hence two scans of the raw trades.
+    The condition is always true and mentions every column, so both sides stay
+    equal and Spark runs scan and partial aggregate once (ReusedExchange).
+    """
+    return df.filter(F.xxhash64(*df.columns) >= F.lit(-(2**63)))
+
+
+def block_number(time: Column, seconds: int) -> Column:
+    """Time block, never null: a null test on one side of a join would set its plan apart."""
+    return F.coalesce(time_block(time, seconds), F.lit(0))
+
+
 def spread_over_blocks(
     df: DataFrame, time: str, seconds: int, lookback: int = 0, lookahead: int = 0
 ) -> DataFrame:
@@ -54,7 +70,7 @@ def trailing_totals(
     only one row per key and block is ordered over the whole history.
     """
     key = [*by, "_block"]
-    blocked = df.withColumn("_block", time_block(F.col(time), seconds))
+    blocked = planned_alike(df).withColumn("_block", block_number(F.col(time), seconds))
     before = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         blocked.groupBy(*key)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapewarden.operators.blocks import DAY
+from tapewarden.operators.blocks import DAY, block_number, planned_alike
 from tapewarden.operators.trades import dedup_trades
 from tapewarden.functions.timestamps import time_block
 from tapewarden.schema import TRADE_KEY
@@ -29,7 +29,8 @@ def feed_gaps(
         trades.filter(F.col("event_time").isNotNull())
         .groupBy(*by, time_block(F.col("event_time"), gap_seconds).alias("_slot"))
         .agg(F.min("event_time").alias("_first"), F.max("event_time").alias("_last"))
-        .withColumn("_block", time_block(F.col("_first"), block_seconds))
+        .transform(planned_alike)
+        .withColumn("_block", block_number(F.col("_first"), block_seconds))
     )
     block = [*by, "_block"]
     in_block = Window.partitionBy(*block).orderBy("_slot")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapewarden.functions.costly import with_once
 from tapewarden.functions.timestamps import parse_iso_timestamp
 from tapewarden.functions.validation import parse_number, rejection_reason
 from tapewarden.schema import DEAD_LETTER_COLUMNS, TRADE_KEY
@@ -29,7 +30,7 @@ def clean_trades(trades: DataFrame, symbols: Sequence[str] | None) -> DataFrame:
 
 def validate_trades(trades: DataFrame, symbols: Sequence[str] | None) -> DataFrame:
     """Add ``rejection_reason``, null for a valid trade."""
-    return trades.withColumn("rejection_reason", rejection_reason(trades, symbols))
+    return with_once(trades, "rejection_reason", rejection_reason(trades, symbols))
 
 
 def valid_only(validated: DataFrame) -> DataFrame:

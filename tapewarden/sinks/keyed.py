@@ -150,3 +150,12 @@ def read_upserted(
         stored = stored.filter(F.col("event_date") <= until)
     newest = [F.desc("detected_at"), F.desc("batch_id"), F.desc("writer")]
     return last_wins(stored, table, newest).drop("writer", "batch_id")
+
+
+def compact(spark: SparkSession, root: str, new_root: str, table: KeyedTable) -> None:
+    """Copy a table to a new root as one batch: one row per key, few files.
+
+    Streams leave a folder per batch; run this now and then and point readers
+    and writers at the new root.
+    """
+    _write(read_upserted(spark, root, table), new_root, table, batch_id=0, writer="compacted")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapewarden.functions.costly import with_once
 from tapewarden.functions.timestamps import iso_text, parse_iso_timestamp
 from tapewarden.schema import EXCHANGE_EVENT, TRADE
 
@@ -19,7 +20,7 @@ def normalize_exchange_events(raw: DataFrame) -> DataFrame:
     exchange id the message hash is the id, so a replay gives the same one.
     """
     event = F.from_json(F.col("value").cast("string"), EXCHANGE_EVENT)
-    parsed = raw.withColumn("_e", event)
+    parsed = with_once(raw, "_e", event)
 
     def field(name: str):
         return F.coalesce(F.col(f"_e.data.{name}"), F.col(f"_e.{name}"))
@@ -43,8 +44,5 @@ def normalize_exchange_events(raw: DataFrame) -> DataFrame:
 def decode_trades(messages: DataFrame) -> DataFrame:
     """JSON trade messages as typed trades with ``event_time``."""
     trade = F.from_json(F.col("value").cast("string"), TRADE)
-    return (
-        messages.select(trade.alias("d"))
-        .select("d.*")
-        .withColumn("event_time", parse_iso_timestamp(F.col("timestamp")))
-    )
+    decoded = with_once(messages.select("value"), "_t", trade).select("_t.*")
+    return with_once(decoded, "event_time", parse_iso_timestamp(F.col("timestamp")))

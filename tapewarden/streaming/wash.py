@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tapewarden.config import DetectionConfig
 from tapewarden.operators.baselines import with_zscores
@@ -13,27 +18,54 @@ from tapewarden.operators.sweeps import wash_sweep
 from tapewarden.operators.trades import clean_trades
 from tapewarden.operators.windows import volume_windows
 from tapewarden.plans.wash import alerts_from_scored
-from tapewarden.schema import WASH_ALERTS, WASH_SENSITIVITY, KeyedTable
-from tapewarden.sinks.keyed import insert_ignore, read_inserted, upsert
+from tapewarden.schema import WASH_ALERTS, WASH_SENSITIVITY
+from tapewarden.sinks.keyed import insert_ignore, upsert
 from tapewarden.streaming.jobs import TRIGGER, each_nonempty, start
 
-# Closed windows of a stream, kept so that later windows are scored against them.
-WASH_WINDOWS = KeyedTable(
-    "wash_windows",
-    T.StructType(
-        [
-            T.StructField("window_start", T.TimestampType(), False),
-            T.StructField("window_end", T.TimestampType(), False),
-            T.StructField("symbol", T.StringType(), False),
-            T.StructField("trade_count", T.LongType()),
-            T.StructField("total_volume", T.DoubleType()),
-            T.StructField("mean_volume", T.DoubleType()),
-            T.StructField("std_volume", T.DoubleType()),
-        ]
-    ),
-    ("window_start", "window_end", "symbol"),
-    (),
-)
+_WINDOW_FIELDS = [
+    T.StructField("symbol", T.StringType()),
+    T.StructField("start_micros", T.LongType()),
+    T.StructField("end_micros", T.LongType()),
+    T.StructField("trade_count", T.LongType()),
+    T.StructField("total_volume", T.DoubleType()),
+    T.StructField("mean_volume", T.DoubleType()),
+    T.StructField("std_volume", T.DoubleType()),
+]
+_SCORED = T.StructType([*_WINDOW_FIELDS, T.StructField("z_score", T.DoubleType())])
+
+
+class RunningZScore(StatefulProcessor):
+    """Score closed windows against all windows of their symbol seen so far.
+
+    State is the count, mean and squared deviation of window volume, merged
+    batch by batch (Chan et al., 1979), so it does not grow with the history.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.stats = handle.getValueState("stats", "windows long, mean double, deviation double")
+
+    def handleInputRows(
+        self, key: tuple, rows: Iterator[pd.DataFrame], timerValues
+    ) -> Iterator[pd.DataFrame]:
+        windows = pd.concat(list(rows), ignore_index=True)
+        volume = windows["total_volume"].to_numpy(float)
+        seen, mean, deviation = self.stats.get() if self.stats.exists() else (0, 0.0, 0.0)
+        # Measured from the first value, so that equal volumes have no spread at all.
+        shifted = volume - volume[0]
+        own_mean = volume[0] + shifted.mean()
+        apart = own_mean - mean
+        total = seen + len(volume)
+        deviation += ((shifted - shifted.mean()) ** 2).sum()
+        deviation += apart**2 * seen * len(volume) / total
+        mean += apart * len(volume) / total
+        self.stats.update((int(total), float(mean), float(deviation)))
+        spread = math.sqrt(deviation / (total - 1)) if total > 1 else 0.0
+        yield windows.assign(
+            symbol=key[0], z_score=(volume - mean) / spread if spread > 0 else 0.0
+        )[_SCORED.names]
+
+    def close(self) -> None:
+        pass
 
 
 def window_stream(trades: DataFrame, config: DetectionConfig, delay: str | None) -> DataFrame:
@@ -49,19 +81,30 @@ def window_stream(trades: DataFrame, config: DetectionConfig, delay: str | None)
     return volume_windows(clean, config.wash_window)
 
 
-def _publish(
-    scored: DataFrame,
-    root: str,
-    config: DetectionConfig,
-    batch_id: int,
-    writer: str,
-    detected_at: Column | None,
-) -> None:
-    alerts = alerts_from_scored(scored, config.wash_threshold, detected_at)
-    insert_ignore(alerts, root, WASH_ALERTS, batch_id, writer)
-    upsert(
-        wash_sweep(scored, config.wash_grid, detected_at), root, WASH_SENSITIVITY, batch_id, writer
+def scored_window_stream(windows: DataFrame) -> DataFrame:
+    """Closed windows with the z-score they had when they closed."""
+    scored = (
+        windows.withColumns(
+            {
+                "start_micros": F.unix_micros("window_start"),
+                "end_micros": F.unix_micros("window_end"),
+            }
+        )
+        .select(*[field.name for field in _WINDOW_FIELDS])
+        .groupBy("symbol")
+        .transformWithStateInPandas(
+            statefulProcessor=RunningZScore(),
+            outputStructType=_SCORED,
+            outputMode="Append",
+            timeMode="None",
+        )
     )
+    return scored.withColumns(
+        {
+            "window_start": F.timestamp_micros("start_micros"),
+            "window_end": F.timestamp_micros("end_micros"),
+        }
+    ).drop("start_micros", "end_micros")
 
 
 def start_wash_detector(
@@ -77,29 +120,26 @@ def start_wash_detector(
 ) -> StreamingQuery:
     """Write wash alerts (first wins) and sweep rows (last wins) under ``root``.
 
-    Default: append mode. Each closed window is kept in the ``wash_windows``
-    table and scored once against all closed windows so far; streaming state
-    holds open windows only. ``complete=True`` re-scores every window at every
-    trigger, windows still open included in no alert; its state grows with the
-    history.
+    Default: append mode; each window is scored once, when it closes, against
+    the running statistics of its symbol. ``complete=True`` scores all closed
+    windows again at every trigger, so sweep rows follow the whole history;
+    its state keeps every window.
     """
-    key = list(WASH_WINDOWS.key)
 
-    def on_closed(batch: DataFrame, batch_id: int) -> None:
-        insert_ignore(batch, root, WASH_WINDOWS, batch_id, writer, order=("window_end",))
-        history = read_inserted(batch.sparkSession, root, WASH_WINDOWS)
-        scored = with_zscores(history, config.symbol_bound).join(
-            batch.select(*key), key, "left_semi"
-        )
-        _publish(scored, root, config, batch_id, writer, detected_at)
+    def publish(scored: DataFrame, batch_id: int) -> None:
+        alerts = alerts_from_scored(scored, config.wash_threshold, detected_at)
+        insert_ignore(alerts, root, WASH_ALERTS, batch_id, writer)
+        sweep = wash_sweep(scored, config.wash_grid, detected_at)
+        upsert(sweep, root, WASH_SENSITIVITY, batch_id, writer)
 
-    def on_complete(batch: DataFrame, batch_id: int) -> None:
+    def rescore(windows: DataFrame, batch_id: int) -> None:
         # The newest window of the feed is still filling.
-        horizon = batch.agg(F.max("window_start").alias("open_from")).first().open_from
-        closed = batch.filter(F.col("window_end") <= F.lit(horizon))
-        scored = with_zscores(closed, config.symbol_bound)
-        _publish(scored, root, config, batch_id, writer, detected_at)
+        horizon = windows.agg(F.max("window_start").alias("open_from")).first().open_from
+        closed = windows.filter(F.col("window_end") <= F.lit(horizon))
+        publish(with_zscores(closed, config.symbol_bound), batch_id)
 
     windows = window_stream(trades, config, None if complete else delay)
-    handle = each_nonempty(on_complete if complete else on_closed)
-    return start(windows, handle, checkpoint, "complete" if complete else "append", trigger, writer)
+    if complete:
+        return start(windows, each_nonempty(rescore), checkpoint, "complete", trigger, writer)
+    scored = scored_window_stream(windows)
+    return start(scored, each_nonempty(publish), checkpoint, "append", trigger, writer)
