@@ -10,7 +10,7 @@ from tapewarden.catalog.sample import CONFIG, checked, with_ctes
 from tapewarden.config import PD_ALERTS_TOPIC, WASH_ALERTS_TOPIC
 from tapewarden.operators.alerts import all_alerts
 from tapewarden.operators.sequences import flagged_at
-from tapewarden.schema import PUMP_DUMP_ALERTS, WASH_ALERTS, WASH_SENSITIVITY
+from tapewarden.schema import PD_SENSITIVITY, PUMP_DUMP_ALERTS, WASH_ALERTS, WASH_SENSITIVITY
 from tapewarden.sinks.keyed import read_inserted, read_upserted
 from tapewarden.sinks.messages import encode_trades, write_messages
 from tapewarden.sources.streams import alert_message_stream, trade_message_stream
@@ -126,8 +126,7 @@ def stream_ohlcv_append(spark, folder):
     return _through_files(spark, bars, root)
 
 
-@checked
-def stream_pump_dump(spark, folder):
+def _pump_dump_tables(spark, folder):
     root = workspace(spark, "pump-dump")
     _drain(
         start_pump_dump_detector(
@@ -140,7 +139,19 @@ def stream_pump_dump(spark, folder):
             detected_at=F.col("window_end"),
         )
     )
-    return read_inserted(spark, f"{root}/tables", PUMP_DUMP_ALERTS).drop("event_date")
+    return f"{root}/tables"
+
+
+@checked
+def stream_pump_dump(spark, folder):
+    root = _pump_dump_tables(spark, folder)
+    return read_inserted(spark, root, PUMP_DUMP_ALERTS).drop("event_date")
+
+
+@checked
+def stream_pd_sweep(spark, folder):
+    root = _pump_dump_tables(spark, folder)
+    return read_upserted(spark, root, PD_SENSITIVITY).drop("event_date")
 
 
 @checked
@@ -214,6 +225,7 @@ QUERIES = {
     "stream_sweep": stream_sweep,
     "stream_ohlcv_append": stream_ohlcv_append,
     "stream_pump_dump": stream_pump_dump,
+    "stream_pd_sweep": stream_pd_sweep,
     "stream_dedup": stream_dedup,
     "stream_validate": stream_validate,
     "stream_alert_persist": stream_alert_persist,
@@ -269,6 +281,9 @@ ORACLES = {
         _CLOSED_BARS + sample.TRAILING + sample.phase_sql("rated") + sample.PUMP_DUMP,
         "SELECT * FROM pump_dump",
     ),
+    "stream_pd_sweep": with_ctes(
+        _CLOSED_BARS + sample.TRAILING + sample.FULL_SWEEP, "SELECT * FROM sweep"
+    ),
     "stream_dedup": ingestion.ORACLES["json_decode_trades"],
     "stream_validate": ingestion.ORACLES["validate_trades"],
     "stream_alert_persist": alerting.ORACLES["all_alerts"],

@@ -61,15 +61,18 @@ def new_trades(
 ) -> DataFrame:
     """Fetched trades inside the bounds that were not seen, each once.
 
-    ``seen`` is pruned to its key. It may be as long as the history, so it is
-    shuffled and never broadcast by force.
+    ``seen`` may be the whole history, a back-fill is small next to it. The
+    semi join first cuts the history to keys that were fetched: when those are
+    small enough Spark broadcasts them and the history is not shuffled.
     """
     inside = fetched
     if start is not None:
         inside = inside.filter(F.col("event_time") >= start)
     if end is not None:
         inside = inside.filter(F.col("event_time") <= end)
-    return dedup_trades(inside).join(seen.select(*TRADE_KEY), list(TRADE_KEY), "left_anti")
+    key = list(TRADE_KEY)
+    known = seen.select(*key).join(inside.select(*key), key, "left_semi")
+    return dedup_trades(inside).join(known, key, "left_anti")
 
 
 def trades_in_gaps(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,19 @@ def encode_alerts(alerts: DataFrame, topic: str) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class MessageTarget:
+    """Where messages go: a broker (``kafka`` and its options) or message files."""
+
+    fmt: str
+    options: Mapping[str, str] = field(default_factory=dict)
+    path: str | None = None
+
+    def publish(self, alerts: DataFrame, topic: str) -> None:
+        """Send alerts; a replayed batch sends them again, which keyed tables absorb."""
+        write_messages(encode_alerts(alerts, topic), self.fmt, self.options, self.path)
+
+
 def write_messages(
     messages: DataFrame, fmt: str, options: Mapping[str, str], path: str | None = None
 ) -> None:

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tapewarden.config import DetectionConfig, interval_seconds
-from tapewarden.functions.pricing import percent
+from tapewarden.config import PD_ALERTS_TOPIC, DetectionConfig, interval_seconds
+from tapewarden.functions.pricing import percent, price_change
 from tapewarden.functions.severity import pump_dump_severity
 from tapewarden.operators.sweeps import pump_dump_sweep
 from tapewarden.operators.trades import clean_trades
@@ -21,16 +21,25 @@ from tapewarden.operators.windows import ohlcv_bars
 from tapewarden.plans.pump_dump import alerts_from_bars, rated_bars
 from tapewarden.schema import PD_SENSITIVITY, PUMP_DUMP_ALERTS
 from tapewarden.sinks.keyed import insert_ignore, upsert
+from tapewarden.sinks.messages import MessageTarget
 from tapewarden.streaming.jobs import TRIGGER, each_nonempty, start
 
-_MATCH = T.StructType(
+_BAR_FIELDS = [
+    T.StructField("symbol", T.StringType()),
+    T.StructField("start_micros", T.LongType()),
+    T.StructField("end_micros", T.LongType()),
+    T.StructField("open_price", T.DoubleType()),
+    T.StructField("close_price", T.DoubleType()),
+    T.StructField("total_volume", T.DoubleType()),
+]
+# ``matched`` bars are DUMPs that end a PUMP, which began at ``pump_micros``.
+_RATED = T.StructType(
     [
-        T.StructField("symbol", T.StringType()),
+        *_BAR_FIELDS,
+        T.StructField("volume_ratio", T.DoubleType()),
+        T.StructField("matched", T.BooleanType()),
         T.StructField("pump_micros", T.LongType()),
-        T.StructField("dump_micros", T.LongType()),
         T.StructField("pump_change", T.DoubleType()),
-        T.StructField("dump_change", T.DoubleType()),
-        T.StructField("ratio", T.DoubleType()),
     ]
 )
 
@@ -78,36 +87,36 @@ class PumpDumpProcessor(StatefulProcessor):
         loud = ratio >= self.config.volume_ratio
         is_pump = loud & (change >= self.config.pump_threshold)
         is_dump = loud & (change <= self.config.dump_threshold)
+        matched = np.zeros(len(bars), bool)
+        pump_micros = np.zeros(len(bars), np.int64)
+        pump_change = np.zeros(len(bars))
         marked = np.flatnonzero(is_pump | is_dump)
-        if not len(marked):
-            return
-        # The previous marked bar: inside the batch, or the open PUMP in state.
-        before = np.concatenate(([-1], marked[:-1]))
-        pump_at, pump_change = at[before].copy(), change[before].copy()
-        from_pump = is_pump[before] & (before >= 0)
-        if self.pump.exists():
-            start_micros, kept_change, timer = self.pump.get()
-            pump_at[0], pump_change[0], from_pump[0] = start_micros, kept_change, True
-            self.handle.deleteTimer(timer)
-            self.pump.clear()
-        hit = is_dump[marked] & from_pump & (at[marked] - pump_at <= self.pair_micros)
-        last = marked[-1]
-        if is_pump[last]:
-            timer = int((at[last] + 2 * self.pair_micros) // 1000)
-            self.pump.update((int(at[last]), float(change[last]), timer))
-            self.handle.registerTimer(timer)
-        if hit.any():
-            dumps = marked[hit]
-            yield pd.DataFrame(
-                {
-                    "symbol": key[0],
-                    "pump_micros": pump_at[hit],
-                    "dump_micros": at[dumps],
-                    "pump_change": pump_change[hit],
-                    "dump_change": change[dumps],
-                    "ratio": ratio[dumps],
-                }
+        if len(marked):
+            # The previous marked bar: inside the batch, or the open PUMP in state.
+            before = np.concatenate(([-1], marked[:-1]))
+            started, rise = at[before].copy(), change[before].copy()
+            from_pump = is_pump[before] & (before >= 0)
+            if self.pump.exists():
+                kept_start, kept_rise, timer = self.pump.get()
+                started[0], rise[0], from_pump[0] = kept_start, kept_rise, True
+                self.handle.deleteTimer(timer)
+                self.pump.clear()
+            matched[marked] = (
+                is_dump[marked] & from_pump & (at[marked] - started <= self.pair_micros)
             )
+            pump_micros[marked], pump_change[marked] = started, rise
+            last = marked[-1]
+            if is_pump[last]:
+                timer = int((at[last] + 2 * self.pair_micros) // 1000)
+                self.pump.update((int(at[last]), float(change[last]), timer))
+                self.handle.registerTimer(timer)
+        yield bars.assign(
+            symbol=key[0],
+            volume_ratio=ratio,
+            matched=matched,
+            pump_micros=pump_micros,
+            pump_change=pump_change,
+        )[_RATED.names]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.pump.exists():
@@ -127,43 +136,50 @@ def bar_stream(trades: DataFrame, config: DetectionConfig, delay: str | None) ->
     return ohlcv_bars(clean, config.bar_width, keep_event_time=delay is not None)
 
 
-def pump_dump_alert_stream(bars: DataFrame, config: DetectionConfig) -> DataFrame:
-    """Alerts of a stream of closed bars, each rated by its trailing baseline."""
-    slim = bars.select(
-        "symbol",
-        F.unix_micros("window_start").alias("start_micros"),
-        "open_price",
-        "close_price",
-        "total_volume",
-        "event_time",
-    )
-    matches = slim.groupBy("symbol").transformWithStateInPandas(
-        statefulProcessor=PumpDumpProcessor(config),
-        outputStructType=_MATCH,
-        outputMode="Append",
-        timeMode="EventTime",
+def rated_bar_stream(bars: DataFrame, config: DetectionConfig) -> DataFrame:
+    """Closed bars rated by their trailing baseline, DUMPs matched to their PUMP."""
+    rated = (
+        bars.withColumns(
+            {
+                "start_micros": F.unix_micros("window_start"),
+                "end_micros": F.unix_micros("window_end"),
+            }
+        )
+        .select(*[field.name for field in _BAR_FIELDS], "event_time")
+        .groupBy("symbol")
+        .transformWithStateInPandas(
+            statefulProcessor=PumpDumpProcessor(config),
+            outputStructType=_RATED,
+            outputMode="Append",
+            timeMode="EventTime",
+        )
     )
-    dump_pct = percent(F.col("dump_change"), 4)
-    return matches.select(
+    return rated.withColumns(
+        {
+            "window_start": F.timestamp_micros("start_micros"),
+            "window_end": F.timestamp_micros("end_micros"),
+            "price_change": price_change(F.col("open_price"), F.col("close_price")),
+        }
+    ).drop("start_micros", "end_micros")
+
+
+def alerts_of_matched(rated: DataFrame, config: DetectionConfig) -> DataFrame:
+    """Alert rows of the matched bars."""
+    dump_pct = percent(F.col("price_change"), 4)
+    return rated.filter("matched").select(
         F.timestamp_micros("pump_micros").alias("window_start"),
-        F.timestamp_micros("dump_micros").alias("window_end"),
+        F.col("window_start").alias("window_end"),
         "symbol",
         F.lit("DUMP").alias("phase"),
         percent(F.col("pump_change"), 4).alias("pump_price_chg_pct"),
         dump_pct.alias("dump_price_chg_pct"),
         dump_pct.alias("price_change_pct"),
-        F.round("ratio", 4).alias("volume_ratio"),
-        pump_dump_severity(F.col("dump_change"), config.dump_threshold).alias("severity"),
+        F.round("volume_ratio", 4).alias("volume_ratio"),
+        pump_dump_severity(F.col("price_change"), config.dump_threshold).alias("severity"),
         F.lit("PUMP_DUMP").alias("alert_type"),
     )
 
 
-def _stamped(alerts: DataFrame, detected_at: Column | None) -> DataFrame:
-    return alerts.withColumn(
-        "detected_at", F.current_timestamp() if detected_at is None else detected_at
-    )
-
-
 def start_pump_dump_detector(
     trades: DataFrame,
     config: DetectionConfig,
@@ -173,14 +189,24 @@ def start_pump_dump_detector(
     trigger: str | None = TRIGGER,
     writer: str = "pump-dump",
     detected_at: Column | None = None,
+    target: MessageTarget | None = None,
 ) -> StreamingQuery:
-    """Write pump-and-dump alerts (first wins) under ``root`` as bars close."""
-    alerts = pump_dump_alert_stream(bar_stream(trades, config, delay), config)
+    """Write pump-and-dump alerts (first wins) and sweep rows (last wins) as bars close.
+
+    Alerts are also published to ``target``.
+    """
+    seen = F.current_timestamp() if detected_at is None else detected_at
 
-    def on_alerts(batch: DataFrame, batch_id: int) -> None:
-        insert_ignore(_stamped(batch, detected_at), root, PUMP_DUMP_ALERTS, batch_id, writer)
+    def publish(rated: DataFrame, batch_id: int) -> None:
+        alerts = alerts_of_matched(rated, config).withColumn("detected_at", seen)
+        insert_ignore(alerts, root, PUMP_DUMP_ALERTS, batch_id, writer)
+        if target is not None:
+            target.publish(alerts, PD_ALERTS_TOPIC)
+        sweep = pump_dump_sweep(rated, config.pd_grid, detected_at)
+        upsert(sweep, root, PD_SENSITIVITY, batch_id, writer)
 
-    return start(alerts, each_nonempty(on_alerts), checkpoint, "append", trigger, writer)
+    rated = rated_bar_stream(bar_stream(trades, config, delay), config)
+    return start(rated, each_nonempty(publish), checkpoint, "append", trigger, writer)
 
 
 def start_bar_rescoring(

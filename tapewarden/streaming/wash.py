@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tapewarden.config import DetectionConfig
+from tapewarden.config import WASH_ALERTS_TOPIC, DetectionConfig
 from tapewarden.operators.baselines import with_zscores
 from tapewarden.operators.sweeps import wash_sweep
 from tapewarden.operators.trades import clean_trades
@@ -20,6 +20,7 @@ from tapewarden.operators.windows import volume_windows
 from tapewarden.plans.wash import alerts_from_scored
 from tapewarden.schema import WASH_ALERTS, WASH_SENSITIVITY
 from tapewarden.sinks.keyed import insert_ignore, upsert
+from tapewarden.sinks.messages import MessageTarget
 from tapewarden.streaming.jobs import TRIGGER, each_nonempty, start
 
 _WINDOW_FIELDS = [
@@ -117,18 +118,21 @@ def start_wash_detector(
     trigger: str | None = TRIGGER,
     writer: str = "wash",
     detected_at: Column | None = None,
+    target: MessageTarget | None = None,
 ) -> StreamingQuery:
     """Write wash alerts (first wins) and sweep rows (last wins) under ``root``.
 
     Default: append mode; each window is scored once, when it closes, against
     the running statistics of its symbol. ``complete=True`` scores all closed
     windows again at every trigger, so sweep rows follow the whole history;
-    its state keeps every window.
+    its state keeps every window. Alerts are also published to ``target``.
     """
 
     def publish(scored: DataFrame, batch_id: int) -> None:
         alerts = alerts_from_scored(scored, config.wash_threshold, detected_at)
         insert_ignore(alerts, root, WASH_ALERTS, batch_id, writer)
+        if target is not None:
+            target.publish(alerts, WASH_ALERTS_TOPIC)
         sweep = wash_sweep(scored, config.wash_grid, detected_at)
         upsert(sweep, root, WASH_SENSITIVITY, batch_id, writer)
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tapewarden import DetectionConfig
 from tapewarden.operators.windows import ohlcv_bars, volume_windows
-from tapewarden.plans.pump_dump import alerts_from_bars, pump_dump_sweep_rows
+from tapewarden.operators.sweeps import pump_dump_sweep
+from tapewarden.plans.pump_dump import alerts_from_bars, pump_dump_sweep_rows, rated_bars
 from tapewarden.plans.wash import alerts_from_scored, scored_windows
 from tapewarden.schema import (
     PD_SENSITIVITY,
@@ -20,7 +21,7 @@ from tapewarden.schema import (
     WASH_SENSITIVITY,
 )
 from tapewarden.sinks.keyed import read_inserted, read_upserted
-from tapewarden.sinks.messages import encode_alerts, write_messages
+from tapewarden.sinks.messages import MessageTarget, encode_alerts, write_messages
 from tapewarden.sources.streams import alert_message_stream
 from tapewarden.streaming.ingest import dedup_stream
 from tapewarden.streaming.jobs import start_files, stream_session
@@ -306,3 +307,38 @@ def test_counters_follow_a_stream(spark, session, tmp_path):
     assert counters.totals["feed", "input_rows"] == len(trades)
     assert counters.totals["feed", "rows"] == len(trades)
     assert counters.totals["feed", "errors"] == 0
+
+
+def test_detector_publishes_and_persister_stores(spark, session, tmp_path):
+    """Trades to alert messages to the alert table, as two separate jobs."""
+    trades = random_trades(11)
+    write_parts(spark, tmp_path / "in", trades, 2)
+    target = MessageTarget("json", {}, f"{tmp_path}/topics")
+    start_wash_detector(
+        trade_stream(session, tmp_path / "in"), CONFIG, f"{tmp_path}/own", f"{tmp_path}/c1",
+        trigger=None, detected_at=F.col("window_end"), target=target,
+    ).awaitTermination()
+    start_pump_dump_detector(
+        trade_stream(session, tmp_path / "in"), CONFIG, f"{tmp_path}/own", f"{tmp_path}/c2",
+        trigger=None, detected_at=F.col("window_end"), target=target,
+    ).awaitTermination()
+    messages = alert_message_stream(session, "json", {"path": f"{tmp_path}/topics"})
+    start_alert_persister(messages, f"{tmp_path}/t", f"{tmp_path}/c3", trigger=None).awaitTermination()
+    for table in (WASH_ALERTS, PUMP_DUMP_ALERTS):
+        stored = read_inserted(spark, f"{tmp_path}/t", table)
+        own = read_inserted(spark, f"{tmp_path}/own", table)
+        assert stored.count() > 0
+        assert rows_of(stored, *table.schema.names) == rows_of(own, *table.schema.names)
+
+
+def test_live_pump_dump_sweep_equals_batch(spark, session, tmp_path):
+    trades = random_trades(12)
+    write_parts(spark, tmp_path / "in", trades, 3)
+    detector(spark, session, tmp_path).awaitTermination()
+    bars = closed(
+        ohlcv_bars(spark.createDataFrame(trades, SCHEMA), CONFIG.bar_width), 30, trades[-1][3]
+    )
+    still = pump_dump_sweep(rated_bars(bars, CONFIG, "trailing"), CONFIG.pd_grid)
+    got = read_upserted(spark, f"{tmp_path}/t", PD_SENSITIVITY)
+    names = [n for n in PD_SENSITIVITY.schema.names if n != "detected_at"]
+    assert rows_of(got, *names) == rows_of(still, *names)
