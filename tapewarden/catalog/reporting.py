@@ -8,6 +8,7 @@ from tapewarden.catalog import sample
 from tapewarden.catalog.sample import AS_OF, CONFIG, checked, with_ctes
 from tapewarden.operators import alerts as A
 from tapewarden.operators import reports as R
+from tapewarden.plans.report import build_report
 
 
 
@@ -82,7 +83,31 @@ def pump_dump_points(spark, folder):
     return R.pair_points(sample.pairs(spark, folder))
 
 
+def _filtered(spark, folder):
+    """Report of one symbol over the last fortnight, all panels on the same two inputs."""
+    return build_report(
+        sample.wash(spark, folder),
+        sample.report_sweep(spark, folder),
+        CONFIG,
+        symbol="purchase",
+        lookback_minutes=20_160,
+        as_of=F.lit(AS_OF).cast("timestamp"),
+    ).panels()
+
+
+@checked
+def report_overview(spark, folder):
+    return _filtered(spark, folder)["overview"]
+
+
+@checked
+def report_timeline(spark, folder):
+    return _filtered(spark, folder)["timeline"]
+
+
 QUERIES = {
+    "report_overview": report_overview,
+    "report_timeline": report_timeline,
     "severity_breakdown": severity_breakdown,
     "avg_zscore_by_symbol": avg_zscore_by_symbol,
     "alert_overview": alert_overview,
@@ -107,6 +132,22 @@ labelled AS (
 _SINCE = f"TIMESTAMP '{AS_OF}' - INTERVAL 14 DAYS"
 _DIMENSION = ", ".join(f"('{s}')" for s in (*CONFIG.symbols, "quiet"))
 
+_FILTERED = (
+    sample.TRADES + sample.WINDOWS + sample.SCORED + sample.WASH.replace("wash AS", "every_wash AS")
+    + sample.BARS + sample.TRAILING + sample.REPORT_SWEEP.replace("sweep AS", "every_sweep AS")
+    + f""",
+sweep AS (SELECT * FROM every_sweep WHERE window_start >= {_SINCE})"""
+    + sample.PAIRS.replace("pairs AS", "every_pair AS")
+    + f""",
+wash AS (
+  SELECT * REPLACE (detected_at + INTERVAL 330 MINUTES AS detected_at) FROM every_wash
+  WHERE symbol = 'purchase' AND detected_at >= {_SINCE}),
+pairs AS (SELECT * FROM every_pair WHERE symbol = 'purchase' ORDER BY pump_start DESC LIMIT 500),
+labelled AS (
+  SELECT 'wash' AS kind, symbol, severity FROM wash
+  UNION ALL SELECT 'pump_dump', symbol, severity FROM pairs)"""
+)
+
 ORACLES = {
     "severity_breakdown": with_ctes(
         _LABELLED, "SELECT alert_type, severity, count(*) AS alerts FROM labelled GROUP BY 1, 2"
@@ -122,6 +163,19 @@ ORACLES = {
         "count(*) FILTER (WHERE severity = 'CRITICAL') AS critical_alerts, "
         "count(DISTINCT symbol) AS symbols_flagged FROM labelled",
     ),
+    "report_overview": with_ctes(
+        _FILTERED,
+        "SELECT count(*) AS total_alerts, count(*) FILTER (WHERE kind = 'wash') AS wash_alerts, "
+        "count(*) FILTER (WHERE kind = 'pump_dump') AS pump_dump_alerts, "
+        "count(*) FILTER (WHERE severity = 'CRITICAL') AS critical_alerts, "
+        "count(DISTINCT symbol) AS symbols_flagged FROM labelled",
+    ),
+    "report_timeline": with_ctes(
+        _FILTERED,
+        "SELECT date_trunc('minute', placed_at) AS minute, alert_type, count(*) AS alerts FROM ("
+        "SELECT detected_at AS placed_at, 'Wash Trade' AS alert_type FROM wash UNION ALL "
+        "SELECT window_start, 'Pump & Dump' FROM pairs) GROUP BY 1, 2",
+    ),
     "alert_timeline": with_ctes(
         sample.REPORT_PATH,
         "SELECT date_trunc('minute', placed_at) AS minute, alert_type, count(*) AS alerts FROM ("

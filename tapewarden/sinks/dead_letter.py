@@ -7,10 +7,16 @@ from pyspark.sql import DataFrame
 from tapewarden.schema import DEAD_LETTER_COLUMNS
 
 
-def write_dead_letters(rejected: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Append rejected rows; a batch of a stream replaces its own folder, so replays add nothing."""
+def write_dead_letters(
+    rejected: DataFrame, path: str, batch_id: int | None = None, writer: str = "main"
+) -> None:
+    """Append rejected rows.
+
+    A batch of a stream replaces its own folder, so a replay adds nothing.
+    """
     rows = rejected.select(*DEAD_LETTER_COLUMNS)
     if batch_id is None:
         rows.write.mode("append").option("header", True).csv(path)
     else:
-        rows.write.mode("overwrite").option("header", True).csv(f"{path}/batch_id={batch_id}")
+        folder = f"{path}/writer={writer}/batch_id={batch_id}"
+        rows.write.mode("overwrite").option("header", True).csv(folder)

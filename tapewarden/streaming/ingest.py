@@ -29,6 +29,7 @@ def start_validation(
     checkpoint: str,
     trigger: str | None = TRIGGER,
     rejected_at: Column | None = None,
+    writer: str = "validation",
 ) -> StreamingQuery:
     """Validate once per batch; valid trades to parquet, rejects to CSV.
 
@@ -36,12 +37,13 @@ def start_validation(
     """
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        valid_only(batch).write.mode("overwrite").parquet(f"{valid_path}/batch_id={batch_id}")
-        write_dead_letters(rejected_only(batch, rejected_at), rejected_path, batch_id)
+        own = f"{valid_path}/writer={writer}/batch_id={batch_id}"
+        valid_only(batch).write.mode("overwrite").parquet(own)
+        write_dead_letters(rejected_only(batch, rejected_at), rejected_path, batch_id, writer)
 
     checked = validate_trades(trades, symbols).observe(
         "validation",
         F.count(F.lit(1)).alias("trades"),
         F.count("rejection_reason").alias("rejected"),
     )
-    return start(checked, each_nonempty(split), checkpoint, "append", trigger)
+    return start(checked, each_nonempty(split), checkpoint, "append", trigger, writer)

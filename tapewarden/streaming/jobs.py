@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 TRIGGER = "15 seconds"
@@ -67,6 +69,11 @@ def _go(writer, trigger: str | None, name: str | None) -> StreamingQuery:
     return writer.trigger(**due).start()
 
 
+def batch_time(detected_at: Column | None) -> Column:
+    """Detection time of a batch: one value for all its outputs."""
+    return F.lit(datetime.now(timezone.utc)) if detected_at is None else detected_at
+
+
 def each_nonempty(handle: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """Persist the batch for several outputs, skip it when empty, always release it."""
 

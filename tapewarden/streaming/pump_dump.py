@@ -22,7 +22,7 @@ from tapewarden.plans.pump_dump import alerts_from_bars, rated_bars
 from tapewarden.schema import PD_SENSITIVITY, PUMP_DUMP_ALERTS
 from tapewarden.sinks.keyed import insert_ignore, upsert
 from tapewarden.sinks.messages import MessageTarget
-from tapewarden.streaming.jobs import TRIGGER, each_nonempty, start
+from tapewarden.streaming.jobs import TRIGGER, batch_time, each_nonempty, start
 
 _BAR_FIELDS = [
     T.StructField("symbol", T.StringType()),
@@ -195,14 +195,14 @@ def start_pump_dump_detector(
 
     Alerts are also published to ``target``.
     """
-    seen = F.current_timestamp() if detected_at is None else detected_at
 
     def publish(rated: DataFrame, batch_id: int) -> None:
+        seen = batch_time(detected_at)
         alerts = alerts_of_matched(rated, config).withColumn("detected_at", seen)
         insert_ignore(alerts, root, PUMP_DUMP_ALERTS, batch_id, writer)
         if target is not None:
             target.publish(alerts, PD_ALERTS_TOPIC)
-        sweep = pump_dump_sweep(rated, config.pd_grid, detected_at)
+        sweep = pump_dump_sweep(rated, config.pd_grid, seen)
         upsert(sweep, root, PD_SENSITIVITY, batch_id, writer)
 
     rated = rated_bar_stream(bar_stream(trades, config, delay), config)
@@ -218,6 +218,7 @@ def start_bar_rescoring(
     writer: str = "pump-dump-rescore",
     baseline: str = "leave_one_out",
     detected_at: Column | None = None,
+    target: MessageTarget | None = None,
 ) -> StreamingQuery:
     """Complete mode: alerts and sweep rows of all closed bars at every trigger.
 
@@ -229,9 +230,12 @@ def start_bar_rescoring(
         # The newest bar of the feed is still filling.
         horizon = batch.agg(F.max("window_start").alias("open_from")).first().open_from
         closed = batch.filter(F.col("window_end") <= F.lit(horizon))
-        alerts = alerts_from_bars(closed, config, baseline, detected_at)
+        seen = batch_time(detected_at)
+        alerts = alerts_from_bars(closed, config, baseline, seen)
         insert_ignore(alerts, root, PUMP_DUMP_ALERTS, batch_id, writer)
-        sweep = pump_dump_sweep(rated_bars(closed, config, "trailing"), config.pd_grid, detected_at)
+        if target is not None:
+            target.publish(alerts, PD_ALERTS_TOPIC)
+        sweep = pump_dump_sweep(rated_bars(closed, config, "trailing"), config.pd_grid, seen)
         upsert(sweep, root, PD_SENSITIVITY, batch_id, writer)
 
     bars = bar_stream(trades, config, None)

@@ -21,7 +21,7 @@ from tapewarden.plans.wash import alerts_from_scored
 from tapewarden.schema import WASH_ALERTS, WASH_SENSITIVITY
 from tapewarden.sinks.keyed import insert_ignore, upsert
 from tapewarden.sinks.messages import MessageTarget
-from tapewarden.streaming.jobs import TRIGGER, each_nonempty, start
+from tapewarden.streaming.jobs import TRIGGER, batch_time, each_nonempty, start
 
 _WINDOW_FIELDS = [
     T.StructField("symbol", T.StringType()),
@@ -129,11 +129,12 @@ def start_wash_detector(
     """
 
     def publish(scored: DataFrame, batch_id: int) -> None:
-        alerts = alerts_from_scored(scored, config.wash_threshold, detected_at)
+        seen = batch_time(detected_at)
+        alerts = alerts_from_scored(scored, config.wash_threshold, seen)
         insert_ignore(alerts, root, WASH_ALERTS, batch_id, writer)
         if target is not None:
             target.publish(alerts, WASH_ALERTS_TOPIC)
-        sweep = wash_sweep(scored, config.wash_grid, detected_at)
+        sweep = wash_sweep(scored, config.wash_grid, seen)
         upsert(sweep, root, WASH_SENSITIVITY, batch_id, writer)
 
     def rescore(windows: DataFrame, batch_id: int) -> None:
