@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tapewarden.catalog import sample
 from tapewarden.catalog.sample import AS_OF, CONFIG, checked, with_ctes
 from tapewarden.config import PD_ALERTS_TOPIC, WASH_ALERTS_TOPIC
+from tapewarden.functions.costly import with_once
 from tapewarden.functions.timestamps import iso_text
 from tapewarden.operators.gaps import feed_gaps, new_trades
 from tapewarden.operators.trades import (
@@ -30,7 +31,8 @@ def spoiled_trades(events):
     The given tables hold no malformed trades; the low values of ``k`` stand
     for one kind of damage (or one time format) each.
     """
-    k = event_quantity().cast("int")
+    events = with_once(events, "_k", event_quantity().cast("int"))
+    k = F.col("_k")
 
     def spoil(good, **cases):
         column = good

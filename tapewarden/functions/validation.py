@@ -11,40 +11,70 @@ from tapewarden.config import EVENT_TYPES, SIDES
 from tapewarden.functions.timestamps import parse_iso_timestamp
 from tapewarden.schema import REQUIRED_TRADE_FIELDS
 
-# Fixed value: decimal number text; single underscores may part digits.
+# Decimal number text, where single underscores may part digits,
+# and the characters that count as blank.
 NUMBER_TEXT = (
     r"^\s*([+-]?(?:\d(?:_?\d)*(?:\.(?:\d(?:_?\d)*)?)?|\.\d(?:_?\d)*)(?:[eE][+-]?\d(?:_?\d)*)?)\s*$"
 )
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def parse_number(text: Column) -> Column:
-    """Number text to double, null for anything else (also nan and inf)."""
+    """Number text to double, null for anything else (also nan and inf).
+
+    Texts of digits, signs, points and exponents are cast as they are; others
+    must match the full pattern first, for the cast would take a trailing
+    ``d`` or hexadecimal digits. Add the result with ``with_once``.
+    """
     # Blank where nothing matches, and a blank casts to null.
-    number = F.regexp_replace(F.regexp_extract(text, NUMBER_TEXT, 1), "_", "")
-    return number.try_cast("double")
+    parted = F.regexp_replace(F.regexp_extract(text, NUMBER_TEXT, 1), "_", "")
+    return F.when(text.rlike(r"[^0-9eE+.\s-]"), parted).otherwise(text).try_cast("double")
+
+
+def parsed_fields(df: DataFrame) -> Column:
+    """Price, quantity and time of a trade as numbers and timestamp, null where invalid.
 
+    ``df`` may hold price and quantity as text or as numbers, and the time as
+    ISO text or, in ``event_time``, as a timestamp.
+    """
+    kinds = dict(df.dtypes)
+
+    def number(name: str) -> Column:
+        if name not in kinds:
+            return F.lit(None).cast("double")
+        if kinds[name] == "string":
+            return parse_number(F.col(name))
+        value = F.col(name).cast("double")
+        finite = ~F.isnan(value) & (F.abs(value) != F.lit(float("inf")))
+        return F.when(finite, value)
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    kind = dict(df.dtypes)[name]
-    if kind == "string":
-        return parse_number(F.col(name))
-    number = F.col(name).cast("double")
-    finite = ~F.isnan(number) & (F.abs(number) != F.lit(float("inf")))
-    return F.when(finite, number)
+    if "event_time" in kinds:
+        time = F.col("event_time")
+    elif kinds.get("timestamp") == "string":
+        time = parse_iso_timestamp(F.col("timestamp"))
+    else:
+        time = F.col("timestamp") if "timestamp" in kinds else F.lit(None)
+    return F.struct(
+        number("price").alias("price"),
+        number("quantity").alias("quantity"),
+        time.cast("timestamp").alias("event_time"),
+    )
 
 
 def _is_missing(name: str, kind: str) -> Column:
     missing = F.col(name).isNull()
-    return missing | ~F.col(name).rlike(r"(?U)\S") if kind == "string" else missing
+    return missing | (F.btrim(name, F.lit(BLANKS)) == "") if kind == "string" else missing
 
 
 def rejection_reason(df: DataFrame, symbols: Sequence[str] | None) -> Column:
     """Reason of the first failing check, null for a valid trade.
 
     Order: required fields, price, quantity, timestamp, side, event type,
-    symbol. ``df`` may hold price and quantity as text or as numbers, and
-    timestamp as ISO text or as a timestamp. A field ``df`` lacks is missing.
-    NaN and infinite numbers count as invalid.
+    symbol. ``df`` has ``parsed`` from ``parsed_fields``. A field it lacks is
+    missing. NaN and infinite numbers count as invalid.
     """
     kinds = dict(df.dtypes)
     absent = [name for name in REQUIRED_TRADE_FIELDS if name not in kinds]
@@ -54,14 +84,15 @@ def rejection_reason(df: DataFrame, symbols: Sequence[str] | None) -> Column:
         checks.append((failed, F.lit(f"missing_field:{name}")))
     if not absent:
         for name in ("price", "quantity"):
-            number, raw = _as_number(df, name), F.col(name).cast("string")
+            number, raw = F.col(f"parsed.{name}"), F.col(name).cast("string")
             checks.append((number.isNull(), F.concat(F.lit(f"invalid_{name}:"), raw)))
             checks.append(
                 (number <= 0, F.concat(F.lit(f"non_positive_{name}:"), number.cast("string")))
             )
-        if kinds["timestamp"] == "string":
-            parsed = parse_iso_timestamp(F.col("timestamp"))
-            checks.append((parsed.isNull(), F.concat(F.lit("invalid_timestamp:"), "timestamp")))
+        stamp = F.col("timestamp").cast("string")
+        checks.append(
+            (F.col("parsed.event_time").isNull(), F.concat(F.lit("invalid_timestamp:"), stamp))
+        )
         checks.append((~F.col("side").isin(*SIDES), F.concat(F.lit("invalid_side:"), "side")))
         checks.append(
             (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tapewarden.functions.costly import with_once
 from tapewarden.functions.timestamps import parse_iso_timestamp
-from tapewarden.functions.validation import parse_number, rejection_reason
+from tapewarden.functions.validation import parsed_fields, rejection_reason
 from tapewarden.schema import DEAD_LETTER_COLUMNS, TRADE_KEY
 
 
@@ -17,7 +17,7 @@ def with_event_time(trades: DataFrame) -> DataFrame:
     """Add ``event_time`` parsed from the ISO text; null where it does not parse."""
     if "event_time" in trades.columns:
         return trades
-    return trades.withColumn("event_time", parse_iso_timestamp(F.col("timestamp")))
+    return with_once(trades, "event_time", parse_iso_timestamp(F.col("timestamp")))
 
 
 def clean_trades(trades: DataFrame, symbols: Sequence[str] | None) -> DataFrame:
@@ -29,17 +29,16 @@ def clean_trades(trades: DataFrame, symbols: Sequence[str] | None) -> DataFrame:
 
 
 def validate_trades(trades: DataFrame, symbols: Sequence[str] | None) -> DataFrame:
-    """Add ``rejection_reason``, null for a valid trade."""
-    return with_once(trades, "rejection_reason", rejection_reason(trades, symbols))
+    """Add ``rejection_reason``, null for a valid trade, and the ``parsed`` fields."""
+    parsed = with_once(trades, "parsed", parsed_fields(trades))
+    return with_once(parsed, "rejection_reason", rejection_reason(parsed, symbols))
 
 
 def valid_only(validated: DataFrame) -> DataFrame:
     """Valid rows as typed trades with ``event_time``."""
-    kept = validated.filter(F.col("rejection_reason").isNull()).drop("rejection_reason")
-    for name in ("price", "quantity"):
-        if dict(kept.dtypes)[name] == "string":
-            kept = kept.withColumn(name, parse_number(F.col(name)))
-    return with_event_time(kept)
+    kept = validated.filter(F.col("rejection_reason").isNull())
+    typed = {name: F.col(f"parsed.{name}") for name in ("price", "quantity", "event_time")}
+    return kept.withColumns(typed).drop("parsed", "rejection_reason")
 
 
 def rejected_only(validated: DataFrame, rejected_at: Column | None = None) -> DataFrame:
