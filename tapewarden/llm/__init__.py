@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapewarden.llm import bpe
+from tapewarden.llm import bpe, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op5_mixing": mixing.op5_mixing,
     "op9_bpe": bpe.op9_bpe,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_mixing": mixing.OP5_SQL,
+}
 
 
 def all_queries() -> dict[str, Query]:
