@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapewarden.llm import bpe, mixing
+from tapewarden.llm import bpe, mixing, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_secrets": secrets.op1_secrets,
     "op5_mixing": mixing.op5_mixing,
     "op9_bpe": bpe.op9_bpe,
 }
