@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapewarden.llm import bpe, mixing, secrets, toxicity
+from tapewarden.llm import bpe, language, mixing, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_secrets": secrets.op1_secrets,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_language": language.op4_language,
     "op5_mixing": mixing.op5_mixing,
     "op9_bpe": bpe.op9_bpe,
 }
