@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapewarden.llm import bpe, language, mixing, secrets, toxicity
+from tapewarden.llm import bpe, language, mixing, neardup, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ QUERIES: dict[str, Query] = {
     "op4_language": language.op4_language,
     "op5_mixing": mixing.op5_mixing,
     "op9_bpe": bpe.op9_bpe,
+    "op10_neardup": neardup.op10_neardup,
 }
 ORACLES: dict[str, str] = {
     "op5_mixing": mixing.OP5_SQL,
