@@ -19,6 +19,8 @@ COORDINATES = 32
 MISS = 1e-6
 #: Words whose hashes a task keeps at most; beyond it the table starts anew.
 CACHED_WORDS = 1_000_000
+#: Nodes of a block: two blocks are compared in one task.
+BLOCK = 256
 #: Shingles hashed at once.
 CHUNK = 2_000_000
 
@@ -72,12 +74,13 @@ def signatures(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
     random = np.random.default_rng(10)
     factors = random.integers(1, 1 << 63, coordinates, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     shifts = random.integers(0, 1 << 63, coordinates, dtype=np.uint64)
+    salts = np.arange(coordinates, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     flat = np.concatenate(sets)
     starts = np.cumsum([0, *(len(s) for s in sets[:-1])])
     out = np.empty((len(sets), coordinates), dtype=np.uint64)
     for k in range(coordinates):
         least = np.minimum.reduceat(flat * factors[k] + shifts[k], starts)
-        out[:, k] = mixed(least + np.uint64(k) * np.uint64(0x9E3779B97F4A7C15))
+        out[:, k] = mixed(least + salts[k])
     return out.view(np.int64)
 
 
@@ -239,6 +242,105 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
             return roots
 
 
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two of the sets share."""
+    out = np.zeros((len(sets), len(sets)), dtype=np.int64)
+    shingles, columns, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # A shingle of one set is common to no two.
+    place = np.cumsum(often > 1) - 1
+    of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    of, columns = of[often[columns] > 1], place[columns[often[columns] > 1]]
+    order = np.argsort(columns, kind="stable")
+    of, columns = of[order], columns[order]
+    for low in range(0, int(place[-1]) + 1, 4096):
+        here = slice(*np.searchsorted(columns, [low, low + 4096]))
+        there = np.zeros((len(sets), 4096), dtype=np.float32)
+        there[of[here], columns[here] - low] = 1
+        out += (there @ there.T).astype(np.int64)
+    return out
+
+
+def links_of(group: pa.Table, matches: int, percent: int) -> pa.Table:
+    """Links among the nodes of a block, or between those of two blocks, that join what is not joined yet.
+
+    Pairs are kept where at least `matches` signature places are equal, then
+    confirmed on the full sets. Of links that close a circle none is returned,
+    so there are fewer links than nodes.
+    """
+    names = group.column("node").to_pylist()
+    sizes = group.column("n_shingles").to_numpy()
+    block = group.column("block").to_numpy()
+    signs = np.array(group.column("signature").to_pylist(), dtype=np.int64)
+    equal = np.zeros((len(names), len(names)), dtype=np.uint8)
+    for k in range(signs.shape[1]):
+        equal += signs[:, k, None] == signs[None, :, k]
+    kept = np.triu(equal >= matches, 1)
+    if block.min() != block.max():
+        kept &= block[:, None] != block[None, :]
+    kept &= 100 * np.minimum(sizes[:, None], sizes) >= percent * np.maximum(sizes[:, None], sizes)
+    left, right = np.nonzero(kept)
+    found: list[tuple[bytes, bytes]] = []
+    if len(left):
+        used = np.unique(np.concatenate([left, right]))
+        raw = group.column("shingles").take(pa.array(used)).to_pylist()
+        sets = [np.frombuffer(x, dtype="<u8") for x in raw]
+        at = np.searchsorted(used, np.arange(len(names)))
+        if len(left) <= 4 * len(used):
+            common = np.array(
+                [len(np.intersect1d(sets[at[i]], sets[at[j]], assume_unique=True)) for i, j in zip(left, right, strict=True)]
+            )
+        else:
+            common = common_counts(sets)[at[left], at[right]]
+        holds = 100 * common >= percent * (sizes[left] + sizes[right] - common)
+        above = list(range(len(names)))
+
+        def top(i: int) -> int:
+            while above[i] != i:
+                above[i] = above[above[i]]
+                i = above[i]
+            return i
+
+        for i, j in zip(left[holds].tolist(), right[holds].tolist(), strict=True):
+            x, y = top(i), top(j)
+            if x != y:
+                above[x] = y
+                found.append((names[i], names[j]))
+    return pa.table(
+        {
+            "a": pa.array([x for x, _ in found], pa.binary()),
+            "b": pa.array([y for _, y in found], pa.binary()),
+        }
+    )
+
+
+def block_pairs(members: DataFrame) -> DataFrame:
+    """`members` (group, node, settled) once for each pair of blocks (`x`, `y`) that has to be compared.
+
+    A group has blocks of about BLOCK nodes by hash, those of settled nodes
+    apart: settled nodes of a group are joined already, so no pair of their
+    blocks is compared.
+    """
+    counts = members.groupBy("group").agg(
+        F.ceil(F.count(F.when(~F.col("settled"), 1)) / BLOCK).cast("int").alias("open_blocks"),
+        F.ceil(F.count(F.when(F.col("settled"), 1)) / BLOCK).cast("int").alias("settled_blocks"),
+    )
+    turn = F.xxhash64("node")
+    block = F.when(
+        F.col("settled"), F.col("open_blocks") + F.pmod(turn, F.greatest("settled_blocks", F.lit(1)))
+    ).otherwise(F.pmod(turn, F.greatest("open_blocks", F.lit(1))))
+    others = F.when(
+        F.col("settled"), F.expr("IF(open_blocks > 0, sequence(0, open_blocks - 1), array())")
+    ).otherwise(F.expr("sequence(0, open_blocks + settled_blocks - 1)"))
+    return (
+        members.join(counts, "group")
+        .withColumn("block", block.cast("int"))
+        .withColumn("other", F.explode(others))
+        .withColumn("x", F.least("block", "other"))
+        .withColumn("y", F.greatest("block", "other"))
+        .drop("other", "open_blocks", "settled_blocks", "settled")
+    )
+
+
 def linked(
     docs: DataFrame,
     signed: DataFrame,
@@ -251,11 +353,12 @@ def linked(
 ) -> DataFrame | None:
     """`node, root` of the nodes that are linked with others; None if there are none.
 
-    First every node of a posting list is compared with the list's middle, the
-    node whose elements are the most shared. That joins a group of copies by as
-    many comparisons as it has members. Then only nodes of one list that are
-    still in different components are compared with each other: a link within
-    a component changes nothing.
+    Nodes that share posting lists, directly or through others, form groups;
+    each link is within one. A group of up to BLOCK nodes is compared in one
+    task. In a larger one every node is first compared with the middles of its
+    lists, whose elements are the most shared. What that joins to the group's
+    largest component is settled; the rest is compared with everything, by
+    pairs of blocks. A task returns a forest of links, never all pairs.
     """
     similarity = percent / 100
     matches = least_matches(similarity, coordinates)
@@ -270,37 +373,45 @@ def linked(
         f"{folder}/nodes",
     )
     posted = written(postings(nodes, matches), f"{folder}/postings")
-    busy = nodes.join(posted.select("node").distinct(), "node", "left_semi")
-    middles = posted.groupBy("element").agg(
-        F.max(F.struct("weight", "node"))["node"].alias("b"), F.count(F.lit(1)).alias("n")
+    middles = (
+        posted.groupBy("element")
+        .agg(F.max(F.struct("weight", "node"))["node"].alias("b"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
     )
-    spokes = (
-        posted.join(middles.filter("n > 1"), "element").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    spokes = written(
+        posted.join(middles, "element").filter("node <> b").select(F.col("node").alias("a"), "b").distinct(),
+        f"{folder}/spokes",
     )
-    first = written(matching(spokes, busy, matches, similarity), f"{folder}/pairs-1")
-    if posted.isEmpty():
+    if spokes.isEmpty():
         return None
+    groups = components(spokes, f"{folder}/groups").withColumnRenamed("root", "group")
+    busy = nodes.join(groups, "node")
     sets = written(full_sets(docs, busy, width, doc_id, text), f"{folder}/sets")
-    edges = written(confirmed(first, sets, percent), f"{folder}/edges-1")
-    roots = components(edges, f"{folder}/first")
-
-    # Lists whose nodes are not all in one component.
-    placed = posted.join(roots, "node", "left").select("element", "node", F.coalesce("root", "node").alias("root"))
-    split = placed.groupBy("element").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
-    open_lists = written(placed.join(split.select("element"), "element", "left_semi"), f"{folder}/open")
-    other = open_lists.select("element", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    pairs = (
-        open_lists.select("element", F.col("node").alias("a"), F.col("root").alias("root_a"))
-        .join(other, "element")
-        .filter("root_a < root_b")
-        .select("a", "b")
-        .distinct()
+    large = written(groups.groupBy("group").count().filter(F.col("count") > BLOCK), f"{folder}/large")
+    members = busy.select("group", "node", "n_shingles", "signature").withColumn("settled", F.lit(False))
+    edges = None
+    if not large.isEmpty():
+        in_large = groups.join(large.select("group"), "group", "left_semi")
+        pairs = spokes.join(in_large, spokes["a"] == in_large["node"], "left_semi")
+        edges = written(confirmed(matching(pairs, nodes, matches, similarity), sets, percent), f"{folder}/edges-1")
+        roots = components(edges, f"{folder}/first")
+        placed = in_large.join(roots, "node")
+        main = (
+            placed.groupBy("group", "root")
+            .count()
+            .groupBy("group")
+            .agg(F.max(F.struct("count", "root"))["root"].alias("main"))
+        )
+        settled = placed.join(main, "group").filter("root = main").select("node", F.lit(True).alias("joined"))
+        members = members.join(settled, "node", "left").withColumn("settled", F.coalesce("joined", F.lit(False))).drop("joined")
+    found = written(
+        block_pairs(members)
+        .join(sets, "node")
+        .groupBy("group", "x", "y")
+        .applyInArrow(lambda group: links_of(group, matches, percent), "a binary, b binary"),
+        f"{folder}/edges-2",
     )
-    second = written(matching(pairs, busy, matches, similarity), f"{folder}/pairs-2")
-    if second.isEmpty():
-        return roots
-    more = written(confirmed(second, sets, percent), f"{folder}/edges-2")
-    return components(edges.unionByName(more), f"{folder}/second")
+    return components(found if edges is None else found.unionByName(edges), f"{folder}/second")
 
 
 def near_duplicates(
