@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapewarden.llm import bpe, fingerprints, language, mixing, neardup, secrets, toxicity
+from tapewarden.llm import bpe, fingerprints, language, mixing, neardup, quality, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_secrets": secrets.op1_secrets,
+    "op2_quality": quality.op2_quality,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_language": language.op4_language,
     "op5_mixing": mixing.op5_mixing,
