@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapewarden.llm import bpe, fingerprints, language, mixing, neardup, quality, secrets, toxicity
+from tapewarden.llm import bpe, fingerprints, language, mixing, neardup, pii, quality, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ QUERIES: dict[str, Query] = {
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_language": language.op4_language,
     "op5_mixing": mixing.op5_mixing,
+    "op6_pii": pii.op6_pii,
     "op7_fingerprints": fingerprints.op7_fingerprints,
     "op9_bpe": bpe.op9_bpe,
     "op10_neardup": neardup.op10_neardup,
