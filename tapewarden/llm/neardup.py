@@ -59,8 +59,9 @@ class Shingler:
         known = self.known
         if len(known) > CACHED_WORDS:
             known.clear()
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh3_64_intdigest(w)
+        for w in set(words):
+            if w not in known:
+                known[w] = xxhash.xxh3_64_intdigest(w)
         hashes = np.array([known[w] for w in words], dtype=np.uint64)
         width = min(self.width, len(words))
         total = np.full(len(words) - width + 1, width, dtype=np.uint64)
