@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapewarden.llm import bpe, fingerprints, language, mixing, neardup, pii, quality, secrets, toxicity
+from tapewarden.llm import backoff, bpe, fingerprints, language, mixing, neardup, pii, quality, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,11 +18,13 @@ QUERIES: dict[str, Query] = {
     "op5_mixing": mixing.op5_mixing,
     "op6_pii": pii.op6_pii,
     "op7_fingerprints": fingerprints.op7_fingerprints,
+    "op8_backoff": backoff.op8_backoff,
     "op9_bpe": bpe.op9_bpe,
     "op10_neardup": neardup.op10_neardup,
 }
 ORACLES: dict[str, str] = {
     "op5_mixing": mixing.OP5_SQL,
+    "op8_backoff": backoff.OP8_SQL,
 }
 
 
