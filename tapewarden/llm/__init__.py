@@ -10,6 +10,14 @@ from tapewarden.llm import backoff, bpe, fingerprints, language, mixing, neardup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """The stages of corpus_pipeline.py, at the top of the repository."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES: dict[str, Query] = {
     "op1_secrets": secrets.op1_secrets,
     "op2_quality": quality.op2_quality,
@@ -21,6 +29,7 @@ QUERIES: dict[str, Query] = {
     "op8_backoff": backoff.op8_backoff,
     "op9_bpe": bpe.op9_bpe,
     "op10_neardup": neardup.op10_neardup,
+    "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {
     "op5_mixing": mixing.OP5_SQL,

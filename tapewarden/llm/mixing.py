@@ -119,8 +119,9 @@ def repeated(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     mixed = mix(docs, text=text, **options)
     left = F.col("taken") - (F.col("__copy") - 1) * F.col("size")
     # The text up to the end of the n-th word, for the one document of a source that is taken in part.
+    # Possessive repeats keep the search from recursing once for each word.
     start = F.expr(
-        f"regexp_extract(`{text}`, concat('^[\\\\x20\\\\x09-\\\\x0D]*(?:[^\\\\x20\\\\x09-\\\\x0D]+[\\\\x20\\\\x09-\\\\x0D]*){{', __left, '}}'), 0)"
+        rf"regexp_extract(`{text}`, concat('^[\\x20\\x09-\\x0D]*+(?:[^\\x20\\x09-\\x0D]++[\\x20\\x09-\\x0D]*+){{', __left, '}}+'), 0)"
     )
     return (
         mixed.filter("taken > 0")

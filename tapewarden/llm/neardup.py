@@ -423,11 +423,11 @@ def near_duplicates(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """`doc_id, text_hash, n_shingles, component_id, kept` for each row of `docs`.
+    """`doc_id, text_hash, n_shingles, component, component_id, kept` for each row of `docs`.
 
     Documents whose shingle sets have a Jaccard similarity of `percent` or more
-    are linked; `component_id` is the least id that links reach, `kept` whether
-    the row has it. Equal sets are one node, whatever their number. Pairs are
+    are linked; `component` names what links join, `component_id` is the least
+    id in it and `kept` whether the row has that id. Equal sets are one node, whatever their number. Pairs are
     found where signatures agree in so many coordinates that a pair at the
     threshold is missed once in a million, and confirmed on the full sets.
 
@@ -444,13 +444,14 @@ def near_duplicates(
     if roots is not None:
         placed = ids.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         of_root = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-        ids = placed.join(of_root, "root").select("node", "component_id")
+        ids = placed.join(of_root, "root").select("node", F.col("root").alias("component"), "component_id")
     else:
-        ids = ids.select("node", F.col("least").alias("component_id"))
+        ids = ids.select("node", F.col("node").alias("component"), F.col("least").alias("component_id"))
     out = signed.join(ids, "node", "left").select(
         "doc_id",
         "text_hash",
         "n_shingles",
+        "component",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
