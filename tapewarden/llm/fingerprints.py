@@ -160,17 +160,24 @@ def fingerprints(docs: DataFrame, seed: int = 7, places: int = PLACES, text: str
     return annotate(docs, make, "fingerprint string", text)
 
 
+def classes(prints: DataFrame, doc_id: str = "doc_id", fingerprint: str = "fingerprint") -> DataFrame:
+    """`prints` with `class_id`, the least id among the rows of the same fingerprint."""
+    least = prints.groupBy(F.col(fingerprint).alias("__f")).agg(F.min(doc_id).alias("class_id"))
+    return prints.join(least, F.col(fingerprint) == F.col("__f")).drop("__f")
+
+
 def similar_pairs(
     prints: DataFrame, least: float = 0.6, bands: int = 32, doc_id: str = "doc_id", fingerprint: str = "fingerprint"
 ) -> DataFrame:
     """Pairs (`a`, `b`, `likeness`) of rows whose fingerprints are alike: bit-sampled bands, then verification.
 
     Each band is a sample of places; rows equal in a band are candidates. Equal
-    fingerprints are one class, represented by its least id. In a band's
+    fingerprints are one class, represented by its least id; `classes` says which
+    class a row is in, so copies are not expanded into pairs. In a band's
     bucket, members are compared with the bucket's least class and with the
     next one in order, so a bucket gives pairs in proportion to its size.
     """
-    classes = prints.groupBy(F.col(fingerprint).alias("f")).agg(F.min(doc_id).alias("id"))
+    heads_of = prints.groupBy(F.col(fingerprint).alias("f")).agg(F.min(doc_id).alias("id"))
     width = PLACES // bands
     # Every bands-th byte from the band's number on.
     keys = F.array(
@@ -179,7 +186,7 @@ def similar_pairs(
             for b in range(bands)
         ]
     )
-    posted = classes.select("id", "f", F.explode(keys).alias("key"))
+    posted = heads_of.select("id", "f", F.explode(keys).alias("key"))
     heads = posted.groupBy("key").agg(F.min(F.struct("id", "f")).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     spokes = posted.join(heads, "key").select(
         F.col("head.id").alias("a"), F.col("id").alias("b"), F.col("head.f").alias("fa"), F.col("f").alias("fb")
