@@ -155,8 +155,10 @@ both_kinds AS (
 )
 
 
-def _newest(limit: int, where: str = "TRUE") -> str:
-    order = f"WHERE {where} ORDER BY detected_at DESC, window_start, symbol LIMIT {limit}"
+def _newest(limit: int | None = None, where: str = "TRUE") -> str:
+    order = f"WHERE {where}"
+    if limit is not None:
+        order += f" ORDER BY detected_at DESC, window_start, symbol LIMIT {limit}"
     return (
         f"SELECT * FROM (SELECT {_WASH_COLUMNS} FROM wash {order}) "
         f"UNION ALL BY NAME SELECT * FROM (SELECT * FROM pump_dump {order})"
@@ -167,7 +169,7 @@ _STAMP = "'%Y-%m-%dT%H:%M:%S.%f'"
 
 ORACLES = {
     "all_alerts": with_ctes(_BOTH, "SELECT * FROM both_kinds"),
-    "query_alerts": with_ctes(_BOTH, _newest(1000, "severity = 'CRITICAL'")),
+    "query_alerts": with_ctes(_BOTH, _newest(where="severity = 'CRITICAL'")),
     "latest_alerts": with_ctes(_BOTH, _newest(20)),
     "alerts_lookback": with_ctes(
         _BOTH,

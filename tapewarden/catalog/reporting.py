@@ -11,7 +11,6 @@ from tapewarden.operators import reports as R
 from tapewarden.plans.report import build_report
 
 
-
 def _both(spark, folder):
     return sample.wash(spark, folder), sample.pairs(spark, folder)
 
@@ -105,7 +104,41 @@ def report_timeline(spark, folder):
     return _filtered(spark, folder)["timeline"]
 
 
+def _everything(spark, folder):
+    """Report without filters: all alerts and all pairs."""
+    return build_report(sample.wash(spark, folder), sample.report_sweep(spark, folder), CONFIG).panels()
+
+
+@checked
+def full_report_overview(spark, folder):
+    return _everything(spark, folder)["overview"]
+
+
+@checked
+def full_report_timeline(spark, folder):
+    return _everything(spark, folder)["timeline"]
+
+
+@checked
+def full_report_risk(spark, folder):
+    return _everything(spark, folder)["symbol_risk"]
+
+
+@checked
+def full_report_severity(spark, folder):
+    panels = _everything(spark, folder)
+    kinds = {"WASH_TRADE": "wash_severity", "PUMP_DUMP": "pair_severity"}
+    parts = [panels[panel].withColumn("kind", F.lit(kind)) for kind, panel in kinds.items()]
+    return parts[0].select("kind", "severity", "alerts").unionByName(
+        parts[1].select("kind", "severity", "alerts")
+    )
+
+
 QUERIES = {
+    "full_report_overview": full_report_overview,
+    "full_report_timeline": full_report_timeline,
+    "full_report_risk": full_report_risk,
+    "full_report_severity": full_report_severity,
     "report_overview": report_overview,
     "report_timeline": report_timeline,
     "severity_breakdown": severity_breakdown,
@@ -142,13 +175,44 @@ sweep AS (SELECT * FROM every_sweep WHERE window_start >= {_SINCE})"""
 wash AS (
   SELECT * REPLACE (detected_at + INTERVAL 330 MINUTES AS detected_at) FROM every_wash
   WHERE symbol = 'purchase' AND detected_at >= {_SINCE}),
-pairs AS (SELECT * FROM every_pair WHERE symbol = 'purchase' ORDER BY pump_start DESC LIMIT 500),
+pairs AS (SELECT * FROM every_pair WHERE symbol = 'purchase'),
 labelled AS (
   SELECT 'wash' AS kind, symbol, severity FROM wash
   UNION ALL SELECT 'pump_dump', symbol, severity FROM pairs)"""
 )
 
+_OVERVIEW = (
+    "SELECT count(*) AS total_alerts, count(*) FILTER (WHERE kind = 'wash') AS wash_alerts, "
+    "count(*) FILTER (WHERE kind = 'pump_dump') AS pump_dump_alerts, "
+    "count(*) FILTER (WHERE severity = 'CRITICAL') AS critical_alerts, "
+    "count(DISTINCT symbol) AS symbols_flagged FROM labelled"
+)
+
+
+def _risk(symbols: str) -> str:
+    return (
+        "SELECT s.symbol AS symbol, count(*) FILTER (WHERE kind = 'wash') AS wash_alerts, "
+        "count(*) FILTER (WHERE kind = 'pump_dump') AS pump_dump_alerts, "
+        "count(*) FILTER (WHERE severity = 'CRITICAL') AS critical, "
+        "CAST(sum(CASE severity WHEN 'CRITICAL' THEN 3 WHEN 'HIGH' THEN 2 WHEN 'MEDIUM' THEN 1 "
+        "ELSE 0 END) AS BIGINT) AS risk_score "
+        f"FROM (VALUES {symbols}) s(symbol) LEFT JOIN labelled l ON l.symbol = s.symbol "
+        "GROUP BY s.symbol"
+    )
+
+
 ORACLES = {
+    "full_report_overview": with_ctes(_LABELLED, _OVERVIEW),
+    "full_report_timeline": with_ctes(
+        sample.REPORT_PATH,
+        "SELECT date_trunc('minute', placed_at) AS minute, alert_type, count(*) AS alerts FROM ("
+        "SELECT detected_at + INTERVAL 330 MINUTES AS placed_at, 'Wash Trade' AS alert_type "
+        "FROM wash UNION ALL SELECT window_start, 'Pump & Dump' FROM pairs) GROUP BY 1, 2",
+    ),
+    "full_report_risk": with_ctes(_LABELLED, _risk(", ".join(f"('{s}')" for s in CONFIG.symbols))),
+    "full_report_severity": with_ctes(
+        _LABELLED, "SELECT alert_type AS kind, severity, count(*) AS alerts FROM labelled GROUP BY 1, 2"
+    ),
     "severity_breakdown": with_ctes(
         _LABELLED, "SELECT alert_type, severity, count(*) AS alerts FROM labelled GROUP BY 1, 2"
     ),
@@ -158,17 +222,11 @@ ORACLES = {
     ),
     "alert_overview": with_ctes(
         _LABELLED,
-        "SELECT count(*) AS total_alerts, count(*) FILTER (WHERE kind = 'wash') AS wash_alerts, "
-        "count(*) FILTER (WHERE kind = 'pump_dump') AS pump_dump_alerts, "
-        "count(*) FILTER (WHERE severity = 'CRITICAL') AS critical_alerts, "
-        "count(DISTINCT symbol) AS symbols_flagged FROM labelled",
+        _OVERVIEW,
     ),
     "report_overview": with_ctes(
         _FILTERED,
-        "SELECT count(*) AS total_alerts, count(*) FILTER (WHERE kind = 'wash') AS wash_alerts, "
-        "count(*) FILTER (WHERE kind = 'pump_dump') AS pump_dump_alerts, "
-        "count(*) FILTER (WHERE severity = 'CRITICAL') AS critical_alerts, "
-        "count(DISTINCT symbol) AS symbols_flagged FROM labelled",
+        _OVERVIEW,
     ),
     "report_timeline": with_ctes(
         _FILTERED,
@@ -182,16 +240,7 @@ ORACLES = {
         "SELECT detected_at AS placed_at, 'Wash Trade' AS alert_type FROM wash UNION ALL "
         "SELECT window_start, 'Pump & Dump' FROM pairs) GROUP BY 1, 2",
     ),
-    "symbol_risk": with_ctes(
-        _LABELLED,
-        "SELECT s.symbol AS symbol, count(*) FILTER (WHERE kind = 'wash') AS wash_alerts, "
-        "count(*) FILTER (WHERE kind = 'pump_dump') AS pump_dump_alerts, "
-        "count(*) FILTER (WHERE severity = 'CRITICAL') AS critical, "
-        "CAST(sum(CASE severity WHEN 'CRITICAL' THEN 3 WHEN 'HIGH' THEN 2 WHEN 'MEDIUM' THEN 1 "
-        "ELSE 0 END) AS BIGINT) AS risk_score "
-        f"FROM (VALUES {_DIMENSION}) s(symbol) LEFT JOIN labelled l ON l.symbol = s.symbol "
-        "GROUP BY s.symbol",
-    ),
+    "symbol_risk": with_ctes(_LABELLED, _risk(_DIMENSION)),
     "alert_date_range": with_ctes(
         _LABELLED,
         "SELECT alert_type, min(detected_at) AS first_detected, max(detected_at) "

@@ -4,30 +4,62 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tapewarden.catalog import alerting, detection, ingestion, sample
+from tapewarden.catalog import alerting, detection, ingestion, reporting, sample
 from tapewarden.catalog.ingestion import spoiled_trades
 from tapewarden.catalog.sample import CONFIG, checked, with_ctes
 from tapewarden.config import PD_ALERTS_TOPIC, WASH_ALERTS_TOPIC
 from tapewarden.operators.alerts import all_alerts
 from tapewarden.operators.sequences import flagged_at
 from tapewarden.schema import PD_SENSITIVITY, PUMP_DUMP_ALERTS, WASH_ALERTS, WASH_SENSITIVITY
-from tapewarden.sinks.keyed import read_inserted, read_upserted
+from tapewarden.plans.pump_dump import pump_dump_sweep_rows
+from tapewarden.plans.report import build_report
+from tapewarden.sinks.keyed import insert_ignore, read_inserted, read_upserted, upsert
 from tapewarden.sinks.messages import encode_trades, write_messages
+from tapewarden.sources.exchange import normalize_exchange_events
 from tapewarden.sources.streams import alert_message_stream, trade_message_stream
-from tapewarden.sources.tables import stream_events, trades_from_events
+from tapewarden.sources.tables import EVENTS, read_events, trades_from_events
 from tapewarden.sources.workspace import workspace
-from tapewarden.streaming.ingest import dedup_stream, start_validation
+from tapewarden.streaming.ingest import dedup_stream, start_ingest, start_validation
 from tapewarden.streaming.jobs import start, start_files, stream_session
 from tapewarden.streaming.pairs import pair_stream
 from tapewarden.streaming.persist import start_alert_persister
-from tapewarden.streaming.pump_dump import bar_stream, start_pump_dump_detector
+from tapewarden.streaming.pump_dump import bar_stream, start_bar_rescoring, start_pump_dump_detector
 from tapewarden.streaming.wash import start_wash_detector, window_stream
 
 _DELAY = "1 minute"
+_ONE_FILE = {"maxFilesPerTrigger": "1"}
 
 
-def _trades(session, folder):
-    return trades_from_events(stream_events(session, folder))
+#: Data triggers of each stream at least: one for each slice of the events by time.
+SLICES = 4
+
+
+def _sliced(rows, time, path, slices=SLICES):
+    """Rows as files in order of time: equal spans one after the other, as a feed would bring them."""
+    held = rows.persist()
+    moment = F.col(time)
+    if not dict(rows.dtypes)[time] == "bigint":
+        moment = F.unix_micros(moment.cast("timestamp"))
+    span = held.agg(F.min(moment).alias("lo"), F.max(moment).alias("hi")).first()
+    low = None
+    for k in range(1, slices + 1):
+        high = None if span.lo is None or k == slices else span.lo + (span.hi - span.lo) * k // slices
+        part = held if low is None else held.filter(moment > low)
+        part = part if high is None else part.filter(moment <= high)
+        part.coalesce(1).write.mode("append").parquet(path)
+        low = high
+    held.unpersist()
+
+
+def _events(session, folder, root):
+    """The events as a stream of several triggers, a slice of time in each."""
+    place = f"{root}/events"
+    _sliced(read_events(session, folder), "ts", place)
+    return session.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(place)
+
+
+def _trades(session, folder, root):
+    return trades_from_events(_events(session, folder, root))
 
 
 def _drain(query):
@@ -39,13 +71,19 @@ def _through_files(spark, stream, root):
     return spark.read.parquet(f"{root}/out")
 
 
+def _write_alert_messages(spark, folder, root):
+    messages = alerting.alert_messages(spark, folder).repartition(SLICES)
+    write_messages(messages, "json", {}, f"{root}/topics")
+
+
 @checked
 def src_trade_stream(spark, folder):
     """Trades published as JSON messages and read back as a typed stream."""
     root = workspace(spark, "trade-messages")
-    write_messages(encode_trades(sample.trades(spark, folder)), "json", {}, f"{root}/topic")
+    messages = encode_trades(sample.trades(spark, folder)).repartition(SLICES)
+    write_messages(messages, "json", {}, f"{root}/topic")
     session = stream_session(spark)
-    trades = trade_message_stream(session, "json", {"path": f"{root}/topic"})
+    trades = trade_message_stream(session, "json", {"path": f"{root}/topic", **_ONE_FILE})
     return _through_files(spark, trades.drop("timestamp"), root)
 
 
@@ -53,9 +91,9 @@ def src_trade_stream(spark, folder):
 def src_alert_stream(spark, folder):
     """Both alert topics read as one stream, the topic kept."""
     root = workspace(spark, "alert-messages")
-    write_messages(alerting.alert_messages(spark, folder), "json", {}, f"{root}/topics")
+    _write_alert_messages(spark, folder, root)
     session = stream_session(spark)
-    messages = alert_message_stream(session, "json", {"path": f"{root}/topics"})
+    messages = alert_message_stream(session, "json", {"path": f"{root}/topics", **_ONE_FILE})
     wanted = messages.filter(F.col("topic").isin(WASH_ALERTS_TOPIC, PD_ALERTS_TOPIC)).select(
         "topic",
         F.get_json_object("value", "$.symbol").alias("symbol"),
@@ -68,14 +106,14 @@ def src_alert_stream(spark, folder):
 def stream_wash_windows(spark, folder):
     root = workspace(spark, "wash-windows")
     session = stream_session(spark)
-    return _through_files(spark, window_stream(_trades(session, folder), CONFIG, _DELAY), root)
+    return _through_files(spark, window_stream(_trades(session, folder, root), CONFIG, _DELAY), root)
 
 
 @checked
 def stream_wash_complete(spark, folder):
     """Complete mode: the table always holds every window, open ones too."""
     root = workspace(spark, "wash-complete")
-    windows = window_stream(_trades(stream_session(spark), folder), CONFIG, None)
+    windows = window_stream(_trades(stream_session(spark), folder, root), CONFIG, None)
 
     def replace(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{root}/out")
@@ -88,7 +126,7 @@ def _wash_tables(spark, folder, complete=False):
     root = workspace(spark, "wash-detector")
     _drain(
         start_wash_detector(
-            _trades(stream_session(spark), folder),
+            _trades(stream_session(spark), folder, root),
             CONFIG,
             f"{root}/tables",
             f"{root}/checkpoint",
@@ -122,7 +160,7 @@ def stream_sweep(spark, folder):
 @checked
 def stream_ohlcv_append(spark, folder):
     root = workspace(spark, "bars")
-    bars = bar_stream(_trades(stream_session(spark), folder), CONFIG, _DELAY).drop("event_time")
+    bars = bar_stream(_trades(stream_session(spark), folder, root), CONFIG, _DELAY).drop("event_time")
     return _through_files(spark, bars, root)
 
 
@@ -130,7 +168,7 @@ def _pump_dump_tables(spark, folder):
     root = workspace(spark, "pump-dump")
     _drain(
         start_pump_dump_detector(
-            _trades(stream_session(spark), folder),
+            _trades(stream_session(spark), folder, root),
             CONFIG,
             f"{root}/tables",
             f"{root}/checkpoint",
@@ -159,14 +197,15 @@ def stream_dedup(spark, folder):
     """Two feeds of the same trades: each trade is kept once."""
     root = workspace(spark, "dedup")
     session = stream_session(spark)
-    twice = _trades(session, folder).union(_trades(session, folder))
+    once = _trades(session, folder, root)
+    twice = once.union(once)
     return _through_files(spark, dedup_stream(twice, "1 hour"), root)
 
 
 @checked
 def stream_validate(spark, folder):
     root = workspace(spark, "validate")
-    trades = spoiled_trades(stream_events(stream_session(spark), folder))
+    trades = spoiled_trades(_events(stream_session(spark), folder, root))
     _drain(
         start_validation(
             trades,
@@ -184,11 +223,71 @@ def stream_validate(spark, folder):
     return valid.unionByName(rejected.select("trade_id", "rejection_reason"))
 
 
+@checked
+def stream_ingest(spark, folder):
+    """Raw messages, each twice, through the ingest job: valid trades, each once."""
+    root = workspace(spark, "ingest")
+    raw = ingestion.raw_messages(sample.trades(spark, folder))
+    place = f"{root}/raw"
+    at = F.coalesce(*[F.get_json_object("value", path).cast("long") for path in ("$.data.T", "$.T")])
+    _sliced(raw.withColumn("at", at), "at", place)
+    session = stream_session(spark)
+    once = session.readStream.schema("value string").options(**_ONE_FILE).parquet(place)
+    queries = start_ingest(
+        normalize_exchange_events(once.union(once)),
+        CONFIG.symbols,
+        f"{root}/trades",
+        f"{root}/rejected",
+        f"{root}/checkpoint",
+        trigger=None,
+    )
+    for query in queries:
+        _drain(query)
+    return spark.read.parquet(f"{root}/trades").drop("timestamp", "event_date", "writer", "batch_id")
+
+
+@checked
+def stream_pump_dump_rescored(spark, folder):
+    """The rescoring job: alerts by the leave-one-out baseline over all closed bars."""
+    root = workspace(spark, "bar-rescoring")
+    query = start_bar_rescoring(
+        _trades(stream_session(spark), folder, root),
+        CONFIG,
+        f"{root}/tables",
+        f"{root}/checkpoint",
+        trigger=None,
+        detected_at=F.col("window_end"),
+    )
+    _drain(query)
+    return read_upserted(spark, f"{root}/tables", PD_SENSITIVITY).drop("event_date", "detected_at")
+
+
+@checked
+def report_from_tables(spark, folder):
+    """The report's overview over stored alert tables: filters reach the scan, days are folders."""
+    root = workspace(spark, "report-tables")
+    insert_ignore(sample.wash(spark, folder), root, WASH_ALERTS, 0)
+    sweep = pump_dump_sweep_rows(sample.trades(spark, folder), CONFIG, F.col("window_end"))
+    upsert(sweep, root, PD_SENSITIVITY, 0)
+    since = F.lit(sample.AS_OF).cast("timestamp") - F.make_dt_interval(days=F.lit(15))
+    day = F.to_date(since)
+    report = build_report(
+        read_inserted(spark, root, WASH_ALERTS, since=day),
+        read_upserted(spark, root, PD_SENSITIVITY, since=day),
+        CONFIG,
+        symbol="purchase",
+        lookback_minutes=20_160,
+        as_of=F.lit(sample.AS_OF).cast("timestamp"),
+    )
+    return report.panels()["overview"]
+
+
 @checked
 def stream_alert_persist(spark, folder):
     root = workspace(spark, "persist")
-    write_messages(alerting.alert_messages(spark, folder), "json", {}, f"{root}/topics")
-    messages = alert_message_stream(stream_session(spark), "json", {"path": f"{root}/topics"})
+    _write_alert_messages(spark, folder, root)
+    options = {"path": f"{root}/topics", **_ONE_FILE}
+    messages = alert_message_stream(stream_session(spark), "json", options)
     _drain(start_alert_persister(messages, f"{root}/tables", f"{root}/checkpoint", trigger=None))
     stored = [
         read_inserted(spark, f"{root}/tables", table).drop("event_date")
@@ -201,14 +300,13 @@ def stream_alert_persist(spark, folder):
 def stream_pump_dump_join(spark, folder):
     root = workspace(spark, "pair-join")
     flagged = flagged_at(sample.report_sweep(spark, folder), CONFIG.report_point)
-    flagged.select("symbol", "window_start", "price_change_pct", "phase").write.parquet(
-        f"{root}/flagged"
-    )
+    columns = ("symbol", "window_start", "price_change_pct", "phase")
+    _sliced(flagged.select(*columns), "window_start", f"{root}/flagged")
     session = stream_session(spark)
     schema = spark.read.parquet(f"{root}/flagged").schema
 
     def side(phase):
-        rows = session.readStream.schema(schema).parquet(f"{root}/flagged")
+        rows = session.readStream.schema(schema).options(**_ONE_FILE).parquet(f"{root}/flagged")
         return rows.filter(F.col("phase") == phase)
 
     live = pair_stream(side("PUMP"), side("DUMP"), CONFIG.pair_window, _DELAY)
@@ -228,6 +326,9 @@ QUERIES = {
     "stream_pd_sweep": stream_pd_sweep,
     "stream_dedup": stream_dedup,
     "stream_validate": stream_validate,
+    "stream_ingest": stream_ingest,
+    "stream_pump_dump_rescored": stream_pump_dump_rescored,
+    "report_from_tables": report_from_tables,
     "stream_alert_persist": stream_alert_persist,
     "stream_pump_dump_join": stream_pump_dump_join,
 }
@@ -238,11 +339,34 @@ _CLOSED_WINDOWS = (
     + f""",
 windows AS (SELECT * FROM every_window WHERE window_end <= {_MARK})"""
 )
-_SETTLED_WINDOWS = (
-    sample.TRADES + sample.WINDOWS.replace("windows AS", "every_window AS")
-    + """,
-windows AS (
-  SELECT * FROM every_window WHERE window_end <= (SELECT max(window_start) FROM every_window))"""
+# Each window against those of its symbol up to and with it.
+_RUNNING = """,
+rated AS (
+  SELECT *, avg(total_volume) OVER so_far AS mu, stddev_samp(total_volume) OVER so_far AS sd
+  FROM windows
+  WINDOW so_far AS (PARTITION BY symbol ORDER BY window_start ROWS UNBOUNDED PRECEDING)),
+scored AS (
+  SELECT * EXCLUDE (mu, sd), CASE WHEN sd > 1e-9 THEN (total_volume - mu) / sd ELSE 0.0 END AS z_score
+  FROM rated)"""
+# Rescoring alerts by trigger: all windows closed so far, and the first verdict of a window stays.
+_BY_TRIGGER = (
+    sample.TRADES + sample.WINDOWS
+    + f""",
+turns AS (
+  SELECT k, lo + (hi - lo) * k // {SLICES} AS bound
+  FROM (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events), range(1, {SLICES} + 1) r(k)),
+reached AS (
+  SELECT k, max(CAST(date_trunc('day', event_time) AS TIMESTAMP)) AS open_from
+  FROM clean, turns WHERE epoch_us(event_time) <= bound GROUP BY k),
+settled AS (SELECT w.*, k FROM windows w JOIN reached ON window_end <= open_from),
+rescored AS (
+  SELECT w.*, CASE WHEN sd > 0 THEN (w.total_volume - mu) / sd ELSE 0.0 END AS z_score
+  FROM settled w JOIN (
+    SELECT k, symbol, avg(total_volume) AS mu, stddev_samp(total_volume) AS sd
+    FROM settled GROUP BY k, symbol) b ON b.symbol = w.symbol AND b.k = w.k),
+scored AS (
+  SELECT * FROM rescored WHERE abs(z_score) > 0.1
+  QUALIFY row_number() OVER (PARTITION BY symbol, window_start ORDER BY k) = 1)"""
 )
 _CLOSED_BARS = (
     sample.TRADES + sample.BARS.replace("bars AS", "every_bar AS")
@@ -250,6 +374,12 @@ _CLOSED_BARS = (
 bars AS (SELECT * FROM every_bar WHERE window_end <= {_MARK})"""
 )
 
+_SETTLED_BARS = (
+    sample.TRADES + sample.BARS.replace("bars AS", "every_bar AS")
+    + """,
+bars AS (SELECT * FROM every_bar WHERE window_end <= (SELECT max(window_start) FROM every_bar))"""
+)
+
 
 def _select_of(name: str, module) -> str:
     """The final SELECT of another oracle."""
@@ -268,13 +398,13 @@ ORACLES = {
     "stream_wash_windows": with_ctes(_CLOSED_WINDOWS, _select_of("wash_windows", detection)),
     "stream_wash_complete": detection.ORACLES["wash_windows"],
     "stream_wash_alerts": with_ctes(
-        _CLOSED_WINDOWS + sample.SCORED + sample.WASH, sample.WASH_SELECT
+        _CLOSED_WINDOWS + _RUNNING + sample.WASH, sample.WASH_SELECT
     ),
     "stream_wash_rescored": with_ctes(
-        _SETTLED_WINDOWS + sample.SCORED + sample.WASH, sample.WASH_SELECT
+        _BY_TRIGGER + sample.WASH, sample.WASH_SELECT
     ),
     "stream_sweep": with_ctes(
-        _CLOSED_WINDOWS + sample.SCORED + detection._WASH_SWEEP, "SELECT * FROM sweep"
+        _CLOSED_WINDOWS + _RUNNING + detection._WASH_SWEEP, "SELECT * FROM sweep"
     ),
     "stream_ohlcv_append": with_ctes(_CLOSED_BARS, _select_of("ohlcv_bars", detection)),
     "stream_pump_dump": with_ctes(
@@ -286,6 +416,11 @@ ORACLES = {
     ),
     "stream_dedup": ingestion.ORACLES["json_decode_trades"],
     "stream_validate": ingestion.ORACLES["validate_trades"],
+    "stream_ingest": ingestion.ORACLES["ingest_trades"],
+    "stream_pump_dump_rescored": with_ctes(
+        _SETTLED_BARS + sample.TRAILING + sample.FULL_SWEEP, "SELECT * EXCLUDE (detected_at) FROM sweep"
+    ),
+    "report_from_tables": reporting.ORACLES["report_overview"],
     "stream_alert_persist": alerting.ORACLES["all_alerts"],
     "stream_pump_dump_join": with_ctes(
         sample.TRADES + sample.BARS + sample.TRAILING + sample.REPORT_SWEEP + sample.CANDIDATES,

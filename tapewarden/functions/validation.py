@@ -64,6 +64,15 @@ def parsed_fields(df: DataFrame) -> Column:
     )
 
 
+def number_text(number: Column) -> Column:
+    """A double as text: plain notation from 1e-4 up to 1e16, with a fraction of at least one digit."""
+    size = F.abs(number)
+    plain = F.regexp_replace(number.cast("decimal(38, 20)").cast("string"), r"(\.\d+?)0+$", "$1")
+    # Spark switches to exponents below 1e-3 and from 1e7 on.
+    middle = (size < 1e16) & ((size >= 1e7) | ((size >= 1e-4) & (size < 1e-3)))
+    return F.when(middle, plain).otherwise(number.cast("string"))
+
+
 def _is_missing(name: str, kind: str) -> Column:
     missing = F.col(name).isNull()
     return missing | (F.btrim(name, F.lit(BLANKS)) == "") if kind == "string" else missing
@@ -87,7 +96,7 @@ def rejection_reason(df: DataFrame, symbols: Sequence[str] | None) -> Column:
             number, raw = F.col(f"parsed.{name}"), F.col(name).cast("string")
             checks.append((number.isNull(), F.concat(F.lit(f"invalid_{name}:"), raw)))
             checks.append(
-                (number <= 0, F.concat(F.lit(f"non_positive_{name}:"), number.cast("string")))
+                (number <= 0, F.concat(F.lit(f"non_positive_{name}:"), number_text(number)))
             )
         stamp = F.col("timestamp").cast("string")
         checks.append(

@@ -112,10 +112,10 @@ def search_alerts(
     alerts: DataFrame,
     symbol: str | None = None,
     severity: str | None = None,
-    limit: int | None = 1000,
+    limit: int | None = None,
     tie_break: Sequence[str] = ("window_start", "symbol"),
 ) -> DataFrame:
-    """Newest alerts of one table under optional filters (pushed into the scan)."""
+    """Alerts of one table under optional filters (pushed into the scan); with a ``limit``, the newest."""
     if symbol is not None:
         alerts = alerts.filter(F.col("symbol") == symbol)
     if severity is not None:
@@ -131,9 +131,9 @@ def query_alerts(
     alert_type: str = "all",
     symbol: str | None = None,
     severity: str | None = None,
-    limit: int | None = 1000,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Alert search over one or both tables; the limit holds per table."""
+    """Alert search over one or both tables; a limit holds per table."""
     if alert_type not in ("all", "wash", "pump_dump"):
         raise ValueError(f"unknown alert type: {alert_type!r}")
     parts = []

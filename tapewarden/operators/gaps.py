@@ -76,24 +76,43 @@ def new_trades(
 
 
 def trades_in_gaps(
-    fetched: DataFrame, gaps: DataFrame, by: Sequence[str] = (), slot_seconds: int = 5
+    fetched: DataFrame, gaps: DataFrame, by: Sequence[str] = (), block_seconds: int = DAY
 ) -> DataFrame:
     """Fetched trades that lie in one of the gaps (both ends included).
 
-    Gaps are longer than a slot, so a slot meets two gaps at most and the
-    range test becomes an equi join that cannot multiply rows.
+    Gaps of a feed do not overlap, so only the latest one that begins by the
+    time of a trade can hold it. It is found inside the trade's block of time,
+    or carried over from earlier blocks by one row per block. The cost follows
+    the number of trades and gaps, not how long the gaps are.
     """
-    first = time_block(F.col("gap_start"), slot_seconds)
-    last = time_block(F.col("gap_end"), slot_seconds)
-    covered = gaps.select(
-        *by, "gap_start", "gap_end", F.explode(F.sequence(first, last)).alias("_slot")
+    by = list(by)
+    trade_columns = [F.col(f"`{c}`") for c in fetched.columns]
+    gap = F.struct("gap_start", "gap_end")
+    marks = gaps.select(*by, gap.alias("_gap"), F.col("gap_start").alias("_time"), F.lit(0).alias("_turn"))
+    placed = fetched.filter(F.col("event_time").isNotNull()).select(
+        F.struct(*trade_columns).alias("_trade"), *by, F.col("event_time").alias("_time"), F.lit(1).alias("_turn")
+    )
+    rows = placed.unionByName(marks, allowMissingColumns=True).withColumn(
+        "_block", block_number(F.col("_time"), block_seconds)
+    )
+    block = [*by, "_block"]
+    so_far = Window.partitionBy(*block).orderBy("_time", "_turn").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = (
+        Window.partitionBy(*(by or [F.lit(0)])).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    # One row per block that has trades or gaps.
+    carried = (
+        rows.groupBy(*block)
+        .agg(F.max("_gap").alias("_block_gap"))
+        .withColumn("_carried", F.last("_block_gap", ignorenulls=True).over(earlier))
+        .drop("_block_gap")
+    )
+    return (
+        rows.withColumn("_latest", F.last("_gap", ignorenulls=True).over(so_far))
+        .join(carried, block)
+        .filter((F.col("_turn") == 1) & (F.col("_time") <= F.coalesce("_latest", "_carried")["gap_end"]))
+        .select("_trade.*")
     )
-    placed = fetched.withColumn("_slot", time_block(F.col("event_time"), slot_seconds))
-    covered_key = [F.col(f"t.{c}") == F.col(f"g.{c}") for c in [*by, "_slot"]]
-    inside = F.col("t.event_time").between(F.col("g.gap_start"), F.col("g.gap_end"))
-    return placed.alias("t").join(
-        covered.alias("g"), [*covered_key, inside], "left_semi"
-    ).drop("_slot")
 
 
 def merge_backfill(history: DataFrame, backfill: DataFrame) -> DataFrame:

@@ -195,7 +195,13 @@ def latest_bar_per_symbol(bars: DataFrame) -> DataFrame:
 
 
 def bars_since(bars: DataFrame, processed: DataFrame, symbol_bound: int | None = None) -> DataFrame:
-    """Bars newer than the newest processed bar of their symbol."""
+    """Bars newer than the newest processed bar of their symbol.
+
+    With a ``symbol_bound`` the bars have at most so many symbols; marks of
+    other symbols are left out before they are broadcast.
+    """
+    if symbol_bound is not None:
+        processed = processed.join(bars.select("symbol").distinct(), "symbol", "left_semi")
     mark = processed.groupBy("symbol").agg(F.max("window_start").alias("_mark"))
     return (
         bars.join(bounded_broadcast(mark, symbol_bound), "symbol", "left")

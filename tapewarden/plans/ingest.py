@@ -34,5 +34,5 @@ def repair_gaps(
     """History with its feed gaps filled from fetched trades that pass validation."""
     gaps = feed_gaps(history, gap_seconds, by)
     valid = valid_only(validate_trades(fetched, symbols))
-    missing = new_trades(trades_in_gaps(valid, gaps, by, gap_seconds), history)
+    missing = new_trades(trades_in_gaps(valid, gaps, by), history)
     return merge_backfill(history, missing)

@@ -76,11 +76,11 @@ def matched_pairs(
     config: DetectionConfig,
     symbol: str | None = None,
     severity: str | None = None,
-    limit: int | None = 500,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Matched-pair report over sweep rows, newest pumps first.
+    """Matched-pair report over sweep rows; with a ``limit``, the newest pumps.
 
-    Filters apply before the limit, so a filtered report misses no pair.
+    Filters apply before the limit.
     """
     flagged = flagged_at(sweep, config.report_point)
     if symbol is not None:

@@ -48,13 +48,11 @@ def build_report(
     lookback_minutes: int | None = None,
     as_of: Column | None = None,
     zone: str | None = DISPLAY_ZONE,
-    wash_limit: int | None = 2000,
-    pair_limit: int | None = 500,
 ) -> Report:
     """Report over the wash alert table and the pump-and-dump sweep table.
 
-    All filters come before the row limits, so a filtered report misses
-    nothing. The look-back counts wash alerts by detection and pairs by the
+    Panels count all rows that pass the filters; only the tables of recent rows
+    are cut. The look-back counts wash alerts by detection and pairs by the
     start of the pump. ``zone`` shifts detection times for display.
     """
     wash, sweep = wash_alerts, pump_dump_sweep
@@ -63,8 +61,8 @@ def build_report(
     wash = within_lookback(wash, "detected_at", lookback_minutes, as_of)
     # A pair's look-back is by its pump, and its dump is never earlier.
     sweep = within_lookback(sweep, "window_start", lookback_minutes, as_of)
-    wash = search_alerts(wash, symbol, severity, wash_limit)
-    pairs = matched_pairs(sweep, config, symbol, severity, pair_limit)
+    wash = search_alerts(wash, symbol, severity)
+    pairs = matched_pairs(sweep, config, symbol, severity)
     if zone is not None:
         wash, pairs = to_display_zone(wash, zone), to_display_zone(pairs, zone)
     return Report(wash, pairs, config.symbols)

@@ -4,11 +4,16 @@ Rows lie under ``event_date / writer / batch_id``. A batch only ever replaces
 its own folders (dynamic partition overwrite), so running it again after a
 lost executor or a restart changes nothing. ``writer`` names the job: a job
 that starts over with a fresh checkpoint needs a new name.
+
+A batch lists and reads the folders of the dates it touches, no others. The
+unique key holds for readers whatever writers do at the same time: where two
+have stored a key, every reader takes the same row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,13 +41,30 @@ def _folder(root: str, table: KeyedTable) -> str:
     return f"{root.rstrip('/')}/{table.name}"
 
 
-def _stored(spark: SparkSession, root: str, table: KeyedTable) -> DataFrame:
-    """All stored rows with their layout columns; empty before the first write."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_folder(root, table))
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(path):
+def _files(spark: SparkSession, root: str, table: KeyedTable):
+    """Hadoop's path class and file system of a table, which may not exist yet."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    folder = path(_folder(root, table))
+    return path, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _stored(
+    spark: SparkSession, root: str, table: KeyedTable, dates: Sequence[date] | None = None
+) -> DataFrame:
+    """Stored rows with their layout columns, of all dates or of some; empty before the first write."""
+    path, files = _files(spark, root, table)
+    folder = _folder(root, table)
+    places = [folder] if dates is None else [f"{folder}/event_date={d.isoformat()}" for d in dates]
+    there = [p for p in places if files.exists(path(p))]
+    if not there:
         return spark.createDataFrame([], _stored_schema(table))
-    return spark.read.schema(_stored_schema(table)).parquet(_folder(root, table))
+    return spark.read.schema(_stored_schema(table)).option("basePath", folder).parquet(*there)
+
+
+def touched_dates(rows: DataFrame) -> list[date]:
+    """The dates of a batch's rows: as many values as the batch touches folders."""
+    day = F.to_date("window_start").alias("day")
+    return sorted(r.day for r in rows.select(day).distinct().collect() if r.day is not None)
 
 
 def _first_by(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -54,6 +76,14 @@ def _first_by(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> Dat
     )
 
 
+def _oldest() -> list[Column]:
+    return [F.col(c) for c in ("detected_at", "writer", "batch_id")]
+
+
+def _newest() -> list[Column]:
+    return [F.desc(c) for c in ("detected_at", "batch_id", "writer")]
+
+
 def _write(rows: DataFrame, root: str, table: KeyedTable, batch_id: int, writer: str) -> None:
     (
         rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
@@ -92,23 +122,32 @@ def insert_ignore(
     batch_id: int,
     writer: str = "main",
     order: Sequence[str] = ("detected_at",),
+    on_new: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Store rows whose key is new; the first row of a key wins and stays.
 
-    Only the dates the batch touches are read back, and only their keys.
+    Only the keys of the dates that the batch touches are read back.
+    ``on_new`` gets the rows stored, once they are.
     """
-    spark = rows.sparkSession
-    span = rows.agg(
-        F.min(F.to_date("window_start")).alias("lo"), F.max(F.to_date("window_start")).alias("hi")
-    ).first()
-    if span is None or span.lo is None:
-        return
-    own_later = (F.col("writer") == writer) & (F.col("batch_id") >= batch_id)
-    before = _stored(spark, root, table).filter(
-        F.col("event_date").between(F.lit(span.lo), F.lit(span.hi)) & ~own_later
-    )
-    fresh = first_wins(rows, before, table, [F.col(c) for c in order])
-    _write(fresh, root, table, batch_id, writer)
+    held = rows.persist()
+    try:
+        dates = touched_dates(held)
+        if not dates:
+            return
+        own_later = (F.col("writer") == writer) & (F.col("batch_id") >= batch_id)
+        before = _stored(rows.sparkSession, root, table, dates).filter(~own_later)
+        fresh = first_wins(held, before, table, [F.col(c) for c in order])
+        if on_new is None:
+            _write(fresh, root, table, batch_id, writer)
+            return
+        fresh = fresh.persist()
+        try:
+            _write(fresh, root, table, batch_id, writer)
+            on_new(fresh)
+        finally:
+            fresh.unpersist()
+    finally:
+        held.unpersist()
 
 
 def upsert(
@@ -118,18 +157,48 @@ def upsert(
     batch_id: int,
     writer: str = "main",
     order: Sequence[str] = ("detected_at",),
+    only_changes: bool = False,
 ) -> None:
     """Store the batch's last version of each key; readers take the newest over all batches.
 
-    Nothing is read back, so the cost of a batch is its own size.
+    Nothing is read back, so the cost of a batch is its own size. With
+    ``only_changes`` the touched dates are read, and versions that differ from
+    the stored one in nothing but the detection time are left out.
     """
     latest = last_wins(rows, table, [F.desc(c) for c in order])
-    _write(latest, root, table, batch_id, writer)
-
+    if not only_changes:
+        _write(latest, root, table, batch_id, writer)
+        return
+    held = latest.persist()
+    try:
+        own_later = (F.col("writer") == writer) & (F.col("batch_id") >= batch_id)
+        dates = touched_dates(held)
+        before = _stored(rows.sparkSession, root, table, dates).filter(~own_later)
+        names = [f.name for f in table.schema.fields if f.name != "detected_at"]
+        # As stored: types of the table, so that equal values compare equal.
+        new = held.select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields]
+        ).alias("new")
+        old = last_wins(before, table, _newest()).select(*names).alias("old")
+        same = [F.col(f"new.{n}").eqNullSafe(F.col(f"old.{n}")) for n in names]
+        _write(new.join(old, same, "left_anti"), root, table, batch_id, writer)
+    finally:
+        held.unpersist()
+
+
+def read_inserted(
+    spark: SparkSession,
+    root: str,
+    table: KeyedTable,
+    since: Column | None = None,
+    until: Column | None = None,
+) -> DataFrame:
+    """Table filled by ``insert_ignore``: one row per key, the first by detection, writer and batch.
 
-def read_inserted(spark: SparkSession, root: str, table: KeyedTable) -> DataFrame:
-    """Table filled by ``insert_ignore``: one row per key as stored."""
-    return _stored(spark, root, table).drop("writer", "batch_id")
+    ``since`` / ``until`` (dates) keep the scan to the folders of those days.
+    """
+    stored = _between(_stored(spark, root, table), since, until)
+    return _first_by(stored, table.key, _oldest()).drop("writer", "batch_id")
 
 
 def read_upserted(
@@ -143,19 +212,41 @@ def read_upserted(
 
     Give ``since`` / ``until`` dates to read those days only.
     """
-    stored = _stored(spark, root, table)
-    if since is not None:
-        stored = stored.filter(F.col("event_date") >= since)
-    if until is not None:
-        stored = stored.filter(F.col("event_date") <= until)
-    newest = [F.desc("detected_at"), F.desc("batch_id"), F.desc("writer")]
-    return last_wins(stored, table, newest).drop("writer", "batch_id")
+    stored = _between(_stored(spark, root, table), since, until)
+    return last_wins(stored, table, _newest()).drop("writer", "batch_id")
 
 
-def compact(spark: SparkSession, root: str, new_root: str, table: KeyedTable) -> None:
-    """Copy a table to a new root as one batch: one row per key, few files.
+def compact(
+    spark: SparkSession, root: str, table: KeyedTable, dates: Sequence[date], first: bool
+) -> None:
+    """Rewrite the folders of some dates as one batch: one row per key, few files.
 
-    Streams leave a folder per batch; run this now and then and point readers
-    and writers at the new root.
+    ``first`` says how the table is filled: first wins or last wins. The new
+    batch is there before the folders it replaces go, and readers resolve keys,
+    so a reader or a stop in between sees doubles at worst, which it resolves.
+    Folders that a writer adds meanwhile stay.
     """
-    _write(read_upserted(spark, root, table), new_root, table, batch_id=0, writer="compacted")
+    path, files = _files(spark, root, table)
+    for day in dates:
+        folder = path(f"{_folder(root, table)}/event_date={day.isoformat()}")
+        if not files.exists(folder):
+            continue
+        old = [
+            batch.getPath()
+            for writer in files.listStatus(folder)
+            for batch in (files.listStatus(writer.getPath()) if writer.isDirectory() else [])
+        ]
+        batches = [int(p.getName().split("=")[1]) for p in old if "writer=compacted" in str(p.getParent())]
+        stored = _stored(spark, root, table, [day])
+        kept = _first_by(stored, table.key, _oldest() if first else _newest())
+        _write(kept, root, table, max(batches, default=-1) + 1, "compacted")
+        for batch in old:
+            files.delete(batch, True)
+
+
+def _between(stored: DataFrame, since: Column | None, until: Column | None) -> DataFrame:
+    if since is not None:
+        stored = stored.filter(F.col("event_date") >= since)
+    if until is not None:
+        stored = stored.filter(F.col("event_date") <= until)
+    return stored

@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def workspace(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared folder named by ``spark.checkpoint.dir``.
+    """A fresh folder that driver and executors share.
 
-    Only a local session without that setting falls back to a temporary
-    folder: on a cluster other machines could not see it.
+    It lies under ``spark.checkpoint.dir``, or under the session's warehouse
+    where that is not set.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix=f"tapewarden-{name}-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

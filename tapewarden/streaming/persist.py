@@ -38,11 +38,13 @@ def start_alert_persister(
             "topic", "value", F.lit("unknown_topic").alias("reason")
         )
         critical = None
+        held = []
         for topic, table in ALERT_TABLE_OF_TOPIC.items():
             mine = routed.filter(F.col("target_table") == table.name)
-            checked = check_constraints(decode_alerts(mine, table), table)
-            good = checked.filter(F.col("constraint_error").isNull())
-            rows = good.select(*table.schema.names)
+            # Decoded and checked once for the four outputs that follow.
+            checked = check_constraints(decode_alerts(mine, table), table).persist()
+            held.append(checked)
+            rows = checked.filter(F.col("constraint_error").isNull()).select(*table.schema.names)
             insert_ignore(rows, root, table, batch_id, writer)
             rejected = rejected.unionByName(
                 checked.filter(F.col("constraint_error").isNotNull()).select(
@@ -54,6 +56,8 @@ def start_alert_persister(
         own = f"writer={writer}/batch_id={batch_id}"
         rejected.write.mode("overwrite").parquet(f"{root}/rejected_alerts/{own}")
         critical.write.mode("overwrite").parquet(f"{root}/critical_alerts/{own}")
+        for frame in held:
+            frame.unpersist()
 
     observed = messages.observe("alerts", F.count(F.lit(1)).alias("messages"))
     return start(observed, each_nonempty(store), checkpoint, "append", trigger, writer)

@@ -199,9 +199,8 @@ def start_pump_dump_detector(
     def publish(rated: DataFrame, batch_id: int) -> None:
         seen = batch_time(detected_at)
         alerts = alerts_of_matched(rated, config).withColumn("detected_at", seen)
-        insert_ignore(alerts, root, PUMP_DUMP_ALERTS, batch_id, writer)
-        if target is not None:
-            target.publish(alerts, PD_ALERTS_TOPIC)
+        on_new = None if target is None else lambda new: target.publish(new, PD_ALERTS_TOPIC)
+        insert_ignore(alerts, root, PUMP_DUMP_ALERTS, batch_id, writer, on_new=on_new)
         sweep = pump_dump_sweep(rated, config.pd_grid, seen)
         upsert(sweep, root, PD_SENSITIVITY, batch_id, writer)
 
@@ -223,7 +222,8 @@ def start_bar_rescoring(
     """Complete mode: alerts and sweep rows of all closed bars at every trigger.
 
     This gives the leave-one-out baseline, which needs later bars as well. All
-    bars stay in state, so use it on a bounded history.
+    bars stay in state, so use it on a bounded history. Only new alerts and
+    changed sweep rows are stored and published.
     """
 
     def on_bars(batch: DataFrame, batch_id: int) -> None:
@@ -232,11 +232,10 @@ def start_bar_rescoring(
         closed = batch.filter(F.col("window_end") <= F.lit(horizon))
         seen = batch_time(detected_at)
         alerts = alerts_from_bars(closed, config, baseline, seen)
-        insert_ignore(alerts, root, PUMP_DUMP_ALERTS, batch_id, writer)
-        if target is not None:
-            target.publish(alerts, PD_ALERTS_TOPIC)
+        on_new = None if target is None else lambda new: target.publish(new, PD_ALERTS_TOPIC)
+        insert_ignore(alerts, root, PUMP_DUMP_ALERTS, batch_id, writer, on_new=on_new)
         sweep = pump_dump_sweep(rated_bars(closed, config, "trailing"), config.pd_grid, seen)
-        upsert(sweep, root, PD_SENSITIVITY, batch_id, writer)
+        upsert(sweep, root, PD_SENSITIVITY, batch_id, writer, only_changes=True)
 
     bars = bar_stream(trades, config, None)
     return start(bars, each_nonempty(on_bars), checkpoint, "complete", trigger, writer)

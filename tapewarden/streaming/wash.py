@@ -36,10 +36,12 @@ _SCORED = T.StructType([*_WINDOW_FIELDS, T.StructField("z_score", T.DoubleType()
 
 
 class RunningZScore(StatefulProcessor):
-    """Score closed windows against all windows of their symbol seen so far.
+    """Score each closed window against those of its symbol up to and with it, by start.
 
-    State is the count, mean and squared deviation of window volume, merged
-    batch by batch (Chan et al., 1979), so it does not grow with the history.
+    State is the count, mean and squared deviation of window volume, updated
+    window by window (Welford, 1962), so it does not grow with the history and
+    scores do not depend on how windows are dealt to triggers. A symbol's
+    windows that close in one trigger are sorted in one task.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -48,22 +50,18 @@ class RunningZScore(StatefulProcessor):
     def handleInputRows(
         self, key: tuple, rows: Iterator[pd.DataFrame], timerValues
     ) -> Iterator[pd.DataFrame]:
-        windows = pd.concat(list(rows), ignore_index=True)
-        volume = windows["total_volume"].to_numpy(float)
+        windows = pd.concat(list(rows), ignore_index=True).sort_values("start_micros")
         seen, mean, deviation = self.stats.get() if self.stats.exists() else (0, 0.0, 0.0)
-        # Measured from the first value, so that equal volumes have no spread at all.
-        shifted = volume - volume[0]
-        own_mean = volume[0] + shifted.mean()
-        apart = own_mean - mean
-        total = seen + len(volume)
-        deviation += ((shifted - shifted.mean()) ** 2).sum()
-        deviation += apart**2 * seen * len(volume) / total
-        mean += apart * len(volume) / total
-        self.stats.update((int(total), float(mean), float(deviation)))
-        spread = math.sqrt(deviation / (total - 1)) if total > 1 else 0.0
-        yield windows.assign(
-            symbol=key[0], z_score=(volume - mean) / spread if spread > 0 else 0.0
-        )[_SCORED.names]
+        scores = []
+        for volume in windows["total_volume"].tolist():
+            seen += 1
+            apart = volume - mean
+            mean += apart / seen
+            deviation += apart * (volume - mean)
+            spread = math.sqrt(deviation / (seen - 1)) if seen > 1 else 0.0
+            scores.append((volume - mean) / spread if spread > 0 else 0.0)
+        self.stats.update((seen, mean, deviation))
+        yield windows.assign(symbol=key[0], z_score=scores)[_SCORED.names]
 
     def close(self) -> None:
         pass
@@ -125,17 +123,17 @@ def start_wash_detector(
     Default: append mode; each window is scored once, when it closes, against
     the running statistics of its symbol. ``complete=True`` scores all closed
     windows again at every trigger, so sweep rows follow the whole history;
-    its state keeps every window. Alerts are also published to ``target``.
+    its state keeps every window, but only what changed is stored. Alerts that
+    are new are also published to ``target``.
     """
 
     def publish(scored: DataFrame, batch_id: int) -> None:
         seen = batch_time(detected_at)
         alerts = alerts_from_scored(scored, config.wash_threshold, seen)
-        insert_ignore(alerts, root, WASH_ALERTS, batch_id, writer)
-        if target is not None:
-            target.publish(alerts, WASH_ALERTS_TOPIC)
+        on_new = None if target is None else lambda new: target.publish(new, WASH_ALERTS_TOPIC)
+        insert_ignore(alerts, root, WASH_ALERTS, batch_id, writer, on_new=on_new)
         sweep = wash_sweep(scored, config.wash_grid, seen)
-        upsert(sweep, root, WASH_SENSITIVITY, batch_id, writer)
+        upsert(sweep, root, WASH_SENSITIVITY, batch_id, writer, only_changes=complete)
 
     def rescore(windows: DataFrame, batch_id: int) -> None:
         # The newest window of the feed is still filling.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tapewarden.config import SYMBOLS
 from tapewarden.functions.timestamps import parse_iso_timestamp
-from tapewarden.functions.validation import parse_number
+from tapewarden.functions.validation import number_text, parse_number
 from tapewarden.operators.gaps import feed_gaps, new_trades, trades_in_gaps
 from tapewarden.operators.trades import dedup_trades, rejected_only, valid_only, validate_trades
 from tapewarden.plans.ingest import ingest_trades, repair_gaps
@@ -226,6 +227,34 @@ def test_trades_in_gaps_and_repair(spark):
     assert sorted(r.order_id for r in merged) == ["1", "2", "3", "4", "5"]
 
 
+def test_gaps_of_any_length(spark):
+    """Random feeds against brute force, and a gap of fifty years that costs no more than a short one."""
+    draw = random.Random(9)
+    for by in ((), ("symbol",)):
+        times = sorted(draw.sample(range(0, 400_000), 60))
+        history = feed(spark, *[(str(k), draw.choice("AB"), t) for k, t in enumerate(times)])
+        fetched = feed(spark, *[(f"f{k}", draw.choice("AB"), draw.randrange(-10, 400_010)) for k in range(300)])
+        gaps = feed_gaps(history, 3600, by).collect()
+        want = sorted(
+            t.order_id for t in fetched.collect()
+            if any(g.gap_start <= t.event_time <= g.gap_end and (not by or g.symbol == t.symbol) for g in gaps)
+        )
+        got = trades_in_gaps(fetched, feed_gaps(history, 3600, by), by).collect()
+        assert sorted(t.order_id for t in got) == want
+    years = 50 * 365 * 86_400
+    long = feed_gaps(feed(spark, ("1", "A", -years), ("2", "A", 0)))
+    inside = trades_in_gaps(feed(spark, ("3", "A", -years / 2), ("4", "A", 1)), long).collect()
+    assert [t.order_id for t in inside] == ["3"]
+
+
+def test_numbers_in_reasons_are_plain(spark):
+    numbers = [-0.0005, -12345678.0, -0.0012, -1.5, -123456789012.25, 0.0]
+    frame = spark.createDataFrame([(x,) for x in numbers], "x double")
+    assert [r.t for r in frame.select(number_text(F.col("x")).alias("t")).collect()] == [
+        "-0.0005", "-12345678.0", "-0.0012", "-1.5", "-123456789012.25", "0.0"
+    ]
+
+
 def test_dedup_keeps_the_earliest_copy(spark):
     frame = feed(spark, ("1", "A", 5), ("1", "A", 0), ("1", "B", 3))
     got = sorted((r.symbol, r.event_time) for r in dedup_trades(frame).collect())

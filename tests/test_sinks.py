@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 import pytest
@@ -24,7 +25,15 @@ from tapewarden.schema import (
     WASH_SENSITIVITY,
 )
 from tapewarden.sinks.dead_letter import write_dead_letters
-from tapewarden.sinks.keyed import compact, insert_ignore, read_inserted, read_upserted, upsert
+from tapewarden.sinks import keyed
+from tapewarden.sinks.keyed import (
+    compact,
+    insert_ignore,
+    read_inserted,
+    read_upserted,
+    touched_dates,
+    upsert,
+)
 from tapewarden.sinks.messages import encode_alerts, write_messages
 from tapewarden.sinks.relational import jdbc_options
 from tapewarden.sources.streams import alert_broker_options, trade_broker_options
@@ -114,15 +123,67 @@ def test_upsert_keeps_the_last_and_survives_replay(spark, tmp_path):
 
 
 def test_compaction_keeps_the_rows(spark, tmp_path):
-    old, new = f"{tmp_path}/old", f"{tmp_path}/new"
+    root = str(tmp_path)
     for batch_id in range(3):
-        upsert(sweep_rows(spark, (0, 0.1, 1.0 + batch_id, batch_id)), old, WASH_SENSITIVITY, batch_id)
-    compact(spark, old, new, WASH_SENSITIVITY)
-    upsert(sweep_rows(spark, (0, 0.5, 9.0, 9)), new, WASH_SENSITIVITY, 3)
-    rows = read_upserted(spark, new, WASH_SENSITIVITY).orderBy("threshold").collect()
+        upsert(sweep_rows(spark, (0, 0.1, 1.0 + batch_id, batch_id)), root, WASH_SENSITIVITY, batch_id)
+    day = touched_dates(sweep_rows(spark, (0, 0.1, 1.0, 0)))
+    for _ in range(2):
+        compact(spark, root, WASH_SENSITIVITY, day, first=False)
+        folders = list((tmp_path / WASH_SENSITIVITY.name).glob("event_date=*/writer=*/batch_id=*"))
+        assert [f.parent.name for f in folders] == ["writer=compacted"]
+    upsert(sweep_rows(spark, (0, 0.5, 9.0, 9)), root, WASH_SENSITIVITY, 3)
+    rows = read_upserted(spark, root, WASH_SENSITIVITY).orderBy("threshold").collect()
     assert [r.z_score for r in rows] == [3.0, 9.0]
 
 
+def test_compaction_of_a_first_wins_table(spark, tmp_path):
+    root = str(tmp_path)
+    insert_ignore(wash_rows(spark, (0, "A", "HIGH", 1.0, 1)), root, WASH_ALERTS, 0)
+    insert_ignore(wash_rows(spark, (0, "A", "LOW", 1.0, 0), (2, "A", "MEDIUM", 1.0, 1)), root, WASH_ALERTS, 1)
+    before = stored(spark, root)
+    compact(spark, root, WASH_ALERTS, touched_dates(wash_rows(spark, (0, "A", "HIGH", 1.0, 1))), first=True)
+    assert stored(spark, root) == before
+    # A replayed batch finds its keys stored.
+    insert_ignore(wash_rows(spark, (2, "A", "CRITICAL", 1.0, 0)), root, WASH_ALERTS, 1)
+    assert stored(spark, root) == before
+
+
+def test_concurrent_writers_leave_one_row_a_key(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [(k, "A", "HIGH", 1.0, 1) for k in range(50)]
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda w: insert_ignore(wash_rows(spark, *rows), root, WASH_ALERTS, 0, w), ("x", "y")))
+    assert len(stored(spark, root)) == 50
+    assert read_inserted(spark, root, WASH_ALERTS).count() == 50
+
+
+def test_a_batch_lists_only_its_dates(spark, tmp_path):
+    root = str(tmp_path)
+    insert_ignore(wash_rows(spark, (0, "A", "HIGH", 1.0, 1), (5000, "A", "HIGH", 1.0, 1)), root, WASH_ALERTS, 0)
+    days = touched_dates(wash_rows(spark, (5000, "A", "HIGH", 1.0, 1)))
+    files = keyed._stored(spark, root, WASH_ALERTS, days).inputFiles()
+    assert files and all(f"event_date={days[0].isoformat()}" in f for f in files)
+
+
+def test_only_changes_are_stored(spark, tmp_path):
+    root = str(tmp_path)
+    upsert(sweep_rows(spark, (0, 0.1, 1.0, 1), (0, 0.5, 2.0, 1)), root, WASH_SENSITIVITY, 0)
+    upsert(
+        sweep_rows(spark, (0, 0.1, 1.0, 2), (0, 0.5, 3.0, 2)), root, WASH_SENSITIVITY, 1, only_changes=True
+    )
+    added = keyed._stored(spark, root, WASH_SENSITIVITY).filter("batch_id = 1").collect()
+    assert [(r.threshold, r.z_score) for r in added] == [(0.5, 3.0)]
+
+
+def test_new_rows_are_handed_on_once(spark, tmp_path):
+    root, got = str(tmp_path), []
+    hand_on = lambda new: got.append(sorted(r.window_start for r in new.collect()))
+    insert_ignore(wash_rows(spark, (0, "A", "HIGH", 1.0, 1)), root, WASH_ALERTS, 0, on_new=hand_on)
+    both = wash_rows(spark, (0, "A", "HIGH", 1.0, 1), (2, "A", "HIGH", 1.0, 1))
+    insert_ignore(both, root, WASH_ALERTS, 1, on_new=hand_on)
+    assert [len(x) for x in got] == [1, 1] and got[0] != got[1]
+
+
 def test_date_bounds_prune_partitions(spark, tmp_path):
     root = str(tmp_path)
     upsert(sweep_rows(spark, (0, 0.1, 1.0, 0), (1440, 0.1, 2.0, 0)), root, WASH_SENSITIVITY, 0)

@@ -183,30 +183,26 @@ def test_quiet_pump_expires(spark, session, tmp_path):
     assert rows_of(got, "window_start", "window_end") == want
 
 
-def test_running_zscores_equal_a_plain_replay(spark, session, tmp_path):
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_running_zscores_do_not_depend_on_triggers(spark, session, tmp_path, parts):
     trades = random_trades(5)
-    write_parts(spark, tmp_path / "in", trades, 5)
+    write_parts(spark, tmp_path / "in", trades, parts)
     query = start_wash_detector(
         trade_stream(session, tmp_path / "in"), CONFIG, f"{tmp_path}/t", f"{tmp_path}/c",
         delay="30 seconds", trigger=None, detected_at=F.col("window_end"),
     )
     query.awaitTermination()
-    # Watermark after each part: windows that close together are scored together.
-    size = -(-len(trades) // 5)
+    # Each closed window against those of its symbol up to and with it.
     batch = volume_windows(spark.createDataFrame(trades, SCHEMA), CONFIG.wash_window)
-    volumes = {(r.symbol, r.window_end): r.total_volume for r in batch.collect()}
-    want, seen, done = {}, {"A": [], "B": []}, set()
-    for part in range(5):
-        mark = trades[min((part + 1) * size, len(trades)) - 1][3] - timedelta(seconds=30)
-        fresh = sorted(k for k in volumes if k[1] <= mark and k not in done)
-        for symbol, end in fresh:
-            seen[symbol].append(volumes[symbol, end])
-        for symbol, end in fresh:
-            history = seen[symbol]
+    mark = max(t[3] for t in trades) - timedelta(seconds=30)
+    want, seen = {}, {"A": [], "B": []}
+    for r in sorted(batch.collect(), key=lambda r: r.window_start):
+        if r.window_end <= mark:
+            history = seen[r.symbol]
+            history.append(r.total_volume)
             spread = statistics.stdev(history) if len(history) > 1 else 0.0
             mean = statistics.fmean(history)
-            want[symbol, end] = (volumes[symbol, end] - mean) / spread if spread else 0.0
-        done.update(fresh)
+            want[r.symbol, r.window_end] = (r.total_volume - mean) / spread if spread else 0.0
     sweep = read_upserted(spark, f"{tmp_path}/t", WASH_SENSITIVITY).filter("threshold = 0.5")
     got = {(r.symbol, r.window_end): r.z_score for r in sweep.collect()}
     assert got == pytest.approx(want)
