@@ -24,10 +24,10 @@ COMMON_SHARE = 1e-6
 #: Contexts with more than this share are spread by the word that follows: at most 1 / share of them.
 HOT_SHARE = 1e-3
 #: Pairs in a hash part of the count table, about: what one task counts at once.
-PART = 2_500_000
+PART = 800_000
 #: Words of a chunk, whose pairs are packed together, about.
-CHUNK = 1_500_000
-CACHED_WORDS = 1_000_000
+CHUNK = 600_000
+CACHED_WORDS = 300_000
 #: Stands for the lack of a context before the first word of a document.
 START = np.uint64(0)
 
