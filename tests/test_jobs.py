@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tapewarden import DetectionConfig
-from tapewarden.jobs import launch, parser
+from tapewarden.jobs import configured, launch, parser
 from tapewarden.plans.pump_dump import pump_dump_alerts, pump_dump_sweep_rows
 from tapewarden.plans.report import build_report
 from tapewarden.plans.wash import scored_windows, wash_alerts
-from tapewarden.schema import WASH_ALERTS
-from tapewarden.sinks.keyed import read_inserted
+from tapewarden.schema import PD_SENSITIVITY, PUMP_DUMP_ALERTS, WASH_ALERTS
+from tapewarden.sinks.keyed import read_inserted, read_upserted
 from tapewarden.sinks.messages import encode_trades, write_messages
 from tapewarden.streaming.jobs import start
 
@@ -71,6 +72,103 @@ def test_jobs_run_end_to_end_from_the_command_line(spark, trades, tmp_path):
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, own.collect()))
 
 
+def test_raw_feed_with_duplicates_through_all_jobs(spark, trades, tmp_path):
+    raw = F.to_json(
+        F.struct(
+            F.unix_millis("event_time").alias("T"), F.col("symbol").alias("s"),
+            F.when(F.col("order_id") == "7", "-1").otherwise(F.col("price").cast("string")).alias("p"),
+            F.col("quantity").cast("string").alias("q"), F.lit(True).alias("m"),
+            F.col("order_id").cast("long").alias("a"),
+        )
+    )
+    once = trades.select(raw.alias("value"))
+    write_messages(once.union(once), "json", {}, f"{tmp_path}/raw")
+    base = ["--format", "json", "--once", "--state-partitions", "2", "--root", f"{tmp_path}/t"]
+    ingest = launch(
+        spark,
+        ["ingest", *base, "--option", f"path={tmp_path}/raw", "--checkpoint", f"{tmp_path}/c0",
+         "--alert-format", "json", "--alert-path", f"{tmp_path}/topics"],
+    )
+    ingest.awaitTermination()
+    stored = spark.read.parquet(f"{tmp_path}/t/trades")
+    assert stored.count() == stored.select("symbol", "order_id").distinct().count() == trades.count() - 1
+    assert {f.name for f in (tmp_path / "t/trades").iterdir() if "=" in f.name} == {"event_date=2026-01-01"}
+    rejected = spark.read.option("header", True).csv(f"{tmp_path}/t/rejected_trades")
+    assert {r.rejection_reason for r in rejected.collect()} == {"non_positive_price:-1.0"}
+    wait = time.time() + 20
+    while time.time() < wait and not ingest.counters.totals["ingest", "valid"]:
+        time.sleep(0.2)
+    assert ingest.counters.totals["ingest", "valid"] == trades.count() - 1
+    assert ingest.counters.totals["ingest-rejects", "rejected"] == 2
+    assert '"ingest.valid"' in ingest.report()
+
+    from_messages = [*base, "--option", f"path={tmp_path}/topics/topic=market-trades"]
+    table = f"{tmp_path}/t/trades/event_date=2026-01-01/writer=ingest"
+    from_table = ["--format", "parquet", *base[2:], "--option", f"path={table}", "--trade-table"]
+    for k, (job, source) in enumerate((("wash", from_messages), ("pump-dump", from_table))):
+        launch(
+            spark,
+            [job, *source, "--checkpoint", f"{tmp_path}/c{k + 1}", "--setting", "wash_threshold=0.5",
+             "--alert-format", "json", "--alert-path", f"{tmp_path}/alerts"],
+        ).awaitTermination()
+    assert read_inserted(spark, f"{tmp_path}/t", WASH_ALERTS).count() > 0
+    # Bars of the table's trades that closed, as a batch has them.
+    bars = read_upserted(spark, f"{tmp_path}/t", PD_SENSITIVITY)
+    batch = pump_dump_sweep_rows(trades.filter("order_id <> '7'"), DetectionConfig(), F.col("window_end"))
+    want = batch.filter(F.col("window_end") <= trades.agg(F.max("event_time")).first()[0] - timedelta(minutes=1))
+    columns = ("symbol", "window_start", "price_threshold", "vol_threshold", "phase", "flagged")
+    assert sorted(map(tuple, bars.select(*columns).collect())) == sorted(map(tuple, want.select(*columns).collect()))
+    assert bars.count() > 1000
+    assert all(abs(r.z_score) > 0.5 for r in read_inserted(spark, f"{tmp_path}/t", WASH_ALERTS).collect())
+    kept = [*base[:-1], f"{tmp_path}/kept"]
+    launch(
+        spark, ["persist", *kept, "--option", f"path={tmp_path}/alerts", "--checkpoint", f"{tmp_path}/c3"]
+    ).awaitTermination()
+    for table in (WASH_ALERTS, PUMP_DUMP_ALERTS):
+        one, two = (read_inserted(spark, f"{tmp_path}/{x}", table).drop("detected_at") for x in ("t", "kept"))
+        assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+
+
+def test_settings_from_the_command_line():
+    config = configured(
+        {"wash_window": "1 minute", "wash_grid": "1,2", "pd_grid": "0.1:2,0.2:3", "report_point": "0.1:2", "volume_ratio": "2"},
+        ("A",),
+    )
+    assert config == DetectionConfig(
+        symbols=("A",), wash_window="1 minute", wash_grid=(1.0, 2.0), pd_grid=((0.1, 2.0), (0.2, 3.0)),
+        report_point=(0.1, 2.0), volume_ratio=2.0,
+    )
+    with pytest.raises(ValueError):
+        configured({"speed": "1"}, None)
+
+
+def test_panels_count_more_than_any_table_shows(spark):
+    """2,500 wash alerts and 600 pairs: totals are whole, tables show the newest 50."""
+    at = F.lit(T0) + F.make_dt_interval(mins=(F.col("id") * 10).cast("int"))
+    ids = spark.range(2500)
+    wash = ids.select(
+        at.alias("window_start"), (at + F.expr("INTERVAL 2 MINUTES")).alias("window_end"),
+        F.lit("BTCUSDT").alias("symbol"), F.lit(1).alias("trade_count"), F.lit(1.0).alias("total_volume"),
+        F.lit(1.0).alias("mean_volume"), F.lit(0.0).alias("std_volume"), F.lit(3.0).alias("z_score"),
+        F.lit("HIGH").alias("severity"), F.lit("WASH_TRADE").alias("alert_type"), at.alias("detected_at"),
+    )
+    config = DetectionConfig()
+    price, volume = config.report_point
+    bars = spark.range(1200).withColumn("at", F.lit(T0) + F.make_dt_interval(
+        mins=(F.floor(F.col("id") / 2) * 30 + F.col("id") % 2).cast("int")))
+    sweep = bars.select(
+        F.col("at").alias("window_start"), (F.col("at") + F.expr("INTERVAL 1 MINUTE")).alias("window_end"),
+        F.lit("ETHUSDT").alias("symbol"), F.when(F.col("id") % 2 == 0, 2.0).otherwise(-2.0).alias("price_change_pct"),
+        F.lit(3.0).alias("volume_ratio"), F.lit(price).alias("price_threshold"), F.lit(volume).alias("vol_threshold"),
+        F.when(F.col("id") % 2 == 0, "PUMP").otherwise("DUMP").alias("phase"), F.lit(True).alias("flagged"),
+        F.lit("HIGH").alias("severity"), F.col("at").alias("detected_at"),
+    )
+    panels = build_report(wash, sweep, config).panels()
+    overview = panels["overview"].first()
+    assert (overview.wash_alerts, overview.pump_dump_alerts) == (2500, 600)
+    assert len(panels["recent_wash"].collect()) == len(panels["recent_pairs"].collect()) == 50
+
+
 def test_command_line_defaults():
     args = parser().parse_args(["wash", "--root", "r", "--checkpoint", "c"])
     assert (args.format, args.symbols, args.once) == ("kafka", "BTCUSDT,ETHUSDT,SOLUSDT", False)

@@ -46,3 +46,21 @@ def test_copies_are_dropped_before_the_shuffle(spark):
 
 def test_json_is_parsed_once_per_row(spark):
     assert final_plan(spark, "ingest_trades").count("from_json") <= 2  # one per union branch
+
+
+def test_stored_tables_are_pruned_by_day_and_symbol(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = final_plan(spark, "report_from_tables")
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert plan.count("PartitionFilters: [isnotnull(event_date") == plan.count("FileScan") > 0
+    assert plan.count("EqualTo(symbol,purchase)") == plan.count("FileScan")
+
+
+def test_the_stream_join_has_a_time_block(spark, tmp_path):
+    from tapewarden.streaming.pairs import pair_stream
+
+    schema = "symbol string, window_start timestamp, price_change_pct double"
+    (tmp_path / "in").mkdir()
+    side = lambda: spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    plan = pair_stream(side(), side(), "5 minutes", "1 minute")._jdf.queryExecution().analyzed().toString()
+    assert "_pump_block" in plan.split("Join Inner", 1)[1].split("\n", 1)[0]
