@@ -95,6 +95,7 @@ def critical_feed(alerts: DataFrame) -> DataFrame:
     """CRITICAL alerts with the message text to raise."""
     columns = [F.col(c) for c in alerts.columns if c != "value"]
     body = F.to_json(F.struct(*columns), {"timestampFormat": ISO_MESSAGE_FORMAT})
+    # Fixed value: the words of a critical message.
     text = F.concat(
         F.lit("CRITICAL ALERT: "), "alert_type", F.lit(" on "), "symbol", F.lit(" — "), body
     )

@@ -56,6 +56,7 @@ def overview(wash: DataFrame, pump_dump: DataFrame) -> DataFrame:
 
 def timeline(wash: DataFrame, pump_dump: DataFrame) -> DataFrame:
     """Alerts per minute and type; wash by detection, pairs by when the pump began."""
+    # The two names of alert types in a timeline.
     placed = wash.select(
         F.col("detected_at").alias("at"), F.lit("Wash Trade").alias("alert_type")
     ).unionByName(
@@ -134,6 +135,7 @@ def pair_table(pairs: DataFrame, rows: int = 50) -> DataFrame:
         return F.coalesce(F.when(F.col(name).isNotNull(), F.format_string(pattern, name)), F.lit(""))
 
     newest = pairs.orderBy(F.desc("detected_at"), "symbol", "pump_start").limit(rows)
+    # Column titles and number formats.
     return newest.select(
         "detected_at",
         "symbol",

@@ -1,21 +1,9 @@
-"""Optional relational source and target through Spark's JDBC connector."""
+"""Options for Spark's JDBC connector, which reads and writes relational tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
                  driver: str | None = None, **extra: str) -> dict[str, str]:
     named = {"url": url, "dbtable": table, "user": user, "password": password, "driver": driver}
     return {**{k: v for k, v in named.items() if v is not None}, **extra}
-
-
-def read_table(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    """Filters and columns are pushed to the database; give partition options to read in parallel."""
-    return spark.read.format("jdbc").options(**options).load()
-
-
-def append_table(rows: DataFrame, options: dict[str, str]) -> None:
-    """Append to a staging table; the unique key of the final table settles repeats."""
-    rows.write.format("jdbc").options(**options).mode("append").save()
