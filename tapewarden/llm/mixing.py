@@ -83,30 +83,32 @@ def mix(
         .withColumn("size", word_count(text))
         .withColumn("__key", key)
         .withColumn("__range", F.substring("__key", 1, BUCKET_DIGITS))
+        # Never null, so that window and join deal rows out alike and text is shuffled once.
+        .withColumn("__of", F.concat(F.lit("="), F.coalesce(F.col(source), F.lit(""))))
+        .withColumn("__of", F.when(F.col(source).isNull(), "").otherwise(F.col("__of")))
     )
-    ranges = sized.groupBy(source, "__range").agg(F.sum("size").alias("range_size"))
+    ranges = sized.groupBy(source, "__of", "__range").agg(F.sum("size").alias("range_size"))
     levels = water_levels(
         ranges.groupBy(source).agg(F.sum("range_size").alias("source_size")), weights, share, max_epochs, source
     )
     wanted = F.round("target").cast("bigint")
-    earlier = Window.partitionBy(source).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("__of").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     plan = (
         ranges.withColumn("__before", F.coalesce(F.sum("range_size").over(earlier), F.lit(0)))
-        .withColumnRenamed(source, "__source")
-        .withColumnRenamed("__range", "__of_range")
+        .select(F.col(source).alias("__source"), "__of", "__range", "__before")
         .join(levels.withColumnRenamed(source, "__level_source"), F.expr("__source <=> __level_source"))
         .withColumn("__whole", F.when(F.col("source_size") > 0, F.floor(wanted / F.col("source_size"))).otherwise(0))
         .withColumn("__more", wanted - F.col("__whole") * F.col("source_size") - F.col("__before"))
-        .select("__source", "__of_range", "source_size", "target", "__whole", "__more")
+        .select("__of", "__range", "source_size", "target", "__whole", "__more")
     )
-    inside = Window.partitionBy(source, "__range").orderBy("__key", doc_id, "size")
+    inside = Window.partitionBy("__of", "__range").orderBy("__key", doc_id, "size")
     prior = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     part = F.least(F.col("size"), F.greatest(F.lit(0), F.col("__more") - F.col("__prior")))
     return (
         sized.withColumn("__prior", prior)
-        .join(plan, F.expr(f"`{source}` <=> __source AND __range = __of_range"))
+        .join(plan, ["__of", "__range"])
         .withColumn("taken", (F.col("__whole") * F.col("size") + part).cast("bigint"))
-        .drop("__key", "__range", "__prior", "__source", "__of_range", "__whole", "__more")
+        .drop("__key", "__range", "__prior", "__of", "__whole", "__more")
     )
 
 

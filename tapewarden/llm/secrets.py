@@ -28,7 +28,7 @@ TOKEN = re.compile(r"[\w+/.-]+|[^\w\s+/.-]+")
 OUT, BEGIN, IN = 0, 1, 2
 KEYWORD = re.compile(r"pass(?:word|wd|phrase|code)?|pwd|secret|token|api_?key|credential|auth|bearer|private_?key", re.I)
 #: Tokens whose features a task keeps at most; beyond it the table starts anew.
-CACHED_TOKENS = 500_000
+CACHED_TOKENS = 200_000
 
 
 def base_spans(text: str, patterns=None) -> list[tuple[int, int, int]]:
