@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapewarden.llm.common import annotate, crc_mod, documents, seeded
@@ -31,7 +31,7 @@ ODD = re.compile(r"[^\W\d_][0-9@$!|+(*.\-_~]|[0-9@$!|+(][^\W\d_]|([^\W\d_])\1\1"
 SPACED = re.compile(r"(?<!\S)(?:[^\W_] ){2,}[^\W_](?!\S)")
 LONGEST_WORD = 60
 #: Words whose restored forms a task keeps at most; beyond it the table starts anew.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 
 
 def letter_number(c: str) -> int:
@@ -155,6 +155,18 @@ class Restorer:
         return out
 
 
+def copy_key(text: str) -> Column:
+    """A number that near-copies mostly share and others do not: the least hash of three words in a row."""
+    hashed = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+"), lambda w: F.xxhash64(w))
+    n = F.size(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+"))
+    rows = F.arrays_zip(
+        F.slice(hashed, 1, F.greatest(n - 2, F.lit(1))).alias("a"),
+        F.slice(hashed, 2, F.greatest(n - 2, F.lit(1))).alias("b"),
+        F.slice(hashed, 3, F.greatest(n - 2, F.lit(1))).alias("c"),
+    )
+    return F.array_min(F.transform(rows, lambda r: F.xxhash64(r)))
+
+
 def features(word: str) -> list[str]:
     """What can speak for a label in a word: itself and its beginnings."""
     return [word, *("^" + word[:k] for k in range(4, min(8, len(word) + 1)))]
@@ -205,7 +217,8 @@ def fit(
     """A scorer learnt from `labels` (doc_id, label): the caller leaves out what is held back.
 
     The letter model counts all texts. Labels come from at most
-    `most_documents` documents, chosen by hash. Their word features are
+    `most_documents` documents, chosen by hash, of near-copies mostly one.
+    Their word features are
     counted by label in Spark; the at most `most_features` ones that lean most
     to label 1 get weights by logistic regression over the same documents.
     Without labels of both kinds every score is near 0.
@@ -219,7 +232,13 @@ def fit(
         .limit(most_documents)
     )
     # At most most_documents rows of two numbers.
-    known = docs.select(doc_id, text).join(F.broadcast(chosen), doc_id).select(text, "__label")
+    known = (
+        docs.select(doc_id, text)
+        .join(F.broadcast(chosen), doc_id)
+        .select(text, "__label", copy_key(text).alias("__key"))
+        .dropDuplicates(["__key", "__label"])
+        .select(text, "__label")
+    )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(letters)
@@ -285,20 +304,19 @@ def logistic(rows: list[list[int]], labels: list[int], counts: list[int], width:
     at = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
     columns = np.array([i for x in rows for i in x], dtype=np.int64)
     y = np.array(labels, dtype=float)
-    # A row that occurs many times, such as copies of one document, counts by its logarithm.
-    n = 1 + np.log(np.array(counts, dtype=float))
-    plain = np.array([not x for x in rows])
-    n[plain] = np.array(counts, dtype=float)[plain]
+    n = np.array(counts, dtype=float)
+    # The rarer label weighs more, by the root of how much rarer it is: few clear words are enough then.
+    n = np.where(y > 0, n * math.sqrt(max(n @ (1 - y), 1) / max(n @ y, 1)), n)
     weights, bias = np.zeros(width), math.log((n @ y + 1) / (n @ (1 - y) + 1))
     past, past_bias = np.full(width, 1e-6), 1e-6
-    for _ in range(200):
+    for _ in range(600):
         total = bias + np.bincount(at, weights[columns], minlength=len(rows))
         gap = n * (y - 1 / (1 + np.exp(-np.clip(total, -30, 30))))
-        slope = np.bincount(columns, gap[at], minlength=width) - 0.5 * weights
+        slope = np.bincount(columns, gap[at], minlength=width) - 0.05 * weights
         past += slope * slope
-        weights += 0.3 * slope / np.sqrt(past)
+        weights += 1.0 * slope / np.sqrt(past)
         past_bias += gap.sum() ** 2
-        bias += 0.3 * gap.sum() / math.sqrt(past_bias)
+        bias += 1.0 * gap.sum() / math.sqrt(past_bias)
     return weights, float(bias)
 
 
