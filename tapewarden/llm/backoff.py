@@ -26,7 +26,7 @@ HOT_SHARE = 1e-3
 #: Pairs in a hash part of the count table, about: what one task counts at once.
 PART = 800_000
 #: Words of a chunk, whose pairs are packed together, about.
-CHUNK = 600_000
+CHUNK = 1_500_000
 CACHED_WORDS = 300_000
 #: Stands for the lack of a context before the first word of a document.
 START = np.uint64(0)
