@@ -27,6 +27,7 @@ QUERIES: dict[str, Query] = {
     "op6_pii": pii.op6_pii,
     "op7_fingerprints": fingerprints.op7_fingerprints,
     "op8_backoff": backoff.op8_backoff,
+    "op8_backoff_trigrams": backoff.op8_backoff_trigrams,
     "op9_bpe": bpe.op9_bpe,
     "op10_neardup": neardup.op10_neardup,
     "pipeline": pipeline,
@@ -34,6 +35,7 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op5_mixing": mixing.OP5_SQL,
     "op8_backoff": backoff.OP8_SQL,
+    "op8_backoff_trigrams": backoff.OP8_TRIGRAMS_SQL,
 }
 
 

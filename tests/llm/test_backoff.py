@@ -41,3 +41,44 @@ def test_many_parts_hot_contexts_and_rare_words(documents, monkeypatch):
     monkeypatch.setattr(backoff, "HOT_SHARE", 1e-2)
     monkeypatch.setattr(backoff, "COMMON_SHARE", 1e-2)
     assert found(documents) == plain([(r.doc_id, r.text) for r in documents.collect()])
+
+
+def plain_triples(rows):
+    lists = [(i, (t or "").encode().split()) for i, t in rows]
+    one = Counter(w for _, x in lists for w in x)
+    two = Counter(p for _, x in lists for p in zip(x, x[1:], strict=False))
+    three = Counter(p for _, x in lists for p in zip(x, x[1:], x[2:], strict=False))
+    before = Counter(v for _, x in lists for v in x[:-1])
+    before_two = Counter(p for _, x in lists for p in zip(x[:-1], x[1:-1], strict=False))
+    n, out = sum(one.values()), []
+    for i, x in lists:
+        total, seen, seen_3 = 0.0, 0, 0
+        for k, w in enumerate(x):
+            if k > 1 and three[x[k - 2], x[k - 1], w] >= 2:
+                total += math.log(three[x[k - 2], x[k - 1], w] / before_two[x[k - 2], x[k - 1]])
+                seen, seen_3 = seen + 1, seen_3 + 1
+            elif k and two[x[k - 1], w] >= 2:
+                total += math.log(two[x[k - 1], w] / before[x[k - 1]]) + (math.log(0.4) if k > 1 else 0)
+                seen += 1
+            else:
+                total += math.log(one[w] / n) + math.log(0.4) * min(k, 2)
+        out.append((i, len(x), seen, seen_3, round(total, 4)))
+    return sorted(out, key=repr)
+
+
+def found_triples(docs):
+    rows = backoff.score(docs, order=3).collect()
+    return sorted(((r.doc_id, r.n_words, r.n_seen, r.n_seen_3, round(r.score, 4)) for r in rows), key=repr)
+
+
+def test_triples_back_off_to_pairs_and_words(documents, odd, none, monkeypatch):
+    assert found_triples(odd) == plain_triples([(r.doc_id, r.text) for r in odd.collect()])
+    assert found_triples(none) == []
+    want = plain_triples([(r.doc_id, r.text) for r in documents.collect()])
+    assert found_triples(documents) == want
+    # Many parts; hot contexts and hot pairs of words; most words looked up by a join.
+    monkeypatch.setattr(backoff, "PART", 3_000)
+    monkeypatch.setattr(backoff, "CHUNK", 2_000)
+    monkeypatch.setattr(backoff, "HOT_SHARE", 2e-3)
+    monkeypatch.setattr(backoff, "COMMON_SHARE", 1e-2)
+    assert found_triples(documents) == want
