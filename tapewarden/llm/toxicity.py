@@ -28,8 +28,15 @@ CHUNK = 4_000_000
 PLAIN_EDGES = "\"'()[]{}<>.,;:!?*#%&~`/\\=«»…"
 EDGES = "\"'()[]{}<>.,;:!?*#%&$|+-_~`/\\=«»…"
 ODD = re.compile(r"[^\W\d_][0-9@$!|+(*.\-_~]|[0-9@$!|+(][^\W\d_]|([^\W\d_])\1\1")
-SPACED = re.compile(r"(?<!\S)(?:[^\W_] ){2,}[^\W_](?!\S)")
-LONGEST_WORD = 60
+#: What may be a disguise or may not: a doubled letter, or signs alone. Both readings count.
+MAYBE_ODD = re.compile(r"([^\W\d_])\1|^[0-9@$!|+(*.\-_~]{3,}$")
+SPACED = re.compile(r"(?<!\S)(?:(?:[^\W_]|[@$!|+(])\s+){2,}(?:[^\W_]|[@$!|+(])(?!\S)")
+#: Costs of ending a word at a narrow blank of a spaced run: each gives a reading, from long words to short ones.
+BREAKS = (-2.5, -1.0, 0.0, 1.0)
+#: Cost of reading on at a wider blank.
+READ_ON = -4.0
+#: Longer words are restored each time anew.
+LONGEST_KEPT = 60
 #: Words whose restored forms a task keeps at most; beyond it the table starts anew.
 CACHED_WORDS = 200_000
 
@@ -89,6 +96,7 @@ class Restorer:
     def __init__(self, model: np.ndarray) -> None:
         self.model = model.tolist()
         self.known: dict[str, str] = {}
+        self.maybe: dict[str, str] = {}
 
     def readings(self, word: str, k: int) -> list[tuple[str, float]]:
         c = word[k]
@@ -103,12 +111,24 @@ class Restorer:
             out.append(("", -1.0))
         return out or [("", -3.0)]
 
-    def decode(self, word: str) -> str:
-        """The most likely letters behind a word of any signs, in lower case."""
+    def decode(self, word: str, wide: list[bool] | None = None, end: float = 0.0) -> str:
+        """The most likely letters behind a word of any signs, in lower case.
+
+        With `wide`, one entry for each blank of a spaced run, a word may end
+        at each blank, at the cost `end` if it is narrow: the words read have a blank between them.
+        """
         model = self.model
         # Last two letters -> (score, letters read, as a linked list).
         paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for k in range(len(word)):
+            if k and wide is not None:
+                ends, goes_on = (0.0, READ_ON) if wide[k - 1] else (end, 0.0)
+                broken = {
+                    (b, 0): (score + ends + model[a][b][0], (letters, " "))
+                    for (a, b), (score, letters) in sorted(paths.items(), key=lambda x: x[1][0] + model[x[0][0]][x[0][1]][0])
+                    if b
+                }
+                paths = {state: (score + goes_on, letters) for state, (score, letters) in paths.items()} | broken
             further: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             read = [(letter, letter_number(letter) if letter else -1, cost) for letter, cost in self.readings(word, k)]
             for (a, b), (score, letters) in paths.items():
@@ -120,6 +140,11 @@ class Restorer:
                     if state not in further or further[state][0] < total:
                         further[state] = (total, then)
             paths = further
+        return self.best(paths)
+
+    def best(self, paths: dict[tuple[int, int], tuple[float, tuple | None]]) -> str:
+        """The letters of the best path when the word ends here."""
+        model = self.model
         _, letters = max(
             ((score + model[a][b][0], then) for (a, b), (score, then) in paths.items()), key=lambda x: x[0]
         )
@@ -138,19 +163,50 @@ class Restorer:
             core = raw.strip(PLAIN_EDGES)
             if core.endswith("$$$"):
                 core = core.rstrip("$")
-            # Longer runs are data, not words.
-            got = self.decode(core) if len(core) <= LONGEST_WORD and ODD.search(core) else core.strip(EDGES)
-            self.known[raw] = got
+            got = self.decode(core) if ODD.search(core) else core.strip(EDGES)
+            if len(raw) <= LONGEST_KEPT:
+                self.known[raw] = got
         return got
 
+    def other(self, raw: str) -> str:
+        """The restored form of a word that may be a disguise or may not, else the empty string."""
+        got = self.maybe.get(raw)
+        if got is None:
+            if len(self.maybe) >= CACHED_WORDS:
+                self.maybe.clear()
+            # Signs at the edges of a word of signs alone may stand for letters.
+            core = raw if MAYBE_ODD.fullmatch(raw) else raw.strip(PLAIN_EDGES)
+            got = self.decode(core) if MAYBE_ODD.search(core) else ""
+            if len(raw) <= LONGEST_KEPT:
+                self.maybe[raw] = got
+        return got
+
+    def spaced(self, run: str) -> set[str]:
+        """Words behind a run of single letters: the whole run, its parts between wider blanks, and words by word ends in the lattice."""
+        letters, blanks = "".join(run.split()), [len(x) for x in re.findall(r"\s+", run)]
+        narrow = min(blanks)
+        wide = [n > narrow for n in blanks]
+        parts, low = [], 0
+        for k, w in enumerate(wide, 1):
+            if w:
+                parts.append(letters[low:k])
+                low = k
+        parts.append(letters[low:])
+        ended = [w for end in BREAKS for w in self.decode(letters, wide, end).split()]
+        return {self.decode(letters), *map(self.decode, parts), *ended}
+
     def words(self, text: str) -> set[str]:
         """The distinct restored words of a text."""
         low = text.lower()
         raw = low.split()
         word, known = self.word, self.known
-        out = {known[w] if w in known else word(w) for w in set(raw)}
+        maybe, other = self.maybe, self.other
+        distinct = set(raw)
+        out = {known[w] if w in known else word(w) for w in distinct}
+        out.update(maybe[w] if w in maybe else other(w) for w in distinct)
         if sum(len(w) == 1 for w in raw) > 2:
-            out.update(self.decode(m.group().replace(" ", "")) for m in SPACED.finditer(low) if len(m.group()) <= 80)
+            for m in SPACED.finditer(low):
+                out |= self.spaced(m.group())
         out.discard("")
         return out
 

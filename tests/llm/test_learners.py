@@ -33,6 +33,18 @@ def test_disguised_words_are_restored(restorer):
     assert "idiot" in restorer.words("you i d i o t there")
 
 
+def test_long_spaced_doubled_and_sign_only_disguises(restorer):
+    assert "moron" in restorer.words("you are a m o r o n")
+    assert "idiot" in restorer.words("all of this is so because " + " ".join("youareanidiot" * 5) + " i d i o t"), "over 80 characters"
+    assert "moron" in restorer.words("you m  o  r  o  n there")
+    assert "moron" in restorer.words("y o u   a r e   a   m o r o n")
+    assert "bastard" in restorer.words("some b @ s t a r d here")
+    assert restorer.word("stu" + "u" * 60 + "pid") == "stupid"
+    assert "idiot" in restorer.words("an iddiot") | restorer.words("an idiott")
+    assert "iddiot" in restorer.words("an iddiot"), "the plain reading stays"
+    assert "toto" in restorer.words("7070")
+
+
 def test_decoding_is_the_best_of_all_readings(restorer):
     """Viterbi's path has the score of the best among all readings, tried one by one."""
     draw = random.Random(3)
