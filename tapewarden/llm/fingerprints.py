@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -28,6 +28,8 @@ FEW = 24
 READ = 4
 #: Rows of a block, and rows that a task handles at once, at most.
 TEXTS = 2000
+#: Classes of a bucket that a task compares with as many others, about.
+BLOCK = 256
 NAMES = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
@@ -173,45 +175,50 @@ def similar_pairs(
 
     Each band is a sample of places; rows equal in a band are candidates. Equal
     fingerprints are one class, represented by its least id; `classes` says which
-    class a row is in, so copies are not expanded into pairs. In a band's
-    bucket, members are compared with the bucket's least class and with the
-    next one in order, so a bucket gives pairs in proportion to its size.
+    class a row is in, so copies are not expanded into pairs. All classes of a
+    band's bucket are compared with each other, by pairs of blocks of about
+    BLOCK classes, so no task holds a large bucket. A pair is returned by the
+    first band it shares. Work and result grow with the square of a bucket.
     """
     heads_of = prints.groupBy(F.col(fingerprint).alias("f")).agg(F.min(doc_id).alias("id"))
     width = PLACES // bands
     # Every bands-th byte from the band's number on.
-    keys = F.array(
-        *[
-            F.concat(F.lit(f"{b}:"), *[F.substring("f", 1 + 2 * (b + k * bands), 2) for k in range(width)])
-            for b in range(bands)
-        ]
+    keys = F.array(*[F.concat(*[F.substring("f", 1 + 2 * (b + k * bands), 2) for k in range(width)]) for b in range(bands)])
+    posted = heads_of.select("id", "f", F.posexplode(keys).alias("band", "key"))
+    sizes = posted.groupBy("band", "key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.count(F.lit(1)).alias("n"))
+    members = (
+        posted.join(sizes.filter("n > 1"), ["band", "key"])
+        .withColumn("block", F.pmod(F.xxhash64("f"), "blocks").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("band", "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "f")
     )
-    posted = heads_of.select("id", "f", F.explode(keys).alias("key"))
-    heads = posted.groupBy("key").agg(F.min(F.struct("id", "f")).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    spokes = posted.join(heads, "key").select(
-        F.col("head.id").alias("a"), F.col("id").alias("b"), F.col("head.f").alias("fa"), F.col("f").alias("fb")
-    )
-    row = Window.partitionBy("key", F.pmod(F.xxhash64("id"), F.lit(64))).orderBy("f", "id")
-    chain = (
-        posted.join(heads.select("key"), "key")
-        .withColumn("next", F.lead(F.struct("id", "f")).over(row))
-        .filter("next IS NOT NULL")
-        .select(
-            F.least("id", "next.id").alias("a"),
-            F.greatest("id", "next.id").alias("b"),
-            F.when(F.col("id") < F.col("next.id"), F.col("f")).otherwise(F.col("next.f")).alias("fa"),
-            F.when(F.col("id") < F.col("next.id"), F.col("next.f")).otherwise(F.col("f")).alias("fb"),
+    kind = prints.schema[doc_id].dataType.simpleString()
+
+    def compared(group: pa.Table) -> pa.Table:
+        band, x, y = (group.column(c)[0].as_py() for c in ("band", "x", "y"))
+        ids, block = group.column("id"), group.column("block").to_numpy()
+        codes = np.frombuffer(bytes.fromhex("".join(group.column("f").to_pylist())), dtype=np.uint8).reshape(-1, PLACES)
+        rows, others = np.flatnonzero(block == x), np.flatnonzero(block == y)
+        one, two, near = [], [], []
+        for k, row in enumerate(rows):
+            against = others[k + 1 :] if x == y else others
+            equal = codes[against] == codes[row]
+            shared = equal[:, : width * bands].reshape(-1, width, bands).all(axis=1)
+            alike = equal.mean(axis=1)
+            found = np.flatnonzero((alike >= least) & (shared.argmax(axis=1) == band))
+            one += [row] * len(found)
+            two += against[found].tolist()
+            near += alike[found].tolist()
+        return pa.table(
+            {"p": ids.take(pa.array(one, pa.int64())), "q": ids.take(pa.array(two, pa.int64())), "likeness": pa.array(near, pa.float64())}
         )
-    )
-    same = F.size(
-        F.filter(F.sequence(F.lit(0), F.lit(PLACES - 1)), lambda k: F.substr("fa", k * 2 + 1, F.lit(2)) == F.substr("fb", k * 2 + 1, F.lit(2)))
-    ) / float(PLACES)
+
     return (
-        spokes.unionByName(chain)
-        .filter("a < b")
-        .dropDuplicates(["a", "b"])
-        .select("a", "b", same.alias("likeness"))
-        .filter(F.col("likeness") >= least)
+        members.groupBy("band", "key", "x", "y")
+        .applyInArrow(compared, f"p {kind}, q {kind}, likeness double")
+        .filter("p <> q")
+        .groupBy(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+        .agg(F.max("likeness").alias("likeness"))
     )
 
 

@@ -83,3 +83,22 @@ def test_banding_finds_near_copies(spark, texts):
     wanted = [(of[k], of[1000 + k]) for k, t in enumerate(base) if len(t) > 400]
     assert sum(a == b or (min(a, b), max(a, b)) in found for a, b in wanted) >= 0.9 * len(wanted)
     assert fp.fingerprints(docs.limit(0)).count() == 0
+
+
+def test_all_pairs_of_a_bucket_larger_than_a_block(spark):
+    """Alike classes that share one large bucket only, neither its first nor neighbours in it."""
+    draw = np.random.default_rng(2)
+    codes = draw.integers(0, 256, (2 * fp.BLOCK + 90, fp.PLACES), dtype=np.uint8)
+    codes[:, ::32] = 7
+    half = len(codes) // 2
+    # Pairs differ in one place of each other band.
+    codes[half : 2 * half] = codes[:half]
+    codes[half : 2 * half, 1:32] ^= draw.integers(1, 256, (half, 31), dtype=np.uint8)
+    prints = spark.createDataFrame([(k, c.tobytes().hex()) for k, c in enumerate(codes)], "doc_id bigint, fingerprint string")
+    found = {(r.a, r.b): r.likeness for r in fp.similar_pairs(prints, least=0.6).collect()}
+    want = {}
+    for a in range(len(codes)):
+        share = (codes[a + 1 :] == codes[a]).mean(axis=1)
+        want |= {(a, a + 1 + int(k)): float(share[k]) for k in np.flatnonzero(share >= 0.6)}
+    assert len(want) >= half
+    assert found == want
