@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapewarden.llm import backoff, bpe, fingerprints, language, mixing, neardup, pii, quality, secrets, toxicity
+from tapewarden.llm import (
+    backoff,
+    bpe,
+    exactdup,
+    fingerprints,
+    interaction,
+    language,
+    mixing,
+    neardup,
+    pii,
+    quality,
+    secrets,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,12 +43,16 @@ QUERIES: dict[str, Query] = {
     "op8_backoff_trigrams": backoff.op8_backoff_trigrams,
     "op9_bpe": bpe.op9_bpe,
     "op10_neardup": neardup.op10_neardup,
+    "op11_exact": exactdup.op11_exact,
+    "op12_interaction": interaction.op12_interaction,
     "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {
     "op5_mixing": mixing.OP5_SQL,
     "op8_backoff": backoff.OP8_SQL,
     "op8_backoff_trigrams": backoff.OP8_TRIGRAMS_SQL,
+    "op11_exact": exactdup.OP11_SQL,
+    "op12_interaction": interaction.OP12_SQL,
 }
 
 
