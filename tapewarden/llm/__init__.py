@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tapewarden.llm import (
     backoff,
     bpe,
+    collocations,
     exactdup,
     fingerprints,
     interaction,
@@ -45,6 +46,7 @@ QUERIES: dict[str, Query] = {
     "op10_neardup": neardup.op10_neardup,
     "op11_exact": exactdup.op11_exact,
     "op12_interaction": interaction.op12_interaction,
+    "op13_collocations": collocations.op13_collocations,
     "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {
@@ -53,6 +55,7 @@ ORACLES: dict[str, str] = {
     "op8_backoff_trigrams": backoff.OP8_TRIGRAMS_SQL,
     "op11_exact": exactdup.OP11_SQL,
     "op12_interaction": interaction.OP12_SQL,
+    "op13_collocations": collocations.OP13_SQL,
 }
 
 

@@ -18,4 +18,4 @@ def test_query_equals_sql(spark, name):
 def test_every_operator_has_a_query():
     names = set(all_queries())
     assert "pipeline" in names
-    assert {n.split("_")[0] for n in names} >= {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names} >= {f"op{k}" for k in range(1, 14)}
