@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapewarden.functions.pricing import guarded_ratio, price_change
-from tapewarden.operators.blocks import bounded_broadcast, planned_alike, trailing_totals
+from tapewarden.operators.blocks import DAY, bounded_broadcast, planned_alike, trailing_totals
 
 
 def volume_baseline(windows: DataFrame) -> DataFrame:
@@ -57,12 +57,21 @@ def with_leave_one_out(bars: DataFrame, symbol_bound: int | None = None) -> Data
     )
 
 
-def with_trailing(bars: DataFrame) -> DataFrame:
-    """Ratio to the mean volume of the *earlier* bars of the symbol; the first bar's is its own."""
-    totals = trailing_totals(bars, ["symbol"], "window_start", "total_volume")
-    earlier = F.when(
-        F.col("_prior_count") > 0, F.col("_prior_sum") / F.col("_prior_count")
-    ).otherwise(F.col("total_volume"))
+def with_trailing(
+    bars: DataFrame, carried: DataFrame | None = None, symbol_bound: int | None = None, seconds: int = DAY
+) -> DataFrame:
+    """Ratio to the mean volume of the *earlier* bars of the symbol; the first bar's is its own.
+
+    ``carried`` (symbol, bars, volume) counts bars of each symbol before these.
+    """
+    totals = trailing_totals(bars, ["symbol"], "window_start", "total_volume", seconds)
+    count, volume = F.col("_prior_count"), F.col("_prior_sum")
+    if carried is not None:
+        before = carried.select("symbol", F.col("bars").alias("_bars0"), F.col("volume").alias("_volume0"))
+        totals = totals.join(bounded_broadcast(before, symbol_bound), "symbol", "left")
+        count = count + F.coalesce("_bars0", F.lit(0))
+        volume = volume + F.coalesce("_volume0", F.lit(0.0))
+    earlier = F.when(count > 0, volume / count).otherwise(F.col("total_volume"))
     return _with_ratio(
-        totals.withColumn("baseline_volume", earlier).drop("_prior_count", "_prior_sum")
+        totals.withColumn("baseline_volume", earlier).drop("_prior_count", "_prior_sum", "_bars0", "_volume0")
     )

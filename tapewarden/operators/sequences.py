@@ -22,21 +22,24 @@ def _block_seconds(pair_seconds: int) -> int:
     return max(DAY, pair_seconds)
 
 
+def with_phases(rated: DataFrame, config: DetectionConfig) -> DataFrame:
+    """Add ``phase``: PUMP, DUMP or null; null also where a bar has no positive open price."""
+    phase = bar_phase(
+        F.col("price_change"),
+        F.col("volume_ratio"),
+        config.pump_threshold,
+        config.dump_threshold,
+        config.volume_ratio,
+    )
+    return rated.withColumn("phase", F.when(F.col("open_price") > 0, phase))
+
+
 def classify_bars(rated: DataFrame, config: DetectionConfig) -> DataFrame:
     """Add ``phase`` (PUMP, DUMP or null); bars without a positive open price are left out.
 
     The baseline is already computed, so those bars still count in it.
     """
-    return rated.filter(F.col("open_price") > 0).withColumn(
-        "phase",
-        bar_phase(
-            F.col("price_change"),
-            F.col("volume_ratio"),
-            config.pump_threshold,
-            config.dump_threshold,
-            config.volume_ratio,
-        ),
-    )
+    return with_phases(rated.filter(F.col("open_price") > 0), config)
 
 
 def consuming_matches(classified: DataFrame, config: DetectionConfig) -> DataFrame:

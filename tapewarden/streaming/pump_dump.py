@@ -2,19 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tapewarden.config import PD_ALERTS_TOPIC, DetectionConfig, interval_seconds
-from tapewarden.functions.pricing import percent, price_change
-from tapewarden.functions.severity import pump_dump_severity
+from tapewarden.config import PD_ALERTS_TOPIC, DetectionConfig
+from tapewarden.operators.running import BARS, carried_bars, running_bars, running_matches
 from tapewarden.operators.sweeps import pump_dump_sweep
 from tapewarden.operators.trades import clean_trades
 from tapewarden.operators.windows import ohlcv_bars
@@ -22,112 +15,9 @@ from tapewarden.plans.pump_dump import alerts_from_bars, rated_bars
 from tapewarden.schema import PD_SENSITIVITY, PUMP_DUMP_ALERTS
 from tapewarden.sinks.keyed import insert_ignore, upsert
 from tapewarden.sinks.messages import MessageTarget
+from tapewarden.streaming.carry import Carried
 from tapewarden.streaming.jobs import TRIGGER, batch_time, each_nonempty, start
 
-_BAR_FIELDS = [
-    T.StructField("symbol", T.StringType()),
-    T.StructField("start_micros", T.LongType()),
-    T.StructField("end_micros", T.LongType()),
-    T.StructField("open_price", T.DoubleType()),
-    T.StructField("close_price", T.DoubleType()),
-    T.StructField("total_volume", T.DoubleType()),
-]
-# ``matched`` bars are DUMPs that end a PUMP, which began at ``pump_micros``.
-_RATED = T.StructType(
-    [
-        *_BAR_FIELDS,
-        T.StructField("volume_ratio", T.DoubleType()),
-        T.StructField("matched", T.BooleanType()),
-        T.StructField("pump_micros", T.LongType()),
-        T.StructField("pump_change", T.DoubleType()),
-    ]
-)
-
-
-class PumpDumpProcessor(StatefulProcessor):
-    """Per symbol: running volume of earlier bars, newest bar seen, open PUMP.
-
-    Bars of a key come in watermark order from batch to batch but unsorted
-    within one. A batch is handled with array operations; only the carried
-    totals and the open PUMP live in state. The PUMP expires on an event-time
-    timer after twice the pair window.
-    """
-
-    def __init__(self, config: DetectionConfig) -> None:
-        self.config = config
-        self.pair_micros = interval_seconds(config.pair_window) * 1_000_000
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.totals = handle.getValueState("totals", "bars long, volume double, newest long")
-        self.pump = handle.getValueState("pump", "start long, change double, timer long")
-
-    def handleInputRows(
-        self, key: tuple, rows: Iterator[pd.DataFrame], timerValues
-    ) -> Iterator[pd.DataFrame]:
-        bars = pd.concat(list(rows)).sort_values("start_micros")
-        seen, volume_before, newest = self.totals.get() if self.totals.exists() else (0, 0.0, None)
-        if newest is not None:
-            bars = bars[bars["start_micros"] > newest]
-        if bars.empty:
-            return
-        at = bars["start_micros"].to_numpy()
-        opened = bars["open_price"].to_numpy(float)
-        volume = bars["total_volume"].to_numpy(float)
-        count = seen + np.arange(len(bars))
-        earlier = volume_before + np.concatenate(([0.0], np.cumsum(volume)[:-1]))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            baseline = np.where(count > 0, earlier / count, volume)
-            ratio = np.where(baseline > 0, volume / baseline, 1.0)
-            change = np.where(
-                opened > 0, (bars["close_price"].to_numpy(float) - opened) / opened, np.nan
-            )
-        self.totals.update((int(count[-1] + 1), float(volume_before + volume.sum()), int(at[-1])))
-
-        loud = ratio >= self.config.volume_ratio
-        is_pump = loud & (change >= self.config.pump_threshold)
-        is_dump = loud & (change <= self.config.dump_threshold)
-        matched = np.zeros(len(bars), bool)
-        pump_micros = np.zeros(len(bars), np.int64)
-        pump_change = np.zeros(len(bars))
-        marked = np.flatnonzero(is_pump | is_dump)
-        if len(marked):
-            # The previous marked bar: inside the batch, or the open PUMP in state.
-            before = np.concatenate(([-1], marked[:-1]))
-            started, rise = at[before].copy(), change[before].copy()
-            from_pump = is_pump[before] & (before >= 0)
-            if self.pump.exists():
-                kept_start, kept_rise, timer = self.pump.get()
-                started[0], rise[0], from_pump[0] = kept_start, kept_rise, True
-                self.handle.deleteTimer(timer)
-                self.pump.clear()
-            matched[marked] = (
-                is_dump[marked] & from_pump & (at[marked] - started <= self.pair_micros)
-            )
-            pump_micros[marked], pump_change[marked] = started, rise
-            last = marked[-1]
-            if is_pump[last]:
-                timer = int((at[last] + 2 * self.pair_micros) // 1000)
-                self.pump.update((int(at[last]), float(change[last]), timer))
-                self.handle.registerTimer(timer)
-        yield bars.assign(
-            symbol=key[0],
-            volume_ratio=ratio,
-            matched=matched,
-            pump_micros=pump_micros,
-            pump_change=pump_change,
-        )[_RATED.names]
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.pump.exists():
-            if self.pump.get()[2] <= expiredTimerInfo.getExpiryTimeInMs():
-                self.pump.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass
-
-
 def bar_stream(trades: DataFrame, config: DetectionConfig, delay: str | None) -> DataFrame:
     """OHLCV bars of a trade stream; see ``window_stream`` for ``delay``."""
     clean = clean_trades(trades, config.symbols)
@@ -136,50 +26,6 @@ def bar_stream(trades: DataFrame, config: DetectionConfig, delay: str | None) ->
     return ohlcv_bars(clean, config.bar_width, keep_event_time=delay is not None)
 
 
-def rated_bar_stream(bars: DataFrame, config: DetectionConfig) -> DataFrame:
-    """Closed bars rated by their trailing baseline, DUMPs matched to their PUMP."""
-    rated = (
-        bars.withColumns(
-            {
-                "start_micros": F.unix_micros("window_start"),
-                "end_micros": F.unix_micros("window_end"),
-            }
-        )
-        .select(*[field.name for field in _BAR_FIELDS], "event_time")
-        .groupBy("symbol")
-        .transformWithStateInPandas(
-            statefulProcessor=PumpDumpProcessor(config),
-            outputStructType=_RATED,
-            outputMode="Append",
-            timeMode="EventTime",
-        )
-    )
-    return rated.withColumns(
-        {
-            "window_start": F.timestamp_micros("start_micros"),
-            "window_end": F.timestamp_micros("end_micros"),
-            "price_change": price_change(F.col("open_price"), F.col("close_price")),
-        }
-    ).drop("start_micros", "end_micros")
-
-
-def alerts_of_matched(rated: DataFrame, config: DetectionConfig) -> DataFrame:
-    """Alert rows of the matched bars."""
-    dump_pct = percent(F.col("price_change"), 4)
-    return rated.filter("matched").select(
-        F.timestamp_micros("pump_micros").alias("window_start"),
-        F.col("window_start").alias("window_end"),
-        "symbol",
-        F.lit("DUMP").alias("phase"),
-        percent(F.col("pump_change"), 4).alias("pump_price_chg_pct"),
-        dump_pct.alias("dump_price_chg_pct"),
-        dump_pct.alias("price_change_pct"),
-        F.round("volume_ratio", 4).alias("volume_ratio"),
-        pump_dump_severity(F.col("price_change"), config.dump_threshold).alias("severity"),
-        F.lit("PUMP_DUMP").alias("alert_type"),
-    )
-
-
 def start_pump_dump_detector(
     trades: DataFrame,
     config: DetectionConfig,
@@ -193,19 +39,31 @@ def start_pump_dump_detector(
 ) -> StreamingQuery:
     """Write pump-and-dump alerts (first wins) and sweep rows (last wins) as bars close.
 
-    Alerts are also published to ``target``.
+    The bars of a trigger are rated and matched by time blocks; of each symbol
+    only its totals and the PUMP that is still open are carried to the next
+    trigger, under the checkpoint. Alerts are also published to ``target``.
     """
 
-    def publish(rated: DataFrame, batch_id: int) -> None:
-        seen = batch_time(detected_at)
-        alerts = alerts_of_matched(rated, config).withColumn("detected_at", seen)
-        on_new = None if target is None else lambda new: target.publish(new, PD_ALERTS_TOPIC)
-        insert_ignore(alerts, root, PUMP_DUMP_ALERTS, batch_id, writer, on_new=on_new)
-        sweep = pump_dump_sweep(rated, config.pd_grid, seen)
-        upsert(sweep, root, PD_SENSITIVITY, batch_id, writer)
+    carried = Carried(f"{checkpoint}/carried", BARS)
 
-    rated = rated_bar_stream(bar_stream(trades, config, delay), config)
-    return start(rated, each_nonempty(publish), checkpoint, "append", trigger, writer)
+    def publish(bars: DataFrame, batch_id: int) -> None:
+        seen = batch_time(detected_at)
+        before = carried.before(bars.sparkSession, batch_id)
+        rated = running_bars(bars, before, config).persist()
+        try:
+            alerts = running_matches(rated, before, config).withColumn("detected_at", seen)
+            on_new = None if target is None else lambda new: target.publish(new, PD_ALERTS_TOPIC)
+            insert_ignore(alerts, root, PUMP_DUMP_ALERTS, batch_id, writer, on_new=on_new)
+            sweep = pump_dump_sweep(rated, config.pd_grid, seen)
+            upsert(sweep, root, PD_SENSITIVITY, batch_id, writer)
+            # Bars come in order of time: what closed last is the newest of the feed.
+            horizon = bars.agg(F.max("window_end").alias("x")).first().x
+            carried.store(carried_bars(rated, before, config, F.lit(horizon)), batch_id)
+        finally:
+            rated.unpersist()
+
+    bars = bar_stream(trades, config, delay)
+    return start(bars, each_nonempty(publish), checkpoint, "append", trigger, writer)
 
 
 def start_bar_rescoring(

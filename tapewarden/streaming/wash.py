@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tapewarden.config import WASH_ALERTS_TOPIC, DetectionConfig
 from tapewarden.operators.baselines import with_zscores
+from tapewarden.operators.running import SPREAD, block_seconds, running_zscores
 from tapewarden.operators.sweeps import wash_sweep
 from tapewarden.operators.trades import clean_trades
 from tapewarden.operators.windows import volume_windows
@@ -21,52 +16,9 @@ from tapewarden.plans.wash import alerts_from_scored
 from tapewarden.schema import WASH_ALERTS, WASH_SENSITIVITY
 from tapewarden.sinks.keyed import insert_ignore, upsert
 from tapewarden.sinks.messages import MessageTarget
+from tapewarden.streaming.carry import Carried
 from tapewarden.streaming.jobs import TRIGGER, batch_time, each_nonempty, start
 
-_WINDOW_FIELDS = [
-    T.StructField("symbol", T.StringType()),
-    T.StructField("start_micros", T.LongType()),
-    T.StructField("end_micros", T.LongType()),
-    T.StructField("trade_count", T.LongType()),
-    T.StructField("total_volume", T.DoubleType()),
-    T.StructField("mean_volume", T.DoubleType()),
-    T.StructField("std_volume", T.DoubleType()),
-]
-_SCORED = T.StructType([*_WINDOW_FIELDS, T.StructField("z_score", T.DoubleType())])
-
-
-class RunningZScore(StatefulProcessor):
-    """Score each closed window against those of its symbol up to and with it, by start.
-
-    State is the count, mean and squared deviation of window volume, updated
-    window by window (Welford, 1962), so it does not grow with the history and
-    scores do not depend on how windows are dealt to triggers. A symbol's
-    windows that close in one trigger are sorted in one task.
-    """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.stats = handle.getValueState("stats", "windows long, mean double, deviation double")
-
-    def handleInputRows(
-        self, key: tuple, rows: Iterator[pd.DataFrame], timerValues
-    ) -> Iterator[pd.DataFrame]:
-        windows = pd.concat(list(rows), ignore_index=True).sort_values("start_micros")
-        seen, mean, deviation = self.stats.get() if self.stats.exists() else (0, 0.0, 0.0)
-        scores = []
-        for volume in windows["total_volume"].tolist():
-            seen += 1
-            apart = volume - mean
-            mean += apart / seen
-            deviation += apart * (volume - mean)
-            spread = math.sqrt(deviation / (seen - 1)) if seen > 1 else 0.0
-            scores.append((volume - mean) / spread if spread > 0 else 0.0)
-        self.stats.update((seen, mean, deviation))
-        yield windows.assign(symbol=key[0], z_score=scores)[_SCORED.names]
-
-    def close(self) -> None:
-        pass
-
-
 def window_stream(trades: DataFrame, config: DetectionConfig, delay: str | None) -> DataFrame:
     """Volume windows of a trade stream.
 
@@ -80,32 +32,6 @@ def window_stream(trades: DataFrame, config: DetectionConfig, delay: str | None)
     return volume_windows(clean, config.wash_window)
 
 
-def scored_window_stream(windows: DataFrame) -> DataFrame:
-    """Closed windows with the z-score they had when they closed."""
-    scored = (
-        windows.withColumns(
-            {
-                "start_micros": F.unix_micros("window_start"),
-                "end_micros": F.unix_micros("window_end"),
-            }
-        )
-        .select(*[field.name for field in _WINDOW_FIELDS])
-        .groupBy("symbol")
-        .transformWithStateInPandas(
-            statefulProcessor=RunningZScore(),
-            outputStructType=_SCORED,
-            outputMode="Append",
-            timeMode="None",
-        )
-    )
-    return scored.withColumns(
-        {
-            "window_start": F.timestamp_micros("start_micros"),
-            "window_end": F.timestamp_micros("end_micros"),
-        }
-    ).drop("start_micros", "end_micros")
-
-
 def start_wash_detector(
     trades: DataFrame,
     config: DetectionConfig,
@@ -121,7 +47,8 @@ def start_wash_detector(
     """Write wash alerts (first wins) and sweep rows (last wins) under ``root``.
 
     Default: append mode; each window is scored once, when it closes, against
-    the running statistics of its symbol. ``complete=True`` scores all closed
+    the running statistics of its symbol, of which a summary is carried from
+    trigger to trigger under the checkpoint. ``complete=True`` scores all closed
     windows again at every trigger, so sweep rows follow the whole history;
     its state keeps every window, but only what changed is stored. Alerts that
     are new are also published to ``target``.
@@ -141,8 +68,19 @@ def start_wash_detector(
         closed = windows.filter(F.col("window_end") <= F.lit(horizon))
         publish(with_zscores(closed, config.symbol_bound), batch_id)
 
+    carried = Carried(f"{checkpoint}/carried", SPREAD)
+
+    def score(windows: DataFrame, batch_id: int) -> None:
+        before = carried.before(windows.sparkSession, batch_id)
+        scored, after = running_zscores(windows, before, block_seconds(config.wash_window), config.symbol_bound)
+        held = scored.persist()
+        try:
+            publish(held, batch_id)
+        finally:
+            held.unpersist()
+        carried.store(after, batch_id)
+
     windows = window_stream(trades, config, None if complete else delay)
     if complete:
         return start(windows, each_nonempty(rescore), checkpoint, "complete", trigger, writer)
-    scored = scored_window_stream(windows)
-    return start(scored, each_nonempty(publish), checkpoint, "append", trigger, writer)
+    return start(windows, each_nonempty(score), checkpoint, "append", trigger, writer)
