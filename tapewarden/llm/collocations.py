@@ -19,12 +19,13 @@ from tapewarden.llm.common import documents, shared_folder, written
 DEPTH = 5
 #: Suffixes of one group of prefixes at most, counted before equal ones are added up.
 BUDGET = 400_000
-#: Prefixes of one length that tasks are told as frequent at most; were there more, all of that length count as such.
+#: Frequent words, or frequent prefixes of one length, that tasks are told at most. Were there more, all phrases
+#: are counted one by one.
 MOST_LISTED = 500_000
 #: Bits of the filter of frequent words that tasks get at most: 8 MB.
 MOST_FILTER_BITS = 1 << 26
-#: Characters that a task splits into words at a time.
-CHUNK = 8_000_000
+#: Bytes of text that a task splits into words at a time.
+CHUNK = 4_000_000
 #: Parts of a language that are ranked apart before their first rows are ranked together.
 RANK_PARTS = 64
 
@@ -47,18 +48,15 @@ def _number_of(lang: str, prefix: str) -> Column:
 class Prefixes:
     """What a task has to know of the vertical partition."""
 
-    #: One entry a length from 1 on: the frequent prefixes by language, or None where all count as such.
-    listed: list[dict[bytes, set[bytes]] | None] = field(default_factory=list)
+    #: One entry a length from 1 on: the frequent prefixes by language.
+    listed: list[dict[bytes, set[bytes]]] = field(default_factory=list)
     #: Number of groups by language.
     groups: dict[bytes, int] = field(default_factory=dict)
     #: Bits of the words that are frequent enough to be in a phrase, hashed; a few others look so too.
     alive: bytes | None = None
 
-    def is_frequent(self, lang: bytes, prefix: bytes, length: int) -> bool:
-        if length > len(self.listed):
-            return False
-        of = self.listed[length - 1]
-        return of is None or prefix in of.get(lang, ())
+    def of(self, lang: bytes, length: int) -> set[bytes]:
+        return self.listed[length - 1].get(lang, set()) if length <= len(self.listed) else set()
 
 
 def _segments(blob: bytes) -> Iterator[tuple[bytes, int]]:
@@ -114,6 +112,11 @@ class Words:
         self.codes = np.where(usable[codes], codes + 1, 0) if len(codes) else codes
         self.starts = len(codes) - extra
 
+    def pairs(self) -> np.ndarray:
+        """Places from which a phrase of two words or more goes on."""
+        codes = np.concatenate([self.codes, [0]])
+        return np.flatnonzero((codes[: self.starts] > 0) & (codes[1 : self.starts + 1] > 0))
+
     def windows(self, length: int, at: np.ndarray) -> list[np.ndarray]:
         """The words from each place on, 0 behind the end of a phrase."""
         padded = np.concatenate([self.codes, np.zeros(length, dtype=np.int64)])
@@ -141,17 +144,9 @@ class Words:
             return parts[0]
         return pc.binary_join_element_wise(*parts, b" ", null_handling="skip")
 
-    def frequent(self, columns: list[np.ndarray], length: int) -> np.ndarray:
-        """Which of these windows begin with frequent prefixes of all lengths up to `length`."""
-        held = np.ones(len(columns[0]), dtype=bool)
-        for k in range(1, length + 1):
-            there = np.flatnonzero(held)
-            if not len(there):
-                break
-            coded = self.phrases([c[there] for c in columns[:k]]).dictionary_encode()
-            known = np.array([self.prefixes.is_frequent(self.lang, p, k) for p in coded.dictionary.to_pylist()], dtype=bool)
-            held[there] = known[coded.indices.to_numpy(zero_copy_only=False)] & (columns[k - 1][there] > 0)
-        return held
+    def by_word(self, of: Callable[[bytes], int], kind: type) -> np.ndarray:
+        """A number for each code: 0 for the end of a phrase, else what `of` gives for its word."""
+        return np.array([0, *map(of, self.values)], dtype=kind)
 
 
 def _by_segment(
@@ -167,7 +162,7 @@ def _by_segment(
             for lang, texts in held.items():
                 for segment, extra in _segments(b".".join(texts).translate(_FOLD)):
                     for out in work(Words(segment, extra, lang, prefixes)):
-                        out["lang"] = pa.array([lang.decode()]).take(pa.array(np.zeros(len(out["n"]), dtype=np.int64)))
+                        out["lang"] = pa.array([lang.decode()] * len(out["n"]))
                         yield pa.RecordBatch.from_arrays([out[f.name].cast(f.type) for f in schema], schema=schema)
             held.clear()
 
@@ -186,8 +181,15 @@ def _by_segment(
 
 
 _COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
-_SUFFIXES = pa.schema(
-    [("lang", pa.string()), ("part", pa.int32()), ("depth", pa.int32()), ("suffix", pa.string()), ("n", pa.int64())]
+#: One row for a group and segment: suffixes by line, with the length of the prefix that led each here and how often it is there.
+_BLOCKS = pa.schema(
+    [
+        ("lang", pa.string()),
+        ("part", pa.int32()),
+        ("suffixes", pa.string()),
+        ("depths", pa.list_(pa.int8())),
+        ("n", pa.list_(pa.int32())),
+    ]
 )
 
 
@@ -195,71 +197,88 @@ def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text"))
 
 
-def prefix_counts(texts: DataFrame, length: int, prefixes: Prefixes) -> DataFrame:
-    """`lang`, `phrase`, `n`: occurrences of each prefix of `length` words whose shorter prefixes are all frequent.
+def word_counts(texts: DataFrame) -> DataFrame:
+    """`lang`, `phrase`, `n`: occurrences of every word; the empty phrase counts all words."""
+
+    def work(words: Words) -> Iterator[dict]:
+        at = np.flatnonzero(words.codes[: words.starts])
+        counts = np.bincount(words.codes[at], minlength=len(words.values) + 1)[1:]
+        there = np.flatnonzero(counts)
+        yield {"phrase": words.dictionary.take(pa.array(there)), "n": pa.array(counts[there])}
+        yield {"phrase": pa.array([b""]), "n": pa.array([len(at)])}
+
+    counted = texts.mapInArrow(_by_segment(work, Prefixes(), _COUNTS), "lang string, phrase string, n bigint")
+    return counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+
+
+def run_counts(texts: DataFrame, prefixes: Prefixes, every: bool = False) -> DataFrame:
+    """`lang`, `phrase`, `n` of all runs of two to DEPTH frequent words; with `every`, of words that may be in a phrase.
 
-    With length 1, of every word; the empty phrase counts all words.
+    A prefix is at most as frequent as each of its words, so these runs hold all frequent prefixes.
     """
 
     def work(words: Words) -> Iterator[dict]:
-        at = np.flatnonzero(words.codes[: words.starts])
-        if length == 1:
-            counts = np.bincount(words.codes[at], minlength=len(words.values) + 1)[1:]
-            there = np.flatnonzero(counts)
-            yield {"phrase": words.dictionary.take(pa.array(there)), "n": pa.array(counts[there])}
-            yield {"phrase": pa.array([b""]), "n": pa.array([len(at)])}
-            return
-        columns, n = words.counted(length, at)
-        keep = words.frequent(columns, length - 1) & (columns[-1] > 0)
-        if keep.any():
-            yield {"phrase": words.phrases([c[keep] for c in columns]), "n": pa.array(n[keep])}
+        if not every:
+            listed = prefixes.of(words.lang, 1)
+            words.codes = np.where(words.by_word(listed.__contains__, bool)[words.codes], words.codes, 0)
+        at = words.pairs()
+        for length in range(2, DEPTH + 1):
+            if not len(at):
+                return
+            columns, n = words.counted(length, at)
+            keep = columns[-1] > 0
+            if keep.any():
+                yield {"phrase": words.phrases([c[keep] for c in columns]), "n": pa.array(n[keep])}
 
     counted = texts.mapInArrow(_by_segment(work, prefixes, _COUNTS), "lang string, phrase string, n bigint")
     return counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def suffixes(texts: DataFrame, prefixes: Prefixes) -> DataFrame:
-    """Suffixes of two to DEPTH words with the group of their shortest prefix that is not frequent, and its length.
+def suffix_blocks(texts: DataFrame, prefixes: Prefixes) -> DataFrame:
+    """Suffixes of two to DEPTH words by the group of their shortest prefix that is not frequent.
 
-    Equal suffixes of a segment are added up. Those whose prefixes are all
-    frequent are left out: every count along them is known.
+    Equal suffixes of a segment are added up, and those of one group are one
+    row. Suffixes whose prefixes are all frequent are left out: every count
+    along them is known.
     """
 
     def work(words: Words) -> Iterator[dict]:
-        codes = np.concatenate([words.codes, [0]])
-        at = np.flatnonzero((codes[: words.starts] > 0) & (codes[1 : words.starts + 1] > 0))
+        at = words.pairs()
         if not len(at):
             return
         columns, n = words.counted(DEPTH, at)
-        parts = words.prefixes.groups.get(words.lang, 1)
-        part = np.zeros(len(n), dtype=np.int64)
-        depth = np.zeros(len(n), dtype=np.int64)
-        open_ = np.arange(len(n))
-        for k in range(1, DEPTH + 1):
-            coded = words.phrases([c[open_] for c in columns[:k]]).dictionary_encode()
-            names = coded.dictionary.to_pylist()
-            group = np.array(
-                [-1 if words.prefixes.is_frequent(words.lang, p, k) else _number(words.lang, p) % parts for p in names],
-                dtype=np.int64,
-            )[coded.indices.to_numpy(zero_copy_only=False)]
-            settled = open_[group >= 0]
-            part[settled], depth[settled] = group[group >= 0], k
-            open_ = open_[group < 0]
-            if k < DEPTH:
-                open_ = open_[columns[k][open_] > 0]
+        parts = prefixes.groups.get(words.lang, 1)
+        listed = prefixes.of(words.lang, 1)
+        part = words.by_word(lambda w: -1 if w in listed else _number(words.lang, w) % parts, np.int64)[columns[0]]
+        depth = np.ones(len(n), dtype=np.int8)
+        open_ = np.flatnonzero(part < 0)
+        for k in range(2, DEPTH + 1):
+            open_ = open_[columns[k - 1][open_] > 0]
             if not len(open_):
                 break
-        keep = np.flatnonzero(depth)
-        if len(keep):
-            yield {
-                "part": pa.array(part[keep]),
-                "depth": pa.array(depth[keep]),
-                "suffix": words.phrases([c[keep] for c in columns]),
-                "n": pa.array(n[keep]),
-            }
-
-    schema = "lang string, part int, depth int, suffix string, n bigint"
-    return texts.mapInArrow(_by_segment(work, prefixes, _SUFFIXES), schema)
+            coded = words.phrases([c[open_] for c in columns[:k]]).dictionary_encode()
+            listed = prefixes.of(words.lang, k)
+            number = [-1 if p in listed else _number(words.lang, p) % parts for p in coded.dictionary.to_pylist()]
+            part[open_] = np.array(number, dtype=np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+            depth[open_] = k
+            open_ = open_[part[open_] < 0]
+        keep = np.flatnonzero(part >= 0)
+        if not len(keep):
+            return
+        keep = keep[np.argsort(part[keep] << 32 | columns[0][keep], kind="stable")]
+        part = part[keep]
+        begins = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        offsets = pa.array(np.append(begins, len(part)), pa.int32())
+        lines = pa.ListArray.from_arrays(offsets, words.phrases([c[keep] for c in columns]))
+        yield {
+            "part": pa.array(part[begins]),
+            "suffixes": pc.binary_join(lines, b"\n"),
+            "depths": pa.ListArray.from_arrays(offsets, pa.array(depth[keep])),
+            "n": pa.ListArray.from_arrays(offsets, pa.array(n[keep].astype(np.int32))),
+        }
+
+    schema = "lang string, part int, suffixes string, depths array<tinyint>, n array<int>"
+    return texts.mapInArrow(_by_segment(work, prefixes, _BLOCKS), schema)
 
 
 def subtree_counts(suffix: pa.Array, depth: np.ndarray, n: np.ndarray, least: int) -> tuple[pa.Array, np.ndarray]:
@@ -298,11 +317,10 @@ def subtree_counts(suffix: pa.Array, depth: np.ndarray, n: np.ndarray, least: in
 
 def _subtrees(least: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        lang = key[0].as_py()
-        table = table.combine_chunks()
-        one = lambda name: table[name].chunk(0) if table[name].num_chunks else table[name].combine_chunks()
-        phrases, counts = subtree_counts(one("suffix"), one("depth").to_numpy(), one("n").to_numpy(), least)
-        langs = pa.array([lang] * len(counts), pa.string())
+        lines = pc.split_pattern(pa.array(["\n".join(table["suffixes"].to_pylist())]), "\n").flatten()
+        flat = lambda name: pc.list_flatten(table[name]).to_numpy()
+        phrases, counts = subtree_counts(lines, flat("depths"), flat("n").astype(np.int64), least)
+        langs = pa.array([key[0].as_py()] * len(counts), pa.string())
         return pa.Table.from_arrays([langs, phrases.cast(pa.string()), pa.array(counts, pa.int64())], schema=_COUNTS)
 
     return run
@@ -311,9 +329,11 @@ def _subtrees(least: int):
 def _group_numbers(words: DataFrame, light: DataFrame, budget: int) -> dict[bytes, int]:
     """Groups by language, as many as it takes that none has more than `budget` suffixes.
 
-    `light` are the counted prefixes that lead to a group. They are dealt by
-    hash; were a group too large, there are twice as many. `words` has the
-    number of all words of each language: one row of it a language is collected.
+    `light` are the words that lead to a group themselves; groups get longer
+    prefixes besides, and all of them together are at most half of the budgets.
+    They are dealt by hash; were a group too large, there are twice as many.
+    `words` has the number of all words of each language: one row of it a
+    language is collected.
     """
     totals = {r["lang"]: r["n"] for r in words.filter("phrase = ''").collect()}
     groups = {lang: max(1, math.ceil(2 * n / budget)) for lang, n in totals.items()}
@@ -352,50 +372,47 @@ def phrase_counts(
 ) -> DataFrame:
     """`lang`, `phrase`, `n` of every phrase of one to five words with n >= `least`, and of the empty phrase (all words).
 
-    Vertical partitioning: prefixes of one word are counted, those of more than
-    a quarter of `budget` are extended by a word and counted again, up to five
-    words. Prefixes at or below that are dealt to groups of at most `budget`
-    suffixes, so one task holds one group, whatever the frequency of a word.
-    Each group builds its own subtree, cut at five words. A word below `least`
-    ends a suffix, as it is in no phrase; which words these are, tasks mostly
-    know from a filter of bounded size.
+    Vertical partitioning: words are counted first. Those of more than an eighth
+    of `budget` are frequent: they do not lead a group, the first of their longer
+    prefixes that is not frequent does. Which of these are frequent follows from
+    counting runs of frequent words. Prefixes that lead are dealt to groups of at
+    most about `budget` suffixes, so one task holds one group, whatever the
+    frequency of a word, and builds its subtree, cut at five words. A word below
+    `least` ends a suffix, as it is in no phrase; which words these are, tasks
+    mostly know from a filter of bounded size.
     """
     texts = _texts(docs, text, lang)
     folder = shared_folder(docs.sparkSession, "phrases")
-    limit = max(1, budget // 4)
-    prefixes = Prefixes()
+    limit = max(1, budget // 8)
     words = written(
-        prefix_counts(texts, 1, prefixes).filter((F.col("n") >= least) | (F.col("phrase") == "")), f"{folder}/length=1"
+        word_counts(texts).filter((F.col("n") >= least) | (F.col("phrase") == "")), f"{folder}/words"
     )
-    known = [words]
-    prefixes.alive = _filter_of(words.filter("phrase != ''"))
-    counted = words.filter("phrase != ''")
-    light = counted.limit(0)
-    for length in range(1, DEPTH + 1):
-        frequent = counted.filter(F.col("n") > limit)
-        there = frequent.count()
-        if there <= MOST_LISTED:
-            light = light.unionByName(counted.filter(F.col("n") <= limit))
-        if not there:
-            break
-        if there <= MOST_LISTED:
-            by_lang: dict[bytes, set[bytes]] = {}
-            for r in frequent.toLocalIterator():
-                by_lang.setdefault(r["lang"].encode(), set()).add(r["phrase"].encode())
-            prefixes.listed.append(by_lang)
-        else:
-            prefixes.listed.append(None)
-            frequent = counted
-        if length > 1:
-            known.append(frequent.filter(F.col("n") >= least))
-        if length < DEPTH:
-            counted = written(prefix_counts(texts, length + 1, prefixes), f"{folder}/length={length + 1}")
-    prefixes.groups = _group_numbers(words, light, budget)
-    below = suffixes(texts, prefixes).groupBy("lang", "part").applyInArrow(_subtrees(least), "lang string, phrase string, n bigint")
-    known.append(written(below, f"{folder}/subtrees"))
-    out = known[0]
-    for more in known[1:]:
-        out = out.unionByName(more)
+    alive = words.filter("phrase != ''")
+    prefixes = Prefixes(alive=_filter_of(alive))
+    frequent = alive.filter(F.col("n") > limit)
+    listed = frequent.count() <= MOST_LISTED
+    if listed:
+        prefixes.listed.append(_by_lang(frequent))
+        runs = written(run_counts(texts, prefixes).filter(F.col("n") > limit), f"{folder}/runs")
+        size = F.size(F.split("phrase", " "))
+        by_length = {r["k"]: r["count"] for r in runs.groupBy(size.alias("k")).count().collect()}
+        listed = max(by_length.values(), default=0) <= MOST_LISTED
+    if not listed:
+        every = written(run_counts(texts, prefixes, every=True).filter(F.col("n") >= least), f"{folder}/every")
+        return words.unionByName(every)
+    for k in range(2, max(by_length, default=1) + 1):
+        prefixes.listed.append(_by_lang(runs.filter(size == k)))
+    prefixes.groups = _group_numbers(words, alive.filter(F.col("n") <= limit), budget)
+    blocks = suffix_blocks(texts, prefixes).groupBy("lang", "part")
+    below = written(blocks.applyInArrow(_subtrees(least), "lang string, phrase string, n bigint"), f"{folder}/subtrees")
+    return words.unionByName(runs.filter(F.col("n") >= least)).unionByName(below)
+
+
+def _by_lang(phrases: DataFrame) -> dict[bytes, set[bytes]]:
+    """Phrases by language, on the driver: the caller has counted them."""
+    out: dict[bytes, set[bytes]] = {}
+    for r in phrases.toLocalIterator():
+        out.setdefault(r["lang"].encode(), set()).add(r["phrase"].encode())
     return out
 
 
