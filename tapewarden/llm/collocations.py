@@ -181,12 +181,12 @@ def _by_segment(
 
 
 _COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
-#: One row for a group and segment: suffixes by line, with the length of the prefix that led each here and how often it is there.
+#: One row for a group and segment: suffixes by line, compressed, with the length of the prefix that led each here and how often it is there.
 _BLOCKS = pa.schema(
     [
         ("lang", pa.string()),
         ("part", pa.int32()),
-        ("suffixes", pa.string()),
+        ("suffixes", pa.binary()),
         ("depths", pa.list_(pa.int8())),
         ("n", pa.list_(pa.int32())),
     ]
@@ -265,19 +265,20 @@ def suffix_blocks(texts: DataFrame, prefixes: Prefixes) -> DataFrame:
         keep = np.flatnonzero(part >= 0)
         if not len(keep):
             return
-        keep = keep[np.argsort(part[keep] << 32 | columns[0][keep], kind="stable")]
+        # In order of their words, so that lines of a group resemble the ones before.
+        keep = keep[np.lexsort((columns[1][keep] << 32 | columns[2][keep], part[keep] << 32 | columns[0][keep]))]
         part = part[keep]
         begins = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         offsets = pa.array(np.append(begins, len(part)), pa.int32())
         lines = pa.ListArray.from_arrays(offsets, words.phrases([c[keep] for c in columns]))
         yield {
             "part": pa.array(part[begins]),
-            "suffixes": pc.binary_join(lines, b"\n"),
+            "suffixes": pa.array([zlib.compress(x, 1) for x in pc.binary_join(lines, b"\n").to_pylist()]),
             "depths": pa.ListArray.from_arrays(offsets, pa.array(depth[keep])),
             "n": pa.ListArray.from_arrays(offsets, pa.array(n[keep].astype(np.int32))),
         }
 
-    schema = "lang string, part int, suffixes string, depths array<tinyint>, n array<int>"
+    schema = "lang string, part int, suffixes binary, depths array<tinyint>, n array<int>"
     return texts.mapInArrow(_by_segment(work, prefixes, _BLOCKS), schema)
 
 
@@ -317,7 +318,7 @@ def subtree_counts(suffix: pa.Array, depth: np.ndarray, n: np.ndarray, least: in
 
 def _subtrees(least: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        lines = pc.split_pattern(pa.array(["\n".join(table["suffixes"].to_pylist())]), "\n").flatten()
+        lines = pc.split_pattern(pa.array(["\n".join(zlib.decompress(x).decode() for x in table["suffixes"].to_pylist())]), "\n").flatten()
         flat = lambda name: pc.list_flatten(table[name]).to_numpy()
         phrases, counts = subtree_counts(lines, flat("depths"), flat("n").astype(np.int64), least)
         langs = pa.array([key[0].as_py()] * len(counts), pa.string())
