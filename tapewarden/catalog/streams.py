@@ -9,6 +9,7 @@ from tapewarden.catalog.ingestion import spoiled_trades
 from tapewarden.catalog.sample import CONFIG, checked, with_ctes
 from tapewarden.config import PD_ALERTS_TOPIC, WASH_ALERTS_TOPIC
 from tapewarden.operators.alerts import all_alerts
+from tapewarden.operators.running import BARS
 from tapewarden.operators.sequences import flagged_at
 from tapewarden.schema import PD_SENSITIVITY, PUMP_DUMP_ALERTS, WASH_ALERTS, WASH_SENSITIVITY
 from tapewarden.plans.pump_dump import pump_dump_sweep_rows
@@ -19,10 +20,12 @@ from tapewarden.sources.exchange import normalize_exchange_events
 from tapewarden.sources.streams import alert_message_stream, trade_message_stream
 from tapewarden.sources.tables import EVENTS, read_events, trades_from_events
 from tapewarden.sources.workspace import workspace
+from tapewarden.streaming.carry import Carried
 from tapewarden.streaming.ingest import dedup_stream, start_ingest, start_validation
 from tapewarden.streaming.jobs import start, start_files, stream_session
 from tapewarden.streaming.pairs import pair_stream
 from tapewarden.streaming.persist import start_alert_persister
+from tapewarden.streaming.progress import read_triggers, store_triggers
 from tapewarden.streaming.pump_dump import bar_stream, start_bar_rescoring, start_pump_dump_detector
 from tapewarden.streaming.wash import start_wash_detector, window_stream
 
@@ -34,20 +37,21 @@ _ONE_FILE = {"maxFilesPerTrigger": "1"}
 SLICES = 4
 
 
-def _sliced(rows, time, path, slices=SLICES):
-    """Rows as files in order of time: equal spans one after the other, as a feed would bring them."""
+def _sliced(rows, time, path, turns=None):
+    """Rows as files in order of time: equal spans one after the other, as a feed would bring them.
+
+    With ``turns`` only these spans (1 to SLICES), in this order.
+    """
     held = rows.persist()
     moment = F.col(time)
     if not dict(rows.dtypes)[time] == "bigint":
         moment = F.unix_micros(moment.cast("timestamp"))
     span = held.agg(F.min(moment).alias("lo"), F.max(moment).alias("hi")).first()
-    low = None
-    for k in range(1, slices + 1):
-        high = None if span.lo is None or k == slices else span.lo + (span.hi - span.lo) * k // slices
-        part = held if low is None else held.filter(moment > low)
-        part = part if high is None else part.filter(moment <= high)
+    bounds = [None if span.lo is None else span.lo + (span.hi - span.lo) * k // SLICES for k in range(SLICES + 1)]
+    for k in turns or range(1, SLICES + 1):
+        part = held if k == 1 or span.lo is None else held.filter(moment > bounds[k - 1])
+        part = part if k == SLICES or span.lo is None else part.filter(moment <= bounds[k])
         part.coalesce(1).write.mode("append").parquet(path)
-        low = high
     held.unpersist()
 
 
@@ -192,6 +196,84 @@ def stream_pd_sweep(spark, folder):
     return read_upserted(spark, root, PD_SENSITIVITY).drop("event_date")
 
 
+@checked
+def stream_resumed(spark, folder):
+    """The pump-and-dump detector stopped after half of the feed and started again from its checkpoint."""
+    root = workspace(spark, "resumed")
+    for turns in ((1, 2), (3, 4)):
+        session = stream_session(spark)
+        _sliced(read_events(session, folder), "ts", f"{root}/events", turns)
+        feed = session.readStream.schema(EVENTS).options(**_ONE_FILE).parquet(f"{root}/events")
+        _drain(
+            start_pump_dump_detector(
+                trades_from_events(feed),
+                CONFIG,
+                f"{root}/tables",
+                f"{root}/checkpoint",
+                delay=_DELAY,
+                trigger=None,
+                detected_at=F.col("window_end"),
+            )
+        )
+    return read_inserted(spark, f"{root}/tables", PUMP_DUMP_ALERTS).drop("event_date")
+
+
+@checked
+def stream_pump_expiry(spark, folder):
+    """What the detector carries at the end of a feed with a quiet day after each day.
+
+    Two symbols stop 40 hours before the others: a PUMP of theirs that is still
+    open then is forgotten by the time of the others' bars.
+    """
+    root = workspace(spark, "expiry")
+    session = stream_session(spark)
+    quiet = F.make_dt_interval(days=F.datediff(F.col("ts"), F.lit("2024-01-01").cast("date")))
+    ahead = F.make_dt_interval(hours=F.when(F.col("event_type").isin("click", "view"), 40).otherwise(0))
+    events = read_events(session, folder).withColumn("ts", F.col("ts") + quiet - ahead)
+    _sliced(events, "ts", f"{root}/events")
+    feed = session.readStream.schema(EVENTS).options(**_ONE_FILE).parquet(f"{root}/events")
+    _drain(
+        start_pump_dump_detector(
+            trades_from_events(feed), CONFIG, f"{root}/tables", f"{root}/checkpoint", delay=_DELAY, trigger=None
+        )
+    )
+    carried = Carried(f"{root}/checkpoint/carried", BARS).before(spark, 1 << 40)
+    return carried.select(
+        "symbol",
+        "bars",
+        "volume",
+        "newest",
+        F.col("pump.window_start").alias("pump_start"),
+        F.col("pump.price_change").alias("pump_change"),
+    )
+
+
+@checked
+def stream_counters(spark, folder):
+    """Counters of each trigger of the ingest job, for a feed whose second part comes last."""
+    root = workspace(spark, "counters")
+    session = stream_session(spark)
+    _sliced(read_events(session, folder), "ts", f"{root}/events", (1, 3, 4, 2))
+    feed = session.readStream.schema(EVENTS).options(**_ONE_FILE).parquet(f"{root}/events")
+    queries = start_ingest(
+        spoiled_trades(feed),
+        CONFIG.symbols,
+        f"{root}/trades",
+        f"{root}/rejected",
+        f"{root}/checkpoint",
+        trigger=None,
+    )
+    for query in queries:
+        _drain(query)
+        store_triggers(spark, query, root)
+    kept = read_triggers(spark, root)
+    valid = kept.filter("stream = 'ingest'").select(
+        "batch_id", F.col("input_rows").alias("rows"), F.col("metrics")["valid"].alias("valid"), "late_rows"
+    )
+    rejected = kept.filter("stream = 'ingest-rejects'").select("batch_id", F.col("metrics")["rejected"].alias("rejected"))
+    return valid.join(rejected, "batch_id")
+
+
 @checked
 def stream_dedup(spark, folder):
     """Two feeds of the same trades: each trade is kept once."""
@@ -246,9 +328,7 @@ def stream_ingest(spark, folder):
     return spark.read.parquet(f"{root}/trades").drop("timestamp", "event_date", "writer", "batch_id")
 
 
-@checked
-def stream_pump_dump_rescored(spark, folder):
-    """The rescoring job: alerts by the leave-one-out baseline over all closed bars."""
+def _rescored_bars(spark, folder):
     root = workspace(spark, "bar-rescoring")
     query = start_bar_rescoring(
         _trades(stream_session(spark), folder, root),
@@ -259,7 +339,21 @@ def stream_pump_dump_rescored(spark, folder):
         detected_at=F.col("window_end"),
     )
     _drain(query)
-    return read_upserted(spark, f"{root}/tables", PD_SENSITIVITY).drop("event_date", "detected_at")
+    return f"{root}/tables"
+
+
+@checked
+def stream_pump_dump_rescored(spark, folder):
+    """The rescoring job's sweep rows over all closed bars."""
+    root = _rescored_bars(spark, folder)
+    return read_upserted(spark, root, PD_SENSITIVITY).drop("event_date", "detected_at")
+
+
+@checked
+def stream_rescored_alerts(spark, folder):
+    """The rescoring job's alerts by the leave-one-out baseline: the first verdict of a PUMP stays."""
+    root = _rescored_bars(spark, folder)
+    return read_inserted(spark, root, PUMP_DUMP_ALERTS).drop("event_date")
 
 
 @checked
@@ -324,10 +418,14 @@ QUERIES = {
     "stream_ohlcv_append": stream_ohlcv_append,
     "stream_pump_dump": stream_pump_dump,
     "stream_pd_sweep": stream_pd_sweep,
+    "stream_resumed": stream_resumed,
+    "stream_pump_expiry": stream_pump_expiry,
+    "stream_counters": stream_counters,
     "stream_dedup": stream_dedup,
     "stream_validate": stream_validate,
     "stream_ingest": stream_ingest,
     "stream_pump_dump_rescored": stream_pump_dump_rescored,
+    "stream_rescored_alerts": stream_rescored_alerts,
     "report_from_tables": report_from_tables,
     "stream_alert_persist": stream_alert_persist,
     "stream_pump_dump_join": stream_pump_dump_join,
@@ -348,13 +446,14 @@ rated AS (
 scored AS (
   SELECT * EXCLUDE (mu, sd), CASE WHEN sd > 1e-9 THEN (total_volume - mu) / sd ELSE 0.0 END AS z_score
   FROM rated)"""
-# Rescoring alerts by trigger: all windows closed so far, and the first verdict of a window stays.
-_BY_TRIGGER = (
-    sample.TRADES + sample.WINDOWS
-    + f""",
+_TURNS = f""",
 turns AS (
   SELECT k, lo + (hi - lo) * k // {SLICES} AS bound
-  FROM (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events), range(1, {SLICES} + 1) r(k)),
+  FROM (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events), range(1, {SLICES} + 1) r(k))"""
+# Rescoring alerts by trigger: all windows closed so far, and the first verdict of a window stays.
+_BY_TRIGGER = (
+    sample.TRADES + sample.WINDOWS + _TURNS
+    + """,
 reached AS (
   SELECT k, max(CAST(date_trunc('day', event_time) AS TIMESTAMP)) AS open_from
   FROM clean, turns WHERE epoch_us(event_time) <= bound GROUP BY k),
@@ -379,6 +478,61 @@ _SETTLED_BARS = (
     + """,
 bars AS (SELECT * FROM every_bar WHERE window_end <= (SELECT max(window_start) FROM every_bar))"""
 )
+# The same for bars: by trigger a bar's ratio, the PUMP and DUMP bars, and the first verdict of a PUMP.
+_BARS_BY_TRIGGER = (
+    sample.TRADES + sample.BARS + _TURNS
+    + """,
+reached AS (
+  SELECT k, max(date_trunc('hour', event_time)) AS open_from
+  FROM clean, turns WHERE epoch_us(event_time) <= bound GROUP BY k),
+settled AS (
+  SELECT b.*, k, count(*) OVER own AS n, sum(total_volume) OVER own AS s
+  FROM bars b JOIN reached ON window_end <= open_from
+  WINDOW own AS (PARTITION BY k, symbol)),
+based AS (
+  SELECT *, CASE WHEN n > 1 THEN (s - total_volume) / (n - 1) ELSE total_volume END AS baseline FROM settled),
+loo AS (
+  SELECT *, CASE WHEN baseline > 0 THEN total_volume / baseline ELSE 1.0 END AS volume_ratio,
+         CASE WHEN open_price > 0 THEN (close_price - open_price) / open_price END AS price_change
+  FROM based)"""
+    + sample.phase_sql("loo")
+    + sample.PUMP_DUMP.replace("PARTITION BY symbol", "PARTITION BY k, symbol").replace("AS detected_at", "AS detected_at, k")
+    + """,
+first_verdicts AS (
+  SELECT * EXCLUDE (k) FROM pump_dump
+  QUALIFY row_number() OVER (PARTITION BY window_start, symbol, phase ORDER BY k) = 1)"""
+)
+# A quiet day after each day; two symbols stop 40 hours before the others.
+_QUIET = """
+stretched AS (
+  SELECT * REPLACE (ts + to_days(CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER))
+                    - CASE WHEN event_type IN ('click', 'view') THEN INTERVAL 40 HOUR ELSE INTERVAL 0 HOUR END AS ts)
+  FROM events),
+"""
+_EXPIRY = """,
+state AS (
+  SELECT symbol, count(*) AS bars, sum(total_volume) AS volume, max(window_start) AS newest FROM rated GROUP BY symbol),
+marks AS (
+  SELECT symbol, arg_max(phase, window_start) AS phase, max(window_start) AS pump_start,
+         arg_max(price_change, window_start) AS pump_change
+  FROM classified WHERE phase IS NOT NULL GROUP BY symbol),
+still_open AS (
+  SELECT * FROM marks
+  WHERE phase = 'PUMP' AND pump_start + INTERVAL 10 HOURS > (SELECT max(window_end) FROM rated))"""
+_COUNTED = (
+    sample.TRADES + ingestion._SPOILED + _TURNS
+    + """,
+brought AS (
+  SELECT v.*, CASE (SELECT min(k) FROM turns WHERE epoch_us(ts) <= bound)
+                WHEN 1 THEN 0 WHEN 3 THEN 1 WHEN 4 THEN 2 ELSE 3 END AS batch_id
+  FROM validated v),
+newest AS (
+  SELECT batch_id, max(epoch_us(event_time)) // 1000 AS ms FROM brought WHERE rejection_reason IS NULL GROUP BY batch_id),
+judged AS (
+  SELECT b.*, rejection_reason IS NULL AND coalesce(epoch_us(event_time) <= 1000 * (
+           SELECT max(ms) - 3600000 FROM newest n WHERE n.batch_id <= b.batch_id - 2), false) AS late
+  FROM brought b)"""
+)
 
 
 def _select_of(name: str, module) -> str:
@@ -414,12 +568,29 @@ ORACLES = {
     "stream_pd_sweep": with_ctes(
         _CLOSED_BARS + sample.TRAILING + sample.FULL_SWEEP, "SELECT * FROM sweep"
     ),
+    "stream_resumed": with_ctes(
+        _CLOSED_BARS + sample.TRAILING + sample.phase_sql("rated") + sample.PUMP_DUMP,
+        "SELECT * FROM pump_dump",
+    ),
+    "stream_pump_expiry": with_ctes(
+        _QUIET + _CLOSED_BARS.strip().replace("FROM events", "FROM stretched")
+        + sample.TRAILING + sample.phase_sql("rated") + _EXPIRY,
+        "SELECT symbol, bars, volume, newest, pump_start, round(pump_change, 6) AS pump_change "
+        "FROM state LEFT JOIN still_open USING (symbol)",
+    ),
+    "stream_counters": with_ctes(
+        _COUNTED,
+        "SELECT batch_id::BIGINT AS batch_id, count(*) AS rows, "
+        "count_if(rejection_reason IS NULL AND NOT late)::BIGINT AS valid, "
+        "count_if(late)::BIGINT AS late_rows, count(rejection_reason) AS rejected FROM judged GROUP BY batch_id",
+    ),
     "stream_dedup": ingestion.ORACLES["json_decode_trades"],
     "stream_validate": ingestion.ORACLES["validate_trades"],
     "stream_ingest": ingestion.ORACLES["ingest_trades"],
     "stream_pump_dump_rescored": with_ctes(
         _SETTLED_BARS + sample.TRAILING + sample.FULL_SWEEP, "SELECT * EXCLUDE (detected_at) FROM sweep"
     ),
+    "stream_rescored_alerts": with_ctes(_BARS_BY_TRIGGER, "SELECT * FROM first_verdicts"),
     "report_from_tables": reporting.ORACLES["report_overview"],
     "stream_alert_persist": alerting.ORACLES["all_alerts"],
     "stream_pump_dump_join": with_ctes(

@@ -13,11 +13,14 @@ import sys
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, fields
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tapewarden.config import SYMBOLS, DetectionConfig
+from tapewarden.schema import PD_SENSITIVITY, PUMP_DUMP_ALERTS, WASH_ALERTS, WASH_SENSITIVITY
+from tapewarden.sinks.keyed import compact, crowded_dates
 from tapewarden.sinks.messages import MessageTarget
 from tapewarden.sources.exchange import normalize_exchange_events
 from tapewarden.sources.streams import (
@@ -30,18 +33,19 @@ from tapewarden.sources.streams import (
 from tapewarden.streaming.ingest import start_ingest
 from tapewarden.streaming.jobs import TRIGGER, stream_session
 from tapewarden.streaming.persist import start_alert_persister
-from tapewarden.streaming.progress import StreamCounters
+from tapewarden.streaming.progress import StreamCounters, store_triggers
 from tapewarden.streaming.pump_dump import start_bar_rescoring, start_pump_dump_detector
 from tapewarden.streaming.wash import start_wash_detector
 
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(description="Trade-abuse detection streams")
-    top.add_argument("job", choices=("ingest", "wash", "pump-dump", "persist"))
+    top.add_argument("job", choices=("ingest", "wash", "pump-dump", "persist", "compact"))
     top.add_argument("--format", default="kafka", help="source format")
     top.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     top.add_argument("--root", required=True, help="folder of the result tables")
-    top.add_argument("--checkpoint", required=True)
+    top.add_argument("--checkpoint", help="of the stream; compact needs none")
+    top.add_argument("--older-than", type=int, default=1, help="compact: days before today that are closed")
     top.add_argument("--writer", help="name of this writer; new with every fresh checkpoint")
     top.add_argument("--symbols", default=",".join(SYMBOLS), help="comma list, or * for any")
     top.add_argument("--delay", default="1 minute", help="how late a trade may come")
@@ -93,6 +97,7 @@ class Running:
 
     queries: Sequence[StreamingQuery]
     counters: StreamCounters
+    root: str
 
     def awaitTermination(self) -> None:  # noqa: N802  as a query has it
         for query in self.queries:
@@ -102,19 +107,36 @@ class Running:
         for query in self.queries:
             query.stop()
 
+    def store_triggers(self, spark: SparkSession) -> None:
+        """Keep what each trigger read, rejected and found too late as rows of a table under the root."""
+        for query in self.queries:
+            store_triggers(spark, query, self.root)
+
     def report(self) -> str:
         """One JSON line: totals by query and counter, late rows among them."""
         return json.dumps({f"{name}.{what}": n for (name, what), n in sorted(self.counters.totals.items())})
 
 
+def compact_closed(spark: SparkSession, root: str, older_than: int = 1, today: date | None = None) -> None:
+    """Rewrite the closed days of all keyed tables as one batch each; writers may go on meanwhile."""
+    last = (today or datetime.now(timezone.utc).date()) - timedelta(days=older_than)
+    for table, first in ((WASH_ALERTS, True), (PUMP_DUMP_ALERTS, True), (WASH_SENSITIVITY, False), (PD_SENSITIVITY, False)):
+        compact(spark, root, table, [day for day in crowded_dates(spark, root, table) if day <= last], first)
+
+
 def launch(spark: SparkSession, arguments: Sequence[str]) -> Running:
     """Start the job the arguments describe."""
     args = parser().parse_args(arguments)
+    if args.job != "compact" and not args.checkpoint:
+        raise SystemExit(f"{args.job} needs --checkpoint")
+    if args.job == "compact":
+        compact_closed(spark, args.root, args.older_than)
+        return Running([], StreamCounters(), args.root)
     session = stream_session(spark, args.state_partitions)
     counters = StreamCounters()
     session.streams.addListener(counters)
     started = _start(session, args)
-    return Running(started if isinstance(started, list) else [started], counters)
+    return Running(started if isinstance(started, list) else [started], counters, args.root)
 
 
 def _start(session: SparkSession, args: argparse.Namespace) -> StreamingQuery | list[StreamingQuery]:
@@ -160,6 +182,7 @@ def main() -> None:
     while any(query.isActive for query in running.queries):
         time.sleep(60 if "--once" not in sys.argv else 1)
         print(running.report(), flush=True)
+        running.store_triggers(spark)
     # Raises what a query failed with.
     running.awaitTermination()
 

@@ -12,6 +12,9 @@ from tapewarden.operators.trades import dedup_trades
 from tapewarden.functions.timestamps import time_block
 from tapewarden.schema import TRADE_KEY
 
+#: Seconds of the slots in which gaps are looked up.
+SLOT = 60
+
 
 def feed_gaps(
     trades: DataFrame, gap_seconds: int = 5, by: Sequence[str] = (), block_seconds: int = DAY
@@ -76,42 +79,66 @@ def new_trades(
 
 
 def trades_in_gaps(
-    fetched: DataFrame, gaps: DataFrame, by: Sequence[str] = (), block_seconds: int = DAY
+    fetched: DataFrame,
+    gaps: DataFrame,
+    by: Sequence[str] = (),
+    block_seconds: int = DAY,
+    slot_seconds: int = SLOT,
 ) -> DataFrame:
     """Fetched trades that lie in one of the gaps (both ends included).
 
-    Gaps of a feed do not overlap, so only the latest one that begins by the
-    time of a trade can hold it. It is found inside the trade's block of time,
-    or carried over from earlier blocks by one row per block. The cost follows
-    the number of trades and gaps, not how long the gaps are.
+    Gaps are looked up for slots of time, not for trades: a slot's gaps are
+    those that begin in it and, as gaps of a feed do not overlap, the latest
+    one before it. That one is found inside the slot's block of time, or carried over
+    from earlier blocks by one row a block. A block has no more rows than slots, however many
+    trades fall on a day, and the cost does not follow how long gaps are. Only slots that meet a gap
+    are joined back to the trades, which are not sorted; the few slots are broadcast where
+    adaptive execution finds them small.
     """
     by = list(by)
-    trade_columns = [F.col(f"`{c}`") for c in fetched.columns]
     gap = F.struct("gap_start", "gap_end")
-    marks = gaps.select(*by, gap.alias("_gap"), F.col("gap_start").alias("_time"), F.lit(0).alias("_turn"))
-    placed = fetched.filter(F.col("event_time").isNotNull()).select(
-        F.struct(*trade_columns).alias("_trade"), *by, F.col("event_time").alias("_time"), F.lit(1).alias("_turn")
+    slot_of = lambda time: time_block(F.col(time), slot_seconds)
+    traded = fetched.filter(F.col("event_time").isNotNull()).select(
+        *by, slot_of("event_time").alias("_slot"), F.lit(None).cast("struct<gap_start: timestamp, gap_end: timestamp>").alias("_gap")
     )
-    rows = placed.unionByName(marks, allowMissingColumns=True).withColumn(
-        "_block", block_number(F.col("_time"), block_seconds)
+    begun = gaps.select(*by, slot_of("gap_start").alias("_slot"), gap.alias("_gap"))
+    slots = (
+        traded.distinct()
+        .unionByName(begun)
+        .groupBy(*by, "_slot")
+        .agg(F.max(F.col("_gap").isNull()).alias("_traded"), F.sort_array(F.collect_list("_gap")).alias("_begun"))
+        .transform(planned_alike)
+        .withColumn("_block", F.floor(F.col("_slot") * slot_seconds / block_seconds))
     )
     block = [*by, "_block"]
-    so_far = Window.partitionBy(*block).orderBy("_time", "_turn").rowsBetween(Window.unboundedPreceding, 0)
+    last_begun = F.when(F.size("_begun") > 0, F.element_at("_begun", -1))
+    before = Window.partitionBy(*block).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     earlier = (
         Window.partitionBy(*(by or [F.lit(0)])).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     )
     # One row per block that has trades or gaps.
     carried = (
-        rows.groupBy(*block)
-        .agg(F.max("_gap").alias("_block_gap"))
+        slots.groupBy(*block)
+        .agg(F.max(last_begun).alias("_block_gap"))
         .withColumn("_carried", F.last("_block_gap", ignorenulls=True).over(earlier))
         .drop("_block_gap")
     )
+    latest = F.coalesce(F.last(last_begun, ignorenulls=True).over(before), F.col("_carried"))
+    reaches = time_block(F.col("_latest.gap_end"), slot_seconds) >= F.col("_slot")
+    met = (
+        slots.join(carried, block)
+        .withColumn("_latest", latest)
+        .withColumn("_gaps", F.when(reaches, F.concat(F.array("_latest"), "_begun")).otherwise(F.col("_begun")))
+        .filter(F.col("_traded") & (F.size("_gaps") > 0))
+        .select(*by, "_slot", "_gaps")
+    )
+    time = F.col("event_time")
+    inside = F.exists("_gaps", lambda g: (time >= g["gap_start"]) & (time <= g["gap_end"]))
     return (
-        rows.withColumn("_latest", F.last("_gap", ignorenulls=True).over(so_far))
-        .join(carried, block)
-        .filter((F.col("_turn") == 1) & (F.col("_time") <= F.coalesce("_latest", "_carried")["gap_end"]))
-        .select("_trade.*")
+        fetched.withColumn("_slot", slot_of("event_time"))
+        .join(met, [*by, "_slot"])
+        .filter(inside)
+        .select(*[F.col(f"`{c}`") for c in fetched.columns])
     )
 
 

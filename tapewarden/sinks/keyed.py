@@ -1,6 +1,6 @@
 """Keyed parquet tables: insert-ignore and upsert without a table format.
 
-Rows lie under ``event_date / writer / batch_id``. A batch only ever replaces
+Rows lie under ``target_table / event_date / writer / batch_id``. A batch only ever replaces
 its own folders (dynamic partition overwrite), so running it again after a
 lost executor or a restart changes nothing. ``writer`` names the job: a job
 that starts over with a fresh checkpoint needs a new name.
@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from tapewarden.schema import KeyedTable
 
+_TABLE = "target_table"
 _LAYOUT = ["event_date", "writer", "batch_id"]
 
 
@@ -38,7 +39,7 @@ def _stored_schema(table: KeyedTable) -> T.StructType:
 
 
 def _folder(root: str, table: KeyedTable) -> str:
-    return f"{root.rstrip('/')}/{table.name}"
+    return f"{root.rstrip('/')}/{_TABLE}={table.name}"
 
 
 def _files(spark: SparkSession, root: str, table: KeyedTable):
@@ -150,6 +151,68 @@ def insert_ignore(
         held.unpersist()
 
 
+def _all_fields(tables: Sequence[KeyedTable]) -> dict[str, T.StructField]:
+    return {f.name: f for table in tables for f in table.schema.fields}
+
+
+def _tagged_key(tables: Sequence[KeyedTable]) -> Column:
+    """The key of a row of any of the tables, as texts: its columns depend on the table."""
+    key = F.lit(None).cast("array<string>")
+    for table in tables:
+        own = F.array(*[F.col(c).cast("string") for c in table.key])
+        key = F.when(F.col(_TABLE) == table.name, own).otherwise(key)
+    return key
+
+
+def insert_ignore_tagged(
+    rows: DataFrame,
+    root: str,
+    tables: Sequence[KeyedTable],
+    batch_id: int,
+    writer: str = "main",
+    order: Sequence[str] = ("detected_at",),
+) -> None:
+    """`insert_ignore` for rows of several tables, told apart by ``target_table``, in one pass.
+
+    ``rows`` has the columns of all tables; it is read twice, so the caller
+    keeps it. One look for the dates, one anti join by table and key, one write.
+    """
+    spark = rows.sparkSession
+    day = F.to_date("window_start").alias("day")
+    touched: dict[str, list[date]] = {}
+    # As many rows as the batch touches folders.
+    for r in rows.select(_TABLE, day).distinct().collect():
+        if r.day is not None:
+            touched.setdefault(r[_TABLE], []).append(r.day)
+    if not touched:
+        return
+    own_later = (F.col("writer") == writer) & (F.col("batch_id") >= batch_id)
+    stored = None
+    for table in tables:
+        if table.name in touched:
+            there = _stored(spark, root, table, sorted(touched[table.name])).filter(~own_later)
+            keys = there.withColumn(_TABLE, F.lit(table.name)).select(_TABLE, _tagged_key([table]).alias("_key"))
+            stored = keys if stored is None else stored.unionByName(keys)
+    fresh = _first_by(rows.withColumn("_key", _tagged_key(tables)), [_TABLE, "_key"], [F.col(c) for c in order])
+    fields = _all_fields(tables)
+    (
+        fresh.join(stored, [_TABLE, "_key"], "left_anti")
+        .select(_TABLE, *[F.col(n).cast(f.dataType).alias(n) for n, f in fields.items()])
+        .withColumns(
+            {
+                "event_date": F.to_date("window_start"),
+                "writer": F.lit(writer),
+                "batch_id": F.lit(batch_id).cast("long"),
+            }
+        )
+        .hint("rebalance", _TABLE, "event_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(_TABLE, *_LAYOUT)
+        .parquet(root)
+    )
+
+
 def upsert(
     rows: DataFrame,
     root: str,
@@ -216,6 +279,20 @@ def read_upserted(
     return last_wins(stored, table, _newest()).drop("writer", "batch_id")
 
 
+def crowded_dates(spark: SparkSession, root: str, table: KeyedTable) -> list[date]:
+    """Days of a table that more than one batch has written."""
+    path, files = _files(spark, root, table)
+    folder = path(_folder(root, table))
+    days = []
+    for day in files.listStatus(folder) if files.exists(folder) else []:
+        name = day.getPath().getName()
+        if name.startswith("event_date=") and not name.endswith("__HIVE_DEFAULT_PARTITION__"):
+            writers = [w for w in files.listStatus(day.getPath()) if w.isDirectory()]
+            if sum(len(files.listStatus(w.getPath())) for w in writers) > 1:
+                days.append(date.fromisoformat(name.split("=")[1]))
+    return sorted(days)
+
+
 def compact(
     spark: SparkSession, root: str, table: KeyedTable, dates: Sequence[date], first: bool
 ) -> None:

@@ -13,9 +13,11 @@ from tapewarden.operators.alerts import (
     decode_alerts,
     route_alerts,
 )
-from tapewarden.sinks.keyed import insert_ignore
+from tapewarden.sinks.keyed import insert_ignore_tagged
 from tapewarden.streaming.jobs import TRIGGER, each_nonempty, start
 
+ALERT_TABLES = tuple(ALERT_TABLE_OF_TOPIC.values())
+
 
 def start_alert_persister(
     messages: DataFrame,
@@ -34,30 +36,32 @@ def start_alert_persister(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         routed = route_alerts(batch)
-        rejected = routed.filter(F.col("target_table").isNull()).select(
-            "topic", "value", F.lit("unknown_topic").alias("reason")
-        )
-        critical = None
-        held = []
+        checked = None
         for topic, table in ALERT_TABLE_OF_TOPIC.items():
             mine = routed.filter(F.col("target_table") == table.name)
-            # Decoded and checked once for the four outputs that follow.
-            checked = check_constraints(decode_alerts(mine, table), table).persist()
-            held.append(checked)
-            rows = checked.filter(F.col("constraint_error").isNull()).select(*table.schema.names)
-            insert_ignore(rows, root, table, batch_id, writer)
-            rejected = rejected.unionByName(
-                checked.filter(F.col("constraint_error").isNotNull()).select(
-                    F.lit(topic).alias("topic"), "value", F.col("constraint_error").alias("reason")
-                )
+            rows = check_constraints(decode_alerts(mine, table), table).withColumns(
+                {"target_table": F.lit(table.name), "topic": F.lit(topic)}
             )
-            feed = critical_feed(rows)
-            critical = feed if critical is None else critical.unionByName(feed)
-        own = f"writer={writer}/batch_id={batch_id}"
-        rejected.write.mode("overwrite").parquet(f"{root}/rejected_alerts/{own}")
-        critical.write.mode("overwrite").parquet(f"{root}/critical_alerts/{own}")
-        for frame in held:
-            frame.unpersist()
+            checked = rows if checked is None else checked.unionByName(rows, allowMissingColumns=True)
+        # Every message decoded and checked once, for all outputs.
+        checked = checked.persist()
+        try:
+            good = checked.filter(F.col("constraint_error").isNull())
+            insert_ignore_tagged(good, root, ALERT_TABLES, batch_id, writer)
+            bad = checked.filter(F.col("constraint_error").isNotNull())
+            rejected = routed.filter(F.col("target_table").isNull()).select(
+                "topic", "value", F.lit("unknown_topic").alias("reason")
+            ).unionByName(bad.select("topic", "value", F.col("constraint_error").alias("reason")))
+            critical = None
+            for table in ALERT_TABLES:
+                rows = good.filter(F.col("target_table") == table.name).select(*table.schema.names)
+                feed = critical_feed(rows)
+                critical = feed if critical is None else critical.unionByName(feed)
+            own = f"writer={writer}/batch_id={batch_id}"
+            rejected.write.mode("overwrite").parquet(f"{root}/rejected_alerts/{own}")
+            critical.write.mode("overwrite").parquet(f"{root}/critical_alerts/{own}")
+        finally:
+            checked.unpersist()
 
     observed = messages.observe("alerts", F.count(F.lit(1)).alias("messages"))
     return start(observed, each_nonempty(store), checkpoint, "append", trigger, writer)

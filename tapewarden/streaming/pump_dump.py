@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tapewarden.config import PD_ALERTS_TOPIC, DetectionConfig
+from tapewarden.operators.partials import BAR
 from tapewarden.operators.running import BARS, carried_bars, running_bars, running_matches
 from tapewarden.operators.sweeps import pump_dump_sweep
 from tapewarden.operators.trades import clean_trades
@@ -16,6 +17,7 @@ from tapewarden.schema import PD_SENSITIVITY, PUMP_DUMP_ALERTS
 from tapewarden.sinks.keyed import insert_ignore, upsert
 from tapewarden.sinks.messages import MessageTarget
 from tapewarden.streaming.carry import Carried
+from tapewarden.streaming.closed import WindowTable
 from tapewarden.streaming.jobs import TRIGGER, batch_time, each_nonempty, start
 
 def bar_stream(trades: DataFrame, config: DetectionConfig, delay: str | None) -> DataFrame:
@@ -77,23 +79,28 @@ def start_bar_rescoring(
     detected_at: Column | None = None,
     target: MessageTarget | None = None,
 ) -> StreamingQuery:
-    """Complete mode: alerts and sweep rows of all closed bars at every trigger.
+    """Alerts and sweep rows of all closed bars of every symbol that a trigger changes.
 
-    This gives the leave-one-out baseline, which needs later bars as well. All
-    bars stay in state, so use it on a bounded history. Only new alerts and
-    changed sweep rows are stored and published.
+    This gives the leave-one-out baseline, which needs later bars as well. Bars lie
+    in a table under the checkpoint, the stream has no state. Only new alerts
+    and changed sweep rows are stored and published: the first verdict of a
+    PUMP stays, whatever later bars make of its ratio.
     """
+    table = WindowTable(f"{checkpoint}/bars", BAR, config.bar_width)
 
-    def on_bars(batch: DataFrame, batch_id: int) -> None:
-        # The newest bar of the feed is still filling.
-        horizon = batch.agg(F.max("window_start").alias("open_from")).first().open_from
-        closed = batch.filter(F.col("window_end") <= F.lit(horizon))
-        seen = batch_time(detected_at)
-        alerts = alerts_from_bars(closed, config, baseline, seen)
-        on_new = None if target is None else lambda new: target.publish(new, PD_ALERTS_TOPIC)
-        insert_ignore(alerts, root, PUMP_DUMP_ALERTS, batch_id, writer, on_new=on_new)
-        sweep = pump_dump_sweep(rated_bars(closed, config, "trailing"), config.pd_grid, seen)
-        upsert(sweep, root, PD_SENSITIVITY, batch_id, writer, only_changes=True)
+    def on_trades(batch: DataFrame, batch_id: int) -> None:
+        closed = table.changed(batch, batch_id)
+        if closed is None:
+            return
+        held = closed.persist()
+        try:
+            seen = batch_time(detected_at)
+            alerts = alerts_from_bars(held, config, baseline, seen)
+            on_new = None if target is None else lambda new: target.publish(new, PD_ALERTS_TOPIC)
+            insert_ignore(alerts, root, PUMP_DUMP_ALERTS, batch_id, writer, on_new=on_new)
+            sweep = pump_dump_sweep(rated_bars(held, config, "trailing"), config.pd_grid, seen)
+            upsert(sweep, root, PD_SENSITIVITY, batch_id, writer, only_changes=True)
+        finally:
+            held.unpersist()
 
-    bars = bar_stream(trades, config, None)
-    return start(bars, each_nonempty(on_bars), checkpoint, "complete", trigger, writer)
+    return start(clean_trades(trades, config.symbols), on_trades, checkpoint, "append", trigger, writer)

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tapewarden.config import WASH_ALERTS_TOPIC, DetectionConfig
 from tapewarden.operators.baselines import with_zscores
+from tapewarden.operators.partials import VOLUME
 from tapewarden.operators.running import SPREAD, block_seconds, running_zscores
 from tapewarden.operators.sweeps import wash_sweep
 from tapewarden.operators.trades import clean_trades
@@ -17,8 +18,10 @@ from tapewarden.schema import WASH_ALERTS, WASH_SENSITIVITY
 from tapewarden.sinks.keyed import insert_ignore, upsert
 from tapewarden.sinks.messages import MessageTarget
 from tapewarden.streaming.carry import Carried
+from tapewarden.streaming.closed import WindowTable
 from tapewarden.streaming.jobs import TRIGGER, batch_time, each_nonempty, start
 
+
 def window_stream(trades: DataFrame, config: DetectionConfig, delay: str | None) -> DataFrame:
     """Volume windows of a trade stream.
 
@@ -48,10 +51,11 @@ def start_wash_detector(
 
     Default: append mode; each window is scored once, when it closes, against
     the running statistics of its symbol, of which a summary is carried from
-    trigger to trigger under the checkpoint. ``complete=True`` scores all closed
-    windows again at every trigger, so sweep rows follow the whole history;
-    its state keeps every window, but only what changed is stored. Alerts that
-    are new are also published to ``target``.
+    trigger to trigger under the checkpoint. ``complete=True`` scores the closed
+    windows of every symbol that a trigger changes again, so sweep rows follow
+    the whole history, late trades included; windows lie in a table under the
+    checkpoint, the stream has no state, and only what changed is stored. Alerts
+    that are new are also published to ``target``.
     """
 
     def publish(scored: DataFrame, batch_id: int) -> None:
@@ -62,11 +66,19 @@ def start_wash_detector(
         sweep = wash_sweep(scored, config.wash_grid, seen)
         upsert(sweep, root, WASH_SENSITIVITY, batch_id, writer, only_changes=complete)
 
-    def rescore(windows: DataFrame, batch_id: int) -> None:
-        # The newest window of the feed is still filling.
-        horizon = windows.agg(F.max("window_start").alias("open_from")).first().open_from
-        closed = windows.filter(F.col("window_end") <= F.lit(horizon))
-        publish(with_zscores(closed, config.symbol_bound), batch_id)
+    if complete:
+        table = WindowTable(f"{checkpoint}/windows", VOLUME, config.wash_window)
+
+        def rescore(batch: DataFrame, batch_id: int) -> None:
+            closed = table.changed(batch, batch_id)
+            if closed is not None:
+                held = with_zscores(closed, config.symbol_bound).persist()
+                try:
+                    publish(held, batch_id)
+                finally:
+                    held.unpersist()
+
+        return start(clean_trades(trades, config.symbols), rescore, checkpoint, "append", trigger, writer)
 
     carried = Carried(f"{checkpoint}/carried", SPREAD)
 
@@ -80,7 +92,5 @@ def start_wash_detector(
             held.unpersist()
         carried.store(after, batch_id)
 
-    windows = window_stream(trades, config, None if complete else delay)
-    if complete:
-        return start(windows, each_nonempty(rescore), checkpoint, "complete", trigger, writer)
+    windows = window_stream(trades, config, delay)
     return start(windows, each_nonempty(score), checkpoint, "append", trigger, writer)

@@ -259,3 +259,20 @@ def test_dedup_keeps_the_earliest_copy(spark):
     frame = feed(spark, ("1", "A", 5), ("1", "A", 0), ("1", "B", 3))
     got = sorted((r.symbol, r.event_time) for r in dedup_trades(frame).collect())
     assert got == [("A", T0), ("B", T0 + timedelta(seconds=3))]
+
+
+def test_a_day_with_half_of_all_trades_is_no_task(spark):
+    """Trades of one busy day: what is ordered is slots, at most 1,440 a day, and trades are not ordered at all."""
+    history = feed(spark, ("1", "A", 0), ("2", "A", 60_000))
+    base = spark.range(200_000).select(
+        F.lit("A").alias("symbol"),
+        F.col("id").cast("string").alias("order_id"),
+        (F.lit(T0) + F.make_dt_interval(secs=F.col("id") % 80_000)).alias("event_time"),
+    )
+    found = trades_in_gaps(base, feed_gaps(history))
+    assert found.count() == base.filter(F.col("event_time") <= F.lit(T0 + timedelta(seconds=60_000))).count()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    ordered = [line for line in plan.splitlines() if "Window [" in line or "Sort [" in line]
+    assert ordered and not any("order_id" in line for line in ordered)
+    slots = base.select(F.floor(F.unix_timestamp("event_time") / 60)).distinct().count()
+    assert slots <= 1_440
