@@ -12,7 +12,7 @@ have stored a key, every reader takes the same row.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -169,27 +169,22 @@ def insert_ignore_tagged(
     root: str,
     tables: Sequence[KeyedTable],
     batch_id: int,
+    touched: Mapping[str, Sequence[date]],
     writer: str = "main",
     order: Sequence[str] = ("detected_at",),
 ) -> None:
     """`insert_ignore` for rows of several tables, told apart by ``target_table``, in one pass.
 
-    ``rows`` has the columns of all tables; it is read twice, so the caller
-    keeps it. One look for the dates, one anti join by table and key, one write.
+    ``rows`` has the columns of all tables, ``touched`` the dates of theirs by
+    table. One anti join by table and key, one write with the table as a folder.
     """
     spark = rows.sparkSession
-    day = F.to_date("window_start").alias("day")
-    touched: dict[str, list[date]] = {}
-    # As many rows as the batch touches folders.
-    for r in rows.select(_TABLE, day).distinct().collect():
-        if r.day is not None:
-            touched.setdefault(r[_TABLE], []).append(r.day)
-    if not touched:
+    if not any(touched.values()):
         return
     own_later = (F.col("writer") == writer) & (F.col("batch_id") >= batch_id)
     stored = None
     for table in tables:
-        if table.name in touched:
+        if touched.get(table.name):
             there = _stored(spark, root, table, sorted(touched[table.name])).filter(~own_later)
             keys = there.withColumn(_TABLE, F.lit(table.name)).select(_TABLE, _tagged_key([table]).alias("_key"))
             stored = keys if stored is None else stored.unionByName(keys)
