@@ -30,6 +30,7 @@ EDGES = "\"'()[]{}<>.,;:!?*#%&$|+-_~`/\\=«»…"
 ODD = re.compile(r"[^\W\d_][0-9@$!|+(*.\-_~]|[0-9@$!|+(][^\W\d_]|([^\W\d_])\1\1")
 #: What may be a disguise or may not: a doubled letter, or signs alone. Both readings count.
 MAYBE_ODD = re.compile(r"([^\W\d_])\1|^[0-9@$!|+(*.\-_~]{3,}$")
+DOUBLED = re.compile(r"(.)\1")
 SPACED = re.compile(r"(?<!\S)(?:(?:[^\W_]|[@$!|+(])\s+){2,}(?:[^\W_]|[@$!|+(])(?!\S)")
 #: Costs of ending a word at a narrow blank of a spaced run: each gives a reading, from long words to short ones.
 BREAKS = (-2.5, -1.0, 0.0, 1.0)
@@ -37,7 +38,7 @@ BREAKS = (-2.5, -1.0, 0.0, 1.0)
 READ_ON = -4.0
 #: Longer words are restored each time anew.
 LONGEST_KEPT = 60
-#: Words whose restored forms a task keeps at most; beyond it the table starts anew.
+#: Words that a task remembers at most in each of two halves; when the newer is full, the older one goes.
 CACHED_WORDS = 200_000
 
 
@@ -84,6 +85,39 @@ def letter_model(counts: Iterable[tuple[int, int]]) -> np.ndarray:
     return np.log(p3)
 
 
+class Recent:
+    """What `make` gives for a word, remembered for the words met last: at most two halves of CACHED_WORDS."""
+
+    def __init__(self, make: Callable[[str], tuple[str, ...]]) -> None:
+        self.make = make
+        self.new: dict[str, tuple[str, ...]] = {}
+        self.old: dict[str, tuple[str, ...]] = {}
+
+    def of(self, word: str) -> tuple[str, ...]:
+        got = self.new.get(word)
+        if got is None:
+            got = self.old.get(word)
+            if got is None:
+                got = self.make(word)
+            if len(word) <= LONGEST_KEPT:
+                if len(self.new) >= CACHED_WORDS:
+                    self.old, self.new = self.new, {}
+                self.new[word] = got
+        return got
+
+    def all_of(self, words: Iterable[str]) -> set[str]:
+        out: set[str] = set()
+        known = self.new
+        for word in words:
+            got = known.get(word)
+            if got is None:
+                got = self.of(word)
+                known = self.new
+            if got:
+                out.update(got)
+        return out
+
+
 class Restorer:
     """Restores words: the best path through the lattice of what each sign may stand for.
 
@@ -95,8 +129,7 @@ class Restorer:
 
     def __init__(self, model: np.ndarray) -> None:
         self.model = model.tolist()
-        self.known: dict[str, str] = {}
-        self.maybe: dict[str, str] = {}
+        self.recent = Recent(self.forms)
 
     def readings(self, word: str, k: int) -> list[tuple[str, float]]:
         c = word[k]
@@ -116,11 +149,22 @@ class Restorer:
 
         With `wide`, one entry for each blank of a spaced run, a word may end
         at each blank, at the cost `end` if it is narrow: the words read have a blank between them.
+
+        Letters before the first place with a choice cost every path the same,
+        and so do those behind the last one once a single path is left.
         """
         model = self.model
+        first, last = 0, len(word)
+        if wide is None:
+            choices = [k for k, c in enumerate(word) if not c.isalpha() or k and word[k - 1] == c]
+            if not choices:
+                return word
+            first, last = choices[0], choices[-1]
+        before = [letter_number(c) for c in word[max(0, first - 2) : first]]
         # Last two letters -> (score, letters read, as a linked list).
-        paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-        for k in range(len(word)):
+        start = (0, 0, *before)[-2:]
+        paths: dict[tuple[int, int], tuple[float, tuple | None]] = {start: (0.0, None)}
+        for k in range(first, len(word)):
             if k and wide is not None:
                 ends, goes_on = (0.0, READ_ON) if wide[k - 1] else (end, 0.0)
                 broken = {
@@ -140,7 +184,9 @@ class Restorer:
                     if state not in further or further[state][0] < total:
                         further[state] = (total, then)
             paths = further
-        return self.best(paths)
+            if k >= last and len(paths) == 1:
+                return word[:first] + self.best(paths) + word[k + 1 :]
+        return word[:first] + self.best(paths)
 
     def best(self, paths: dict[tuple[int, int], tuple[float, tuple | None]]) -> str:
         """The letters of the best path when the word ends here."""
@@ -156,30 +202,22 @@ class Restorer:
 
     def word(self, raw: str) -> str:
         """A word without the signs around it, restored if it looks disguised."""
-        got = self.known.get(raw)
-        if got is None:
-            if len(self.known) >= CACHED_WORDS:
-                self.known.clear()
-            core = raw.strip(PLAIN_EDGES)
-            if core.endswith("$$$"):
-                core = core.rstrip("$")
-            got = self.decode(core) if ODD.search(core) else core.strip(EDGES)
-            if len(raw) <= LONGEST_KEPT:
-                self.known[raw] = got
-        return got
+        core = raw.strip(PLAIN_EDGES)
+        if core.endswith("$$$"):
+            core = core.rstrip("$")
+        return self.decode(core) if ODD.search(core) else core.strip(EDGES)
 
     def other(self, raw: str) -> str:
         """The restored form of a word that may be a disguise or may not, else the empty string."""
-        got = self.maybe.get(raw)
-        if got is None:
-            if len(self.maybe) >= CACHED_WORDS:
-                self.maybe.clear()
-            # Signs at the edges of a word of signs alone may stand for letters.
-            core = raw if MAYBE_ODD.fullmatch(raw) else raw.strip(PLAIN_EDGES)
-            got = self.decode(core) if MAYBE_ODD.search(core) else ""
-            if len(raw) <= LONGEST_KEPT:
-                self.maybe[raw] = got
-        return got
+        # Signs at the edges of a word of signs alone may stand for letters.
+        core = raw if MAYBE_ODD.fullmatch(raw) else raw.strip(PLAIN_EDGES)
+        return self.decode(core) if MAYBE_ODD.search(core) else ""
+
+    def forms(self, raw: str) -> tuple[str, ...]:
+        """Both readings of a word in lower case."""
+        if raw.isalpha() and not DOUBLED.search(raw):
+            return (raw,)
+        return tuple(w for w in dict.fromkeys((self.word(raw), self.other(raw))) if w)
 
     def spaced(self, run: str) -> set[str]:
         """Words behind a run of single letters: the whole run, its parts between wider blanks, and words by word ends in the lattice."""
@@ -195,20 +233,23 @@ class Restorer:
         ended = [w for end in BREAKS for w in self.decode(letters, wide, end).split()]
         return {self.decode(letters), *map(self.decode, parts), *ended}
 
-    def words(self, text: str) -> set[str]:
-        """The distinct restored words of a text."""
+    def split(self, text: str) -> tuple[set[str], set[str]]:
+        """The distinct words of a text in lower case as they stand, and the words behind its spaced runs."""
         low = text.lower()
         raw = low.split()
-        word, known = self.word, self.known
-        maybe, other = self.maybe, self.other
-        distinct = set(raw)
-        out = {known[w] if w in known else word(w) for w in distinct}
-        out.update(maybe[w] if w in maybe else other(w) for w in distinct)
-        if sum(len(w) == 1 for w in raw) > 2:
+        single = [k for k, w in enumerate(raw) if len(w) == 1]
+        behind: set[str] = set()
+        # A run has three single signs side by side.
+        if any(b - a == 2 for a, b in zip(single, single[2:])):
             for m in SPACED.finditer(low):
-                out |= self.spaced(m.group())
-        out.discard("")
-        return out
+                behind |= self.spaced(m.group())
+            behind.discard("")
+        return set(raw), behind
+
+    def words(self, text: str) -> set[str]:
+        """The distinct restored words of a text."""
+        raw, behind = self.split(text)
+        return self.recent.all_of(raw) | behind
 
 
 def copy_key(text: str) -> Column:
@@ -238,20 +279,20 @@ class Scorer:
 
     def make(self) -> Callable[[list[str]], list[float]]:
         restorer, weights = Restorer(self.letters), self.weights
-        known: dict[str, tuple[str, ...]] = {}
 
-        def hits(word: str) -> tuple[str, ...]:
-            got = known.get(word)
-            if got is None:
-                if len(known) >= CACHED_WORDS:
-                    known.clear()
-                got = known[word] = tuple(f for f in features(word) if f in weights)
-            return got
+        def hits(words: Iterable[str]) -> tuple[str, ...]:
+            return tuple(f for w in words for f in features(w) if f in weights)
+
+        # From a word as it stands straight to the features of both its readings that have a weight.
+        recent = Recent(lambda raw: hits(restorer.forms(raw)))
 
         def score(texts: list[str]) -> list[float]:
             out = []
             for x in texts:
-                found = {f for w in restorer.words(x) for f in hits(w)}
+                raw, behind = restorer.split(x)
+                found = recent.all_of(raw)
+                if behind:
+                    found.update(hits(behind))
                 total = self.bias + sum(weights[f] for f in sorted(found))
                 out.append(1 / (1 + math.exp(-max(-30.0, min(30.0, total)))))
             return out
