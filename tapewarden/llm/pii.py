@@ -21,12 +21,14 @@ BASE = {
 }
 #: High-recall patterns whose matches are candidates of the trees.
 CANDIDATES = {
-    "handle": r"[A-Za-z0-9._%+-]++\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]++)*+",
+    "handle": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]++)*+",
     "number": r"\+?+\(?+[0-9](?:[\x20().-]{0,2}+[0-9]){6,}+",
 }
 KINDS = (*BASE, *CANDIDATES)
-#: A text without this sign has no match; the search is spared.
-NEEDS = {"email": "@", "phone": "+"}
+#: A text without one of these has no match; the search is spared.
+NEEDS = {"email": ("@",), "phone": ("+",), "handle": ("@", "(at)", "[at]")}
+#: Arrays are gone through in parts of this length, so that the work follows the number of matches, not its square.
+PART = 128
 
 #: Characters to the left of a candidate that its context features see.
 NEAR = 24
@@ -37,27 +39,48 @@ def sql(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def bound(value: str, name: str, then: str) -> str:
+    """SQL of `then`, in which `name` stands for a value that is worked out once."""
+    return f"element_at(transform(array({value}), {name} -> {then}), 1)"
+
+
+def parts(array: str) -> str:
+    """SQL of an array in parts of PART elements; none where it is empty."""
+    cut = f"transform(sequence(0, size(a) div {PART}), c -> slice(a, c * {PART} + 1, {PART}))"
+    return bound(array, "a", f"filter({cut}, c -> size(c) > 0)")
+
+
+def walked(array: str, of: str, step: str) -> str:
+    """SQL of an array of structs `of` that come from going over `array` with a whole number as state.
+
+    `step`, from a state `t` (at, out) and an element `x`, gives the next state.
+    """
+    inner = f"aggregate(c, named_struct('at', s.at, 'out', CAST(array() AS ARRAY<{of}>)), (t, x) -> {step})"
+    further = bound(inner, "y", "named_struct('at', y.at, 'all', concat(s.all, array(y.out)))")
+    start = f"named_struct('at', 0, 'all', CAST(array() AS ARRAY<ARRAY<{of}>>))"
+    return f"aggregate({parts(array)}, {start}, (s, c) -> {further}, s -> flatten(s.all))"
+
+
+HIT = "STRUCT<start: INT, end: INT, hit: STRING, left: STRING, right: STRING>"
+
+
 def matches(kind: str, pattern: str, text: str = "__text") -> str:
     """SQL for all matches in a text: array of (start, end, hit, left, right), in code points, end exclusive.
 
     The matches and the gaps between them, in turn, make up the text, so their
     lengths give the places.
     """
-    found = f"regexp_extract_all({text}, {sql(pattern)}, 0)"
-    gaps = f"split({text}, {sql(pattern)}, -1)"
-    n = f"size({found})"
-    empty = "CAST(array() AS ARRAY<STRUCT<start: INT, end: INT, hit: STRING, left: STRING, right: STRING>>)"
-    walked = f"""aggregate(
-        arrays_zip({found}, slice({gaps}, 1, {n}), slice({gaps}, 2, {n})),
-        named_struct('at', 0, 'found', {empty}),
-        (s, x) -> named_struct(
-            'at', s.at + length(x.`1`) + length(x.`0`),
-            'found', concat(s.found, array(named_struct(
-                'start', s.at + length(x.`1`), 'end', s.at + length(x.`1`) + length(x.`0`), 'hit', x.`0`,
-                'left', substring(x.`1`, -{NEAR}, {NEAR}), 'right', substring(x.`2`, 1, 2))))),
-        s -> s.found)"""
-    needed = f"instr({text}, '{NEEDS[kind]}') > 0 AND " if kind in NEEDS else ""
-    return f"CASE WHEN {needed}{text} RLIKE {sql(pattern)} THEN {walked} ELSE {empty} END"
+    both = f"named_struct('f', regexp_extract_all({text}, {sql(pattern)}, 0), 'g', split({text}, {sql(pattern)}, -1))"
+    zipped = "arrays_zip(z.f, slice(z.g, 1, size(z.f)), slice(z.g, 2, size(z.f)))"
+    step = f"""named_struct(
+        'at', t.at + length(x.`1`) + length(x.f),
+        'out', concat(t.out, array(named_struct(
+            'start', t.at + length(x.`1`), 'end', t.at + length(x.`1`) + length(x.f), 'hit', x.f,
+            'left', substring(x.`1`, -{NEAR}, {NEAR}), 'right', substring(x.`2`, 1, 2)))))"""
+    found = bound(both, "z", walked(zipped, HIT, step))
+    needed = " OR ".join(f"instr({text}, '{sign}') > 0" for sign in NEEDS.get(kind, ()))
+    needed = f"({needed}) AND " if needed else ""
+    return f"CASE WHEN {needed}{text} RLIKE {sql(pattern)} THEN {found} ELSE CAST(array() AS ARRAY<{HIT}>) END"
 
 
 def digits(hit: str) -> str:
@@ -110,7 +133,10 @@ CELLS = math.prod(n for _, n in FEATURES.values())
 
 
 def spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with `__base` and `__candidates`: arrays of (start, kind, end, hit, left, right) of the text."""
+    """`docs` with `__base` and `__candidates`: arrays of (start, kind, end, hit, left, right) of the text.
+
+    `__parts` has the places of the base spans in parts.
+    """
     whole = docs.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
     for number, (kind, pattern) in enumerate({**BASE, **CANDIDATES}.items()):
         whole = whole.withColumn(f"__{kind}", F.expr(matches(kind, pattern)))
@@ -121,10 +147,16 @@ def spans(docs: DataFrame, text: str = "text") -> DataFrame:
         *[F.col(f"`{c}`") for c in docs.columns],
         F.array_sort(F.concat(*[F.col(f"__{k}") for k in BASE])).alias("__base"),
         F.array_sort(F.concat(*[F.col(f"__{k}") for k in CANDIDATES])).alias("__candidates"),
-    )
+    ).withColumn("__parts", F.expr(BASE_PARTS.format(parts("transform(__base, b -> named_struct('start', b.start, 'end', b.end))"))))
 
 
-TOUCHES = "exists(__base, b -> b.start < x.end AND x.start < b.end)"
+#: Parts of the base spans, by start, with the places they lie between. TOUCHES finds them as `q`, which is bound
+#: outside the lambda of `x`: an optimizer that moved the column into it would work it out for every candidate.
+BASE_PARTS = "transform({}, p -> named_struct('low', p[0].start, 'high', array_max(transform(p, b -> b.end)), 'spans', p))"
+TOUCHES = (
+    "exists(q, p -> p.low < x.end AND x.start < p.high "
+    "AND exists(p.spans, b -> b.start < x.end AND x.start < b.end))"
+)
 
 
 @dataclass
@@ -151,7 +183,7 @@ def tree_sql(tree: tuple | float, x: str) -> str:
 def cells(found: DataFrame) -> DataFrame:
     """How many candidates of all texts have the same features, and how many of them touch a base span."""
     fields = ", ".join(f"'{name}', CAST({code} AS INT)" for name, (code, _) in FEATURES.items())
-    seen = F.expr(f"transform(__candidates, x -> named_struct({fields}, 'hit', IF({TOUCHES}, 1, 0)))")
+    seen = F.expr(bound("__parts", "q", f"transform(__candidates, x -> named_struct({fields}, 'hit', IF({TOUCHES}, 1, 0)))"))
     return (
         found.filter("size(__candidates) > 0")
         .select(F.explode(seen).alias("x"))
@@ -249,18 +281,21 @@ def find(docs: DataFrame, trees: Trees, text: str = "text", name: str = "pii") -
     texts have none. Rows are handled one by one; a column of the name is replaced.
     """
     fields = ", ".join(f"'{f}', CAST({code} AS INT)" for f, (code, _) in FEATURES.items())
-    free = f"filter(__candidates, x -> NOT {TOUCHES})"
+    free = bound("__parts", "q", f"filter(__candidates, x -> NOT {TOUCHES})")
     described = f"transform({free}, x -> named_struct('start', x.start, 'no', x.kind, 'end', x.end, {fields}))"
     low, high = trees.thresholds
     passed = f"filter({described}, x -> {trees.score()} >= IF(x.kind = 0, {low!r}D, {high!r}D))"
     slim = "transform({}, x -> named_struct('start', x.start, 'kind', {}, 'end', x.end))"
-    apart = """aggregate(__added, CAST(array() AS ARRAY<STRUCT<start: INT, kind: INT, end: INT>>),
-        (s, x) -> IF(exists(s, y -> y.start < x.end AND x.start < y.end), s, concat(s, array(x))))"""
+    apart = walked(
+        "__added",
+        "STRUCT<start: INT, kind: INT, end: INT>",
+        "IF(x.start >= t.at, named_struct('at', x.end, 'out', concat(t.out, array(x))), t)",
+    )
     found = spans(docs.drop(name), text)
     return (
         found.withColumn("__added", F.expr(slim.format(passed, "x.no")))
         .withColumn(name, F.array_sort(F.concat(F.expr(slim.format("__base", "x.kind")), F.expr(apart))))
-        .drop("__base", "__candidates", "__added")
+        .drop("__base", "__candidates", "__parts", "__added")
     )
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 from tapewarden.llm import pii
 
@@ -69,3 +70,22 @@ def test_candidates_that_look_like_base_spans_are_added(spark):
 def test_the_plan_has_no_python(documents):
     plan = pii.find(documents, pii.Trees([], 0.0, (2.0, 2.0)))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Exchange|Python|Arrow", plan)
+
+
+def test_long_words_and_many_matches_take_seconds(spark):
+    """One word of a million letters, one of digits and dots, and twenty thousand e-mails and numbers in one text."""
+    mails = " ".join(f"user{k}@mail{k % 7}.example.com +1555{k:07d}" for k in range(20_000))
+    numbers = " ".join(f"{k:03d} {k * 7 % 10_000:04d}-{k % 100:02d}" for k in range(20_000))
+    rows = [(1, "a" * 1_000_000), (2, "1." * 200_000 + "x"), (3, mails), (4, numbers), (5, "(at)" * 100_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    trees = pii.Trees([], 5.0, (0.5, 0.5))
+    begun = time.monotonic()
+    found = {r.doc_id: [tuple(s) for s in r.pii] for r in pii.find(docs, trees).collect()}
+    assert time.monotonic() - begun < 120
+    assert found[1] == found[5] == [] and len(found[2]) == 50_000, "ip by ip"
+    assert len([s for s in found[3] if s[1] == 0]) == 20_000
+    # The plain patterns are quadratic in the length of a word: only the texts of short words.
+    for k, text in rows[2:4]:
+        assert [s for s in found[k] if s[1] < 4] == plain(text)
+        added = sorted(s for s in found[k] if s[1] >= 4)
+        assert all(a[2] <= b[0] for a, b in zip(added, added[1:]))
