@@ -129,7 +129,7 @@ def test_compaction_keeps_the_rows(spark, tmp_path):
     day = touched_dates(sweep_rows(spark, (0, 0.1, 1.0, 0)))
     for _ in range(2):
         compact(spark, root, WASH_SENSITIVITY, day, first=False)
-        folders = list((tmp_path / WASH_SENSITIVITY.name).glob("event_date=*/writer=*/batch_id=*"))
+        folders = list((tmp_path / f"target_table={WASH_SENSITIVITY.name}").glob("event_date=*/writer=*/batch_id=*"))
         assert [f.parent.name for f in folders] == ["writer=compacted"]
     upsert(sweep_rows(spark, (0, 0.5, 9.0, 9)), root, WASH_SENSITIVITY, 3)
     rows = read_upserted(spark, root, WASH_SENSITIVITY).orderBy("threshold").collect()
