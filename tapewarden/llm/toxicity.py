@@ -39,7 +39,7 @@ READ_ON = -4.0
 #: Longer words are restored each time anew.
 LONGEST_KEPT = 60
 #: Words that a task remembers at most in each of two halves; when the newer is full, the older one goes.
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 
 
 def letter_number(c: str) -> int:
