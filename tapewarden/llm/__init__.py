@@ -40,6 +40,7 @@ QUERIES: dict[str, Query] = {
     "op5_mixing": mixing.op5_mixing,
     "op6_pii": pii.op6_pii,
     "op7_fingerprints": fingerprints.op7_fingerprints,
+    "op7_links": fingerprints.op7_links,
     "op8_backoff": backoff.op8_backoff,
     "op8_backoff_trigrams": backoff.op8_backoff_trigrams,
     "op9_bpe": bpe.op9_bpe,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tapewarden.llm.common import annotate, documents
+from tapewarden.llm.common import annotate, documents, shared_folder, written
 
 #: Sampled places of the embedding: bytes of a fingerprint.
 PLACES = 128
@@ -30,6 +30,10 @@ READ = 4
 TEXTS = 2000
 #: Classes of a bucket that a task compares with as many others, about.
 BLOCK = 256
+#: Bands of `links`, of six places each: at a likeness of 0.8 a pair shares one with a chance of 0.998.
+BANDS = 21
+#: Rows of one class are dealt to so many parts where classes go back to rows.
+SALTS = 16
 NAMES = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
@@ -222,6 +226,72 @@ def similar_pairs(
     )
 
 
+def links(
+    docs: DataFrame, least: float = 0.8, bands: int = BANDS, seed: int = 7, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """A row for each row: `doc_id`, `class_id`, `n_links`.
+
+    `class_id` is the least id of the rows with the same fingerprint, which equal
+    texts share. `n_links` is the number of other classes whose fingerprint is
+    at least `least` alike: candidates are equal in one of `bands` samples of
+    places, and are verified on all places. A pair is counted by the first band
+    it shares. Buckets of any size are compared whole, by pairs of blocks of
+    about BLOCK classes; tasks return counts, not pairs. Bands are posted
+    without fingerprints, which join the members of buckets of two or more.
+    A null text counts as empty; a null id is less than none, so it is a class's
+    id only where the class has no other. An empty table gives no rows.
+    """
+    folder = shared_folder(docs.sparkSession, "prints")
+    chosen = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    prints = fingerprints(chosen, seed).select("id", F.unhex("fingerprint").alias("f"))
+    prints = written(prints.withColumn("c", F.unhex(F.md5("f"))), f"{folder}/rows")
+    heads = written(prints.groupBy("c").agg(F.min("id").alias("class_id"), F.first("f").alias("f")), f"{folder}/classes")
+    width = PLACES // bands
+    # Every bands-th byte from the band's number on.
+    keys = F.array(*[F.xxhash64(*[F.substring("f", 1 + b + k * bands, 1) for k in range(width)]) for b in range(bands)])
+    posted = heads.select("c", F.posexplode(keys).alias("band", "key"))
+    sizes = posted.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = (
+        posted.join(sizes, ["band", "key"])
+        .join(heads.select("c", "f"), "c")
+        .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("c"), "blocks").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("band", "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "c", "f")
+    )
+
+    def counted(group: pa.Table) -> pa.Table:
+        band, x, y = (group.column(k)[0].as_py() for k in ("band", "x", "y"))
+        block = group.column("block").to_numpy()
+        codes = np.frombuffer(b"".join(group.column("f").to_pylist()), dtype=np.uint8).reshape(-1, PLACES)
+        rows, others = np.flatnonzero(block == x), np.flatnonzero(block == y)
+        n = np.zeros(len(codes), dtype=np.int64)
+        for k, row in enumerate(rows):
+            against = others[k + 1 :] if x == y else others
+            equal = codes[against] == codes[row]
+            alike = (equal.mean(axis=1) - 1 / 256) / (1 - 1 / 256)
+            near = np.flatnonzero(alike >= least)
+            shared = equal[near][:, : width * bands].reshape(-1, width, bands).all(axis=1)
+            near = near[shared.argmax(axis=1) == band]
+            n[row] += len(near)
+            n[against[near]] += 1
+        linked = np.flatnonzero(n)
+        return pa.table({"c": group.column("c").take(pa.array(linked)), "n": pa.array(n[linked])})
+
+    counts = (
+        members.groupBy("band", "key", "x", "y")
+        .applyInArrow(counted, "c binary, n bigint")
+        .groupBy("c")
+        .agg(F.sum("n").alias("n_links"))
+    )
+    classed = heads.select("c", "class_id").join(counts, "c", "left")
+    salted = classed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = prints.select("c", "id", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
+    return rows.join(salted, ["c", "salt"]).select(
+        F.col("id").alias(doc_id), "class_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")
+    )
+
+
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows_per_block: int = TEXTS) -> DataFrame:
     """Rows (`id, text, order, block, guest`): each block holds its rows and, as a guest, the row after its last.
 
@@ -314,3 +384,7 @@ def edited(docs: DataFrame, seed: int = 7, doc_id: str = "doc_id", text: str = "
 
 def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return edited(documents(spark, folder).select("doc_id", "text"))
+
+
+def op7_links(spark: SparkSession, folder: str) -> DataFrame:
+    return links(documents(spark, folder))

@@ -87,6 +87,11 @@ def digits(hit: str) -> str:
     return f"regexp_replace({hit}, '[^0-9]', '')"
 
 
+def national(hit: str) -> str:
+    """SQL of a number without a plus and the country code that it leads in."""
+    return f"regexp_replace({hit}, '^[+][0-9]{{1,3}}[ .-]?', '')"
+
+
 def octets(hit: str) -> str:
     small = "coalesce(try_cast(regexp_replace(p, '^0+(?=[0-9])', '') AS INT) <= 255, false)"
     return f"forall(split({hit}, '[.]'), p -> {small})"
@@ -106,28 +111,42 @@ HOLDS = {
     "phone": f"length({digits('x.hit')}) BETWEEN 10 AND 15",
 }
 
-# Features of a candidate x: SQL of small whole numbers, and how many values each can have.
+# Features of a candidate x: SQL of small whole numbers, and how many values each can have. What the base patterns
+# ask for (a leading plus with what it brings, a sign @, dots written as dots) is not among them: with it, the trees
+# could only repeat the base. Shape, checks that fail and the words to the left decide.
 FEATURES: dict[str, tuple[str, int]] = {
     "kind": ("IF(x.kind = 4, 0, 1)", 2),
     "digits": (
-        f"CASE WHEN x.kind = 4 THEN 0 ELSE greatest(0, least(12, length({digits('x.hit')}) - 7)) END", 13,
+        f"CASE WHEN x.kind = 4 OR length({digits('x.hit')}) < 10 THEN 0 WHEN length({digits('x.hit')}) < 14 THEN 1 "
+        f"WHEN length({digits('x.hit')}) < 16 THEN 2 WHEN length({digits('x.hit')}) < 20 THEN 3 ELSE 4 END",
+        5,
     ),
-    "plus": ("IF(startswith(x.hit, '+'), 1, 0)", 2),
-    "brackets": ("IF(x.hit LIKE '%(%', 1, 0)", 2),
-    "dots": ("least(4, length(x.hit) - length(replace(x.hit, '.', '')))", 5),
-    "gaps": ("least(3, length(x.hit) - length(translate(x.hit, ' -', '')))", 4),
+    "brackets": ("IF(x.kind = 5 AND x.hit LIKE '%(%', 1, 0)", 2),
+    "dots": (r"least(IF(x.kind = 4, 1, 4), size(regexp_extract_all(x.hit, '[.](?! )|[(\\[]dot[)\\]]', 0)))", 5),
+    "gaps": (f"IF(x.kind = 4, 0, least(3, length({national('x.hit')}) - length(translate({national('x.hit')}, ' -', ''))))", 4),
     "check": (
         f"CASE WHEN x.kind = 5 AND length({digits('x.hit')}) BETWEEN 12 AND 19 THEN IF({luhn(digits('x.hit'))}, 2, 1) ELSE 0 END",
         3,
     ),
     "small_parts": (f"IF(x.hit RLIKE '^[0-9]+([.][0-9]+){{3}}$' AND {octets('x.hit')}, 1, 0)", 2),
-    "at": ("IF(x.hit LIKE '%@%', 1, 0)", 2),
     "joined": ("IF(x.left RLIKE '[A-Za-z0-9_=]$', 1, 0) + IF(x.right RLIKE '^[A-Za-z0-9_=]', 2, 0)", 4),
     "named": (
-        "IF(x.left RLIKE '(?i)(phone|tel|call|fax|mobile|card|visa|account|iban|ssn|passport|mail|contact|address|host|ip)[^A-Za-z]*$', 1, 0)",
-        2,
+        "CASE WHEN x.left RLIKE '(?i)(phone|tel|call|fax|mobile|contact)[^A-Za-z]*$' THEN 1 "
+        "WHEN x.left RLIKE '(?i)(card|visa|account|iban|ssn|passport)[^A-Za-z]*$' THEN 2 "
+        "WHEN x.left RLIKE '(?i)(mail|address|host|ip)[^A-Za-z]*$' THEN 3 "
+        "WHEN x.left RLIKE '(?i)(order|invoice|ticket|serial|part|item|version|build|id|no|ref|isbn|date)[^A-Za-z]*$' THEN 4 ELSE 0 END",
+        5,
     ),
 }
+#: True for a candidate that no base pattern could take whatever its shape, as it lacks the sign that the pattern asks
+#: for: its label is unknown, not "no", so it counts UNLABELLED of a candidate that a base pattern looked at and refused.
+UNSEEN = (
+    "(x.kind = 4 AND NOT x.hit LIKE '%@%' OR x.kind = 5 AND NOT startswith(x.hit, '+') "
+    f"AND length({digits('x.hit')}) NOT BETWEEN 14 AND 19 AND NOT x.hit RLIKE '^[0-9]+([.][0-9]+){{3}}$')"
+)
+UNLABELLED = 0.25
+#: One text in so many, by hash, is held back from the trees and calibrates their thresholds.
+HELD = 4
 #: Cells of the table that the trees are fitted to: no more than the features have values together.
 CELLS = math.prod(n for _, n in FEATURES.values())
 
@@ -181,15 +200,21 @@ def tree_sql(tree: tuple | float, x: str) -> str:
 
 
 def cells(found: DataFrame) -> DataFrame:
-    """How many candidates of all texts have the same features, and how many of them touch a base span."""
+    """Weights of the candidates of all texts by features: all of them, those that touch a base span, and both again for texts held back.
+
+    Weights are multiples of UNLABELLED, so their sums do not depend on order.
+    """
     fields = ", ".join(f"'{name}', CAST({code} AS INT)" for name, (code, _) in FEATURES.items())
-    seen = F.expr(bound("__parts", "q", f"transform(__candidates, x -> named_struct({fields}, 'hit', IF({TOUCHES}, 1, 0)))"))
+    label = f"'hit', IF({TOUCHES}, 1.0D, 0.0D), 'weight', IF({UNSEEN}, {UNLABELLED}D, 1.0D)"
+    seen = F.expr(bound("__parts", "q", f"transform(__candidates, x -> named_struct({fields}, {label}))"))
+    sums = {"n": ("weight", 0), "hits": ("hit", 0), "held_n": ("weight", 1), "held_hits": ("hit", 1)}
     return (
         found.filter("size(__candidates) > 0")
-        .select(F.explode(seen).alias("x"))
-        .select("x.*")
+        .select("__held", F.explode(seen).alias("x"))
+        .select("__held", "x.*")
+        .withColumn("weight", F.greatest("weight", "hit"))
         .groupBy(*FEATURES)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("hit").alias("hits"))
+        .agg(*[F.sum(F.when(F.col("__held") == side, F.col(of)).otherwise(0.0)).alias(name) for name, (of, side) in sums.items()])
         .orderBy(*FEATURES)
     )
 
@@ -231,11 +256,12 @@ def tree_value(tree: tuple | float, row: dict) -> float:
 
 
 def fit_trees(rows: Sequence[dict], rounds: int = 25, depth: int = 3, precision: float = 0.9) -> Trees:
-    """Trees for a table of cells (features, n, hits) by gradient boosting of the log loss.
+    """Trees for a table of cells (features, n, hits, held_n, held_hits) by gradient boosting of the log loss.
 
     The threshold of a candidate kind is the least score at which at least
-    `precision` of the candidates that reach it, and of those of the last cell
-    let in, touch a base span; over 1 if there is none.
+    `precision` of the held-back weight that reaches it, and at least half of
+    `precision` of that of the last cell let in, touches a base span; over 1 if
+    there is none, or nothing was held back.
     """
     n = sum(r["n"] for r in rows)
     hits = sum(r["hits"] for r in rows)
@@ -251,12 +277,12 @@ def fit_trees(rows: Sequence[dict], rounds: int = 25, depth: int = 3, precision:
         total = [t + tree_value(tree, r) for t, r in zip(total, rows, strict=True)]
     thresholds = []
     for kind in (0, 1):
-        least, seen, good = 2.0, 0, 0
-        own = sorted(((t, r) for t, r in zip(total, rows, strict=True) if r["kind"] == kind), key=lambda x: -x[0])
-        for t, r in own:
-            seen += r["n"]
-            good += r["hits"]
-            if good < precision * seen or r["hits"] < precision * r["n"] * 0.5:
+        least, seen, good = 2.0, 0.0, 0.0
+        held = ((t, r) for t, r in zip(total, rows, strict=True) if r["kind"] == kind and r["held_n"] > 0)
+        for t, r in sorted(held, key=lambda x: -x[0]):
+            seen += r["held_n"]
+            good += r["held_hits"]
+            if good < precision * seen or r["held_hits"] < precision * r["held_n"] * 0.5:
                 break
             least = 1 / (1 + math.exp(-max(-30.0, min(30.0, t))))
         thresholds.append(least)
@@ -266,10 +292,16 @@ def fit_trees(rows: Sequence[dict], rounds: int = 25, depth: int = 3, precision:
 def fit(docs: DataFrame, text: str = "text") -> Trees:
     """Trees fitted to all candidates of all texts, counted by their features in Spark.
 
-    A candidate's label is whether it touches a base span. The driver gets the
-    table of counts, at most CELLS rows whatever the number of texts.
+    A candidate that touches a base span is a positive; one that a base pattern
+    looked at and refused is a negative; one that lacks the sign a base pattern
+    asks for is unlabelled, a negative of weight UNLABELLED. The features hide
+    that sign, so shape and context judge it. Texts held back by hash calibrate
+    the thresholds. The driver gets the table of counts, at most CELLS rows
+    whatever the number of texts.
     """
-    return fit_trees([r.asDict() for r in cells(spans(docs.select(text), text)).collect()])
+    held = F.when(F.pmod(F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.lit(11)), F.lit(HELD)) == 0, 1).otherwise(0)
+    found = spans(docs.select(text, held.alias("__held")), text)
+    return fit_trees([r.asDict() for r in cells(found).collect()])
 
 
 def find(docs: DataFrame, trees: Trees, text: str = "text", name: str = "pii") -> DataFrame:

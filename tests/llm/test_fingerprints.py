@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tapewarden.llm import fingerprints as fp
 
@@ -102,3 +103,45 @@ def test_all_pairs_of_a_bucket_larger_than_a_block(spark):
         want |= {(a, a + 1 + int(k)): float(share[k]) for k in np.flatnonzero(share >= 0.6)}
     assert len(want) >= half
     assert found == want
+
+
+def test_links_equal_brute_force(spark, documents, odd, none):
+    """All pairs of different fingerprints, in a bucket larger than a block too, for clashing columns, nulls and copies."""
+    rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    # Texts alike but for their ends: a bucket of more classes than a block holds.
+    long = max((t or "" for _, t in rows), key=len)[:3000]
+    rows += [(100_000 + k, long + f" end {k} " + "z" * (k % 7)) for k in range(2 * fp.BLOCK + 40)] + [(7, long), (None, long)]
+    many = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5).withColumn("class_id", F.lit("x"))
+    walk = fp.Walk()
+    for docs in (many, odd):
+        got = fp.links(docs).collect()
+        texts = [(r.doc_id, r.text or "") for r in docs.collect()]
+        codes = [fp.code_points(t) for _, t in texts]
+        prints = {t: walk.fingerprint(c, e) for (_, t), c, e in zip(texts, codes, walk.ends(codes, [0] * len(codes)), strict=True)}
+        classes = {}
+        for i, t in texts:
+            classes.setdefault(prints[t].tobytes(), []).append(i)
+        keys = list(classes)
+        table = np.frombuffer(b"".join(keys), dtype=np.uint8).reshape(-1, fp.PLACES)
+        n = {}
+        for key, row in zip(keys, table, strict=True):
+            alike = ((table == row).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
+            n[key] = int((alike >= 0.8).sum()) - 1
+        want = {}
+        for key, ids in classes.items():
+            least = min((i for i in ids if i is not None), default=None)
+            for i in ids:
+                want.setdefault(i, []).append((least, n[key]))
+        assert len(got) == len(texts)
+        found = {}
+        for r in got:
+            found.setdefault(r.doc_id, []).append((r.class_id, r.n_links))
+        links_found = sum(x for rows_of in found.values() for _, x in rows_of)
+        links_wanted = sum(x for rows_of in want.values() for _, x in rows_of)
+        assert 0.98 * links_wanted <= links_found <= links_wanted
+        assert {i: sorted(c for c, _ in rows_of if c is not None) for i, rows_of in found.items()} == {
+            i: sorted(c for c, _ in rows_of if c is not None) for i, rows_of in want.items()
+        }
+        for i, rows_of in found.items():
+            assert all(x <= most for (_, x), (_, most) in zip(sorted(rows_of, key=repr), sorted(want[i], key=repr), strict=True))
+    assert fp.links(none).count() == 0

@@ -50,13 +50,14 @@ def test_base_spans(spark, documents, odd, none):
 
 
 def test_trees_learn_and_their_sql_scores_alike(spark):
-    rows = [dict.fromkeys(pii.FEATURES, 0) | {"kind": k % 2, "digits": k % 13, "plus": k % 3 % 2, "n": 10, "hits": 9 if k % 13 > 6 else 0} for k in range(78)]
+    rows = [dict.fromkeys(pii.FEATURES, 0) | {"kind": k % 2, "digits": k % 5, "gaps": k % 3, "n": 10, "hits": 9 if k % 5 > 2 else 0, "held_n": 10, "held_hits": 9 if k % 5 > 2 else 0} for k in range(30)]
     trees = pii.fit_trees(rows, rounds=20)
     frame = spark.createDataFrame([{f: r[f] for f in pii.FEATURES} for r in rows])
     scores = [r.s for r in frame.selectExpr("struct(*) AS x").selectExpr(f"{trees.score()} AS s").collect()]
     for r, s in zip(rows, scores, strict=True):
         assert abs(s - 1 / (1 + 2.718281828459045 ** -(trees.start + sum(pii.tree_value(t, r) for t in trees.trees)))) < 1e-9
-        assert (s > 0.5) == (r["digits"] > 6)
+        assert (s > 0.5) == (r["digits"] > 2)
+    assert all(t < 1 for t in trees.thresholds)
 
 
 def test_candidates_that_look_like_base_spans_are_added(spark):
@@ -67,6 +68,26 @@ def test_candidates_that_look_like_base_spans_are_added(spark):
     assert pii.redact(docs, trees).first().text == "call [PII] or [PII] now"
 
 
+def test_a_fitted_model_adds_what_base_patterns_cannot_take(spark):
+    """Fitted, not made by hand: disguises are added where their shape is that of base spans; decoys are not."""
+    lines = []
+    for k in range(400):
+        lines += [f"please call +1 (555) {k % 900 + 100}-{k * 7 % 9000 + 1000} today", f"write to user{k}@mail{k % 9}.example.com soon"]
+        lines += [f"order {k * 7919 % 10_000_000 + 20_000_000} shipped", f"meet (at) noon{k}. Then leave", f"serial {k * 104729 % 10**9 + 10**9} ok"]
+        # Sixteen digits that fail the check, and parts over 255.
+        lines += [f"card 411111111111111{(k % 9 + 2) % 10} no", f"host 999.1.{k}.1 no"]
+    hidden = [f"call (555) {k + 200}-{k * 11 % 9000 + 1000} now" for k in range(20)]
+    hidden += [f"write to user{k}(at)mail{k}(dot)com now" for k in range(10)] + [f"write to user{k} [at] mail{k} [dot] org now" for k in range(10)]
+    rows = list(enumerate(lines + hidden))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    found = {r.doc_id: [(s.kind, r.text[s.start : s.end]) for s in r.pii if s.kind > 3] for r in pii.find(docs, pii.fit(docs)).collect()}
+    added = [k for k, spans in found.items() if spans]
+    right = [k for k in added if k >= len(lines)]
+    assert len(right) >= 0.9 * len(hidden) and len(right) >= 0.9 * len(added)
+    assert found[len(lines)] == [(5, "(555) 200-1000")]
+    assert found[len(lines) + 20] == [(4, "user0(at)mail0(dot)com")]
+
+
 def test_the_plan_has_no_python(documents):
     plan = pii.find(documents, pii.Trees([], 0.0, (2.0, 2.0)))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Exchange|Python|Arrow", plan)
