@@ -37,29 +37,54 @@ _ONE_FILE = {"maxFilesPerTrigger": "1"}
 SLICES = 4
 
 
+#: Rows of a file of a slice, about: large slices are written and read by many tasks.
+SLICE_ROWS = 50_000
+
+
 def _sliced(rows, time, path, turns=None):
     """Rows as files in order of time: equal spans one after the other, as a feed would bring them.
 
-    With ``turns`` only these spans (1 to SLICES), in this order.
+    With ``turns`` only these spans (1 to SLICES), in this order. Rows without a
+    time come with the span brought last. Returns the number of files, which
+    every span has: a stream that takes so many per trigger takes one span.
     """
+    turns = turns or range(1, SLICES + 1)
+    spark = rows.sparkSession
     held = rows.persist()
     moment = F.col(time)
     if not dict(rows.dtypes)[time] == "bigint":
         moment = F.unix_micros(moment.cast("timestamp"))
-    span = held.agg(F.min(moment).alias("lo"), F.max(moment).alias("hi")).first()
+    span = held.agg(F.min(moment).alias("lo"), F.max(moment).alias("hi"), F.count(F.lit(1)).alias("n")).first()
     bounds = [None if span.lo is None else span.lo + (span.hi - span.lo) * k // SLICES for k in range(SLICES + 1)]
-    for k in turns or range(1, SLICES + 1):
-        part = held if k == 1 or span.lo is None else held.filter(moment > bounds[k - 1])
-        part = part if k == SLICES or span.lo is None else part.filter(moment <= bounds[k])
-        part.coalesce(1).write.mode("append").parquet(path)
+    files = max(1, min(spark.sparkContext.defaultParallelism, span.n // (SLICES * SLICE_ROWS)))
+    for turn, k in enumerate(turns, 1):
+        inside = F.lit(span.lo is not None)
+        if span.lo is not None and k > 1:
+            inside = inside & (moment > bounds[k - 1])
+        if span.lo is not None and k < SLICES:
+            inside = inside & (moment <= bounds[k])
+        untimed = moment.isNull() if SLICES in turns and turn == len(turns) else F.lit(False)
+        part = held.filter((moment.isNotNull() & inside) | untimed)
+        # Ranges of time, so that a batch stored by day has few files a day.
+        part = part.coalesce(1) if files == 1 else part.repartitionByRange(files, moment)
+        part.write.mode("append").parquet(path)
+        # A task without rows writes no file: files without rows make up the number.
+        written = len(spark.read.schema(rows.schema).parquet(path).inputFiles())
+        for _ in range(-written % files):
+            held.limit(0).coalesce(1).write.mode("append").parquet(path)
     held.unpersist()
+    return files
+
+
+def _feed(session, schema, path, files):
+    """The files of ``_sliced`` as a stream: a slice in each trigger."""
+    return session.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _events(session, folder, root):
     """The events as a stream of several triggers, a slice of time in each."""
     place = f"{root}/events"
-    _sliced(read_events(session, folder), "ts", place)
-    return session.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(place)
+    return _feed(session, EVENTS, place, _sliced(read_events(session, folder), "ts", place))
 
 
 def _trades(session, folder, root):
@@ -202,8 +227,8 @@ def stream_resumed(spark, folder):
     root = workspace(spark, "resumed")
     for turns in ((1, 2), (3, 4)):
         session = stream_session(spark)
-        _sliced(read_events(session, folder), "ts", f"{root}/events", turns)
-        feed = session.readStream.schema(EVENTS).options(**_ONE_FILE).parquet(f"{root}/events")
+        files = _sliced(read_events(session, folder), "ts", f"{root}/events", turns)
+        feed = _feed(session, EVENTS, f"{root}/events", files)
         _drain(
             start_pump_dump_detector(
                 trades_from_events(feed),
@@ -230,8 +255,7 @@ def stream_pump_expiry(spark, folder):
     quiet = F.make_dt_interval(days=F.datediff(F.col("ts"), F.lit("2024-01-01").cast("date")))
     ahead = F.make_dt_interval(hours=F.when(F.col("event_type").isin("click", "view"), 40).otherwise(0))
     events = read_events(session, folder).withColumn("ts", F.col("ts") + quiet - ahead)
-    _sliced(events, "ts", f"{root}/events")
-    feed = session.readStream.schema(EVENTS).options(**_ONE_FILE).parquet(f"{root}/events")
+    feed = _feed(session, EVENTS, f"{root}/events", _sliced(events, "ts", f"{root}/events"))
     _drain(
         start_pump_dump_detector(
             trades_from_events(feed), CONFIG, f"{root}/tables", f"{root}/checkpoint", delay=_DELAY, trigger=None
@@ -253,8 +277,8 @@ def stream_counters(spark, folder):
     """Counters of each trigger of the ingest job, for a feed whose second part comes last."""
     root = workspace(spark, "counters")
     session = stream_session(spark)
-    _sliced(read_events(session, folder), "ts", f"{root}/events", (1, 3, 4, 2))
-    feed = session.readStream.schema(EVENTS).options(**_ONE_FILE).parquet(f"{root}/events")
+    files = _sliced(read_events(session, folder), "ts", f"{root}/events", (1, 3, 4, 2))
+    feed = _feed(session, EVENTS, f"{root}/events", files)
     queries = start_ingest(
         spoiled_trades(feed),
         CONFIG.symbols,
@@ -312,9 +336,8 @@ def stream_ingest(spark, folder):
     raw = ingestion.raw_messages(sample.trades(spark, folder))
     place = f"{root}/raw"
     at = F.coalesce(*[F.get_json_object("value", path).cast("long") for path in ("$.data.T", "$.T")])
-    _sliced(raw.withColumn("at", at), "at", place)
-    session = stream_session(spark)
-    once = session.readStream.schema("value string").options(**_ONE_FILE).parquet(place)
+    files = _sliced(raw.withColumn("at", at), "at", place)
+    once = _feed(stream_session(spark), "value string", place, files)
     queries = start_ingest(
         normalize_exchange_events(once.union(once)),
         CONFIG.symbols,
@@ -395,13 +418,12 @@ def stream_pump_dump_join(spark, folder):
     root = workspace(spark, "pair-join")
     flagged = flagged_at(sample.report_sweep(spark, folder), CONFIG.report_point)
     columns = ("symbol", "window_start", "price_change_pct", "phase")
-    _sliced(flagged.select(*columns), "window_start", f"{root}/flagged")
+    files = _sliced(flagged.select(*columns), "window_start", f"{root}/flagged")
     session = stream_session(spark)
     schema = spark.read.parquet(f"{root}/flagged").schema
 
     def side(phase):
-        rows = session.readStream.schema(schema).options(**_ONE_FILE).parquet(f"{root}/flagged")
-        return rows.filter(F.col("phase") == phase)
+        return _feed(session, schema, f"{root}/flagged", files).filter(F.col("phase") == phase)
 
     live = pair_stream(side("PUMP"), side("DUMP"), CONFIG.pair_window, _DELAY)
     return _through_files(spark, live, root)
