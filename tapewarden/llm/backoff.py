@@ -28,6 +28,8 @@ PART = 800_000
 #: Words of a chunk, whose pairs are packed together, about.
 CHUNK = 1_500_000
 CACHED_WORDS = 300_000
+#: Binary columns of packed pairs.
+PACKED = ("contexts", "runs", "words", "rare", "befores", "rare_befores", "docs", "counts")
 #: Stands for the lack of a context before the first word of a document.
 START = np.uint64(0)
 
@@ -130,14 +132,49 @@ def hot_pairs(docs: DataFrame, hot: np.ndarray, text: str) -> DataFrame:
     return docs.select(text).mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
+def coded(common: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Words as places in the sorted table of common ones, counted from 1, or 0."""
+    return lookup(common, np.arange(1, len(common) + 1), w).astype("<u4")
+
+
+def planes(code: np.ndarray) -> bytes:
+    """The three low bytes of codes, byte after byte: high ones are mostly 0 and take next to nothing."""
+    return code.view(np.uint8).reshape(-1, 4)[:, :3].T.tobytes()
+
+
+def decoded(common: np.ndarray, packed: list[bytes], rare: list[bytes]) -> np.ndarray:
+    """The hashes of words from `planes` of their codes and the hashes of those without one."""
+    code = np.zeros((sum(len(x) for x in packed) // 3, 4), dtype=np.uint8)
+    low = 0
+    for x in packed:
+        high = low + len(x) // 3
+        code[low:high, :3] = np.frombuffer(x, dtype=np.uint8).reshape(3, -1).T
+        low = high
+    code = code.view("<u4").ravel()
+    out = np.empty(len(code), dtype=np.uint64)
+    known = code > 0
+    out[known] = common[code[known] - 1]
+    out[~known] = np.frombuffer(b"".join(rare), dtype="<u8")
+    return out
+
+
 def packed_pairs(
-    docs: DataFrame, hot: np.ndarray, parts: int, doc_id: str, text: str, order_n: int = 2, hot_two: np.ndarray | None = None
+    docs: DataFrame,
+    hot: np.ndarray,
+    parts: int,
+    doc_id: str,
+    text: str,
+    order_n: int = 2,
+    hot_two: np.ndarray | None = None,
+    common: np.ndarray | None = None,
 ) -> DataFrame:
     """Pairs of words (for order 3, with the word before them) of each document, packed by hash part.
 
     Rows: `part`, `base` (number of the chunk's first document), and bytes of
     `contexts` with their `runs`, then for each pair `words`, `befores` (order
-    3), `docs` (place in the chunk) and `counts`. A pair or triple is there once
+    3), `docs` (place in the chunk) and `counts`. Words in the sorted hashes
+    `common` go by three bytes of their place there, others by their hash in
+    `rare` and `rare_befores`. A pair or triple is there once
     for each document that has it, so none has more entries than there are
     documents. Rows without `contexts` stand for the documents: `base`,
     `doc_id`, `n_words`.
@@ -149,6 +186,7 @@ def packed_pairs(
     go by document.
     """
     kind = docs.schema[doc_id].dataType
+    common = np.zeros(0, dtype=np.uint64) if common is None else common
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -161,7 +199,7 @@ def packed_pairs(
             none = pa.nulls(n, pa.binary())
             spread = pa.array((np.arange(base, base + n) % parts).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [spread, pa.array(np.arange(base, base + n)), ids, pa.array(sizes, pa.int64()), *[none] * 6],
+                [spread, pa.array(np.arange(base, base + n)), ids, pa.array(sizes, pa.int64()), *[none] * 8],
                 schema=schema,
             )
             w = np.concatenate(hashes)
@@ -189,11 +227,17 @@ def packed_pairs(
             part, v, w, u, doc = part[at], v[at], w[at], u[at], doc[at].astype(np.uint16)
             heads = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (part[1:] != part[:-1])]))
             runs = np.diff(np.append(heads, len(v))).astype(np.uint32)
-            rows: list[list] = [[] for _ in range(7)]
+            code = coded(common, w)
+            code_before = coded(common, u) if order_n > 2 else code
+            rows: list[list] = [[] for _ in range(9)]
             edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
             for low, high in zip(edges[:-1], edges[1:], strict=True):
                 a, b = np.searchsorted(heads, [low, high])
-                values = (int(part[low]), v[heads[a:b]].tobytes(), runs[a:b].tobytes(), w[low:high].tobytes(), u[low:high].tobytes() if order_n > 2 else None, doc[low:high].tobytes(), counts[low:high].tobytes())
+                here = slice(low, high)
+                values = [int(part[low]), v[heads[a:b]].tobytes(), runs[a:b].tobytes()]
+                values += [planes(code[here]), w[here][code[here] == 0].tobytes()]
+                values += [planes(code_before[here]), u[here][code_before[here] == 0].tobytes()] if order_n > 2 else [None, None]
+                values += [doc[here].tobytes(), counts[here].tobytes()]
                 for column, value in zip(rows, values, strict=True):
                     column.append(value)
             m = len(rows[0])
@@ -206,7 +250,7 @@ def packed_pairs(
         for batch in batches:
             schema = pa.schema(
                 [("part", pa.int32()), ("base", pa.int64()), ("doc_id", batch.column(0).type), ("n_words", pa.int64())]
-                + [(x, pa.binary()) for x in ("contexts", "runs", "words", "befores", "docs", "counts")]
+                + [(x, pa.binary()) for x in PACKED]
             )
             texts = batch.column(1).to_pylist()
             low = 0
@@ -220,7 +264,7 @@ def packed_pairs(
                 number += high - low
                 low = high
 
-    fields = f"part int, base bigint, doc_id {kind.simpleString()}, n_words bigint, contexts binary, runs binary, words binary, befores binary, docs binary, counts binary"
+    fields = f"part int, base bigint, doc_id {kind.simpleString()}, n_words bigint, " + ", ".join(f"{x} binary" for x in PACKED)
     return docs.select(doc_id, text).mapInArrow(run, fields)
 
 
@@ -250,9 +294,12 @@ def scored_part(
     def all_of(name: str, dtype: str) -> np.ndarray:
         return np.frombuffer(b"".join(pairs.column(name).to_pylist()), dtype=dtype)
 
+    def words_of(words: str, rare: str) -> np.ndarray:
+        return decoded(common[0], pairs.column(words).to_pylist(), pairs.column(rare).to_pylist())
+
     v = np.repeat(all_of("contexts", "<u8"), all_of("runs", "<u4"))
-    w = all_of("words", "<u8")
-    u = all_of("befores", "<u8") if order_n > 2 else np.zeros(len(w), dtype=np.uint64)
+    w = words_of("words", "rare")
+    u = words_of("befores", "rare_befores") if order_n > 2 else np.zeros(len(w), dtype=np.uint64)
     lengths = [len(x) // 2 for x in pairs.column("docs").to_pylist()]
     row = np.repeat(pairs.column("base").to_numpy(), lengths) + all_of("docs", "<u2")
     n = all_of("counts", "<u4").astype(np.int64)
@@ -379,7 +426,7 @@ def score(
     parts = max(1, min(30_000, -(-total * order // (2 * PART))))
     kind = docs.schema[doc_id].dataType
     scored = written(
-        packed_pairs(docs, hot[0], parts, doc_id, text, order, hot_two[0] if hot_two else None)
+        packed_pairs(docs, hot[0], parts, doc_id, text, order, hot_two[0] if hot_two else None, common[0])
         .groupBy("part")
         .applyInArrow(
             lambda group: scored_part(group, common, hot, total, alpha, least, order, hot_two),

@@ -82,3 +82,26 @@ def test_triples_back_off_to_pairs_and_words(documents, odd, none, monkeypatch):
     monkeypatch.setattr(backoff, "HOT_SHARE", 2e-3)
     monkeypatch.setattr(backoff, "COMMON_SHARE", 1e-2)
     assert found_triples(documents) == want
+
+
+def test_common_words_take_few_bytes(spark):
+    """Pairs of common words travel by their places in the word table, not by hashes of eight bytes; rare ones stay whole."""
+    import numpy as np
+    import random
+
+    deal = random.Random(3)
+    docs = spark.createDataFrame(
+        [(i, " ".join(f"w{deal.randrange(200)}" for _ in range(2_000)) + f" rare{i}") for i in range(20)], "doc_id int, text string"
+    )
+    words = np.sort(np.unique(backoff.Hasher()([f"w{i}".encode() for i in range(200)])))
+    none = np.zeros(0, dtype=np.uint64)
+
+    def size(*common):
+        rows = backoff.packed_pairs(docs, none, 4, "doc_id", "text", 2, None, *common).filter("words IS NOT NULL").collect()
+        pairs = sum(len(r.docs) // 2 for r in rows)
+        return sum(len(r.words) + len(r.rare) for r in rows) / pairs, rows
+
+    few, rows = size(words)
+    assert few < 3.1 < size()[0]
+    got = np.concatenate([backoff.decoded(words, [r.words], [r.rare]) for r in rows])
+    assert set(got.tolist()) == set(backoff.Hasher()([w for r in docs.collect() for w in backoff.split(r.text)]).tolist())
