@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapewarden.llm import bpe, mixing, neardup, secrets, toxicity
-from tapewarden.llm.common import shared_folder, written
+from tapewarden.llm.common import shared_folder, small_batches, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -19,6 +19,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The scorer learns from `labels` of documents that are not held out. A null
     or empty text has the bias alone and stays.
     """
+    small_batches(spark)
     scorer = toxicity.learnt(spark, sf_dir, docs)
     return toxicity.score(docs, scorer, name="__toxic").filter("__toxic < 0.5").drop("__toxic")
 
@@ -29,6 +30,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Word shingles of five, a Jaccard similarity of 0.8 or more. Documents
     without words are no copies of each other; all of them stay.
     """
+    small_batches(spark)
     groups = neardup.near_duplicates(docs, width=5, percent=80).filter("component IS NOT NULL")
     each = groups.groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "rows"))
@@ -50,6 +52,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each secret in their texts replaced by a mark; `n_chars` follows the text."""
+    small_batches(spark)
     field = secrets.fit(docs)
     cleaned = secrets.redact(docs, field)
     changed = F.length("text").cast(docs.schema["n_chars"].dataType)
@@ -65,6 +68,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document taken: doc_id, source, n_tokens, ids."""
+    small_batches(spark)
     return bpe.encode(docs.select("doc_id", "source", "text")).select(
         "doc_id", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids"
     )

@@ -14,6 +14,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 #: What a contract calls a word: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows that go to a Python worker at once take about so much, a longer text apart.
+BATCH = "1m"
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -64,6 +66,20 @@ def sampled(rows: DataFrame, most: int, *by: str, seed: int = 0) -> DataFrame:
     return rows.filter(seeded(*by, seed=seed) < F.lit(most / there))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let rows go to Python workers in batches of BATCH, from now on in this session.
+
+    A task holds a batch several times: in the JVM, as Arrow, as strings and as
+    results. Spark's own bound is 64 MB or 10,000 rows, and workers keep what
+    they once took. Results do not depend on it, but for the letter model of
+    toxicity, which reads the texts of a batch as one. A session that has a bound
+    of its own keeps it.
+    """
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound, None) is None:
+        spark.conf.set(bound, BATCH)
+
+
 def crc_mod(column: str, by: int) -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(by))
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from tapewarden.llm import bpe, mixing, neardup, secrets, toxicity
@@ -58,3 +59,45 @@ def test_stages_on_odd_rows(spark, odd, none, pipeline):
     stay = dict(pipeline.STAGES)["near_copies"](spark, odd, FOLDER).collect()
     # One of the three rows with equal text; the rows without words all stay.
     assert Counter(r.doc_id for r in stay) == Counter([1, 2, 3, 4, 6, 7, None, 9, 10])
+
+
+BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def largest_batch(session):
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    texts = session.range(0, 10_000, 1, 1).selectExpr("repeat('x', 300) AS text")
+    return texts.mapInArrow(run, "n bigint").agg({"n": "max"}).first()[0]
+
+
+@pytest.mark.parametrize("name", ["toxicity", "near_copies", "secrets", "tokens"])
+def test_python_workers_get_small_batches(spark, pipeline, name):
+    session = spark.newSession()
+    docs = session.read.parquet(f"{FOLDER}/documents.parquet")
+    assert largest_batch(session) > 2 << 20
+    assert dict(pipeline.STAGES)[name](session, docs, FOLDER).count()
+    assert largest_batch(session) < 2 << 20
+
+
+def test_results_do_not_depend_on_batches_and_a_session_keeps_its_bound(spark, documents, pipeline):
+    rows = {}
+    for size in ("64m", "4k"):
+        session = spark.newSession()
+        session.conf.set(BOUND, size)
+        # Many near-copies in one group, so that a group comes in several batches.
+        docs = session.read.parquet(f"{FOLDER}/documents.parquet").filter("doc_id < 400")
+        copies = session.range(150).selectExpr(
+            "id + 5000 AS doc_id",
+            "concat_ws(' ', transform(sequence(1, 300), x -> concat('w', if(x = 7, id, x)))) AS text",
+            "'en' AS lang", "'z' AS source", "length(text) AS n_chars",
+        )
+        docs = docs.select("doc_id", "text", "lang", "source", "n_chars").unionByName(copies)
+        for name, stage in pipeline.STAGES[:3]:
+            docs = stage(session, docs, FOLDER)
+        rows[size] = sorted((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
+        assert session.conf.get(BOUND) == size
+    assert rows["64m"] == rows["4k"]
+    assert sum(i >= 5000 for i, _ in rows["4k"]) == 1
