@@ -36,8 +36,8 @@ def bucket_count(rows: int) -> int:
     return max(1, math.ceil(rows * BITS_PER_ROW / BUCKET_BITS))
 
 
-def repeat_filter(keys: DataFrame, key: str, buckets: int) -> DataFrame:
-    """First pass: the filter of bits that two rows or more have set, as `bucket`, `bits` (4 KB each).
+def repeat_filter(keys: DataFrame, key: str, buckets: int, least: int = 2) -> DataFrame:
+    """First pass: the filter of bits that `least` rows or more have set, as `bucket`, `bits` (4 KB each).
 
     At scale a task sets few of the many bits, so they travel as numbers, added
     up within the task first (a key that a third of the rows share is a pair of
@@ -45,7 +45,7 @@ def repeat_filter(keys: DataFrame, key: str, buckets: int) -> DataFrame:
     """
     one, two = _bits(F.col(key))
     set_bits = keys.select(_bucket(F.col(key), buckets).alias("bucket"), F.explode(F.array(one, two)).alias("bit"))
-    twice = set_bits.groupBy("bucket", "bit").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    twice = set_bits.groupBy("bucket", "bit").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
     return twice.repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 

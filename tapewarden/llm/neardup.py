@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapewarden.llm import exactdup
 from tapewarden.llm.common import documents, shared_folder, written
 
 COORDINATES = 32
@@ -21,6 +22,8 @@ MISS = 1e-6
 CACHED_WORDS = 300_000
 #: Nodes of a block: two blocks are compared in one task.
 BLOCK = 256
+#: Where signatures are compared without the sets, a block has so many times the nodes.
+WIDER = 8
 #: Shingles hashed at once.
 CHUNK = 2_000_000
 
@@ -171,7 +174,12 @@ def matching(pairs: DataFrame, nodes: DataFrame, matches: int, similarity: float
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, width: int, doc_id: str, text: str) -> DataFrame:
-    """`node, shingles` (sorted numbers as bytes) of the given nodes, from the text of one row each."""
+    """`node, shingles` (sorted numbers as bytes) of the given nodes, from the text of one row each.
+
+    A Bloom filter of their ids and hashes, broadcast, keeps the other texts out
+    of the shuffle; a filter that is full at its greatest size lets more of them
+    through.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
@@ -183,9 +191,14 @@ def full_sets(docs: DataFrame, nodes: DataFrame, width: int, doc_id: str, text:
             )
 
     wanted = nodes.select("node", "row.*")
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    most = max(1, exactdup.MOST_FILTER_BYTES * 8 // exactdup.BUCKET_BITS)
+    buckets = min(most, exactdup.bucket_count(wanted.count()))
+    keys = wanted.select(F.xxhash64("doc_id", "text_hash").alias("key"))
+    bitmaps = exactdup.repeat_filter(keys, "key", buckets, least=1)
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).withColumn("hash", F.xxhash64("text"))
     return (
-        rows.withColumn("hash", F.xxhash64("text"))
+        exactdup.probed(rows.withColumn("key", F.xxhash64("id", "hash")), "key", bitmaps, buckets)
+        .filter("__maybe")
         .join(wanted, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")))
         .select("node", "text")
         .dropDuplicates(["node"])
@@ -261,6 +274,69 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def alike(
+    signs: np.ndarray, sizes: np.ndarray, others: np.ndarray, other_sizes: np.ndarray, matches: int, percent: int
+) -> np.ndarray:
+    """For each two of the nodes and the others, whether at least `matches` signature places are equal and sizes allow the similarity."""
+    equal = np.zeros((len(signs), len(others)), dtype=np.uint8)
+    for k in range(signs.shape[1]):
+        equal += signs[:, k, None] == others[None, :, k]
+    fits = 100 * np.minimum(sizes[:, None], other_sizes) >= percent * np.maximum(sizes[:, None], other_sizes)
+    return (equal >= matches) & fits
+
+
+def top(above: list[int], i: int) -> int:
+    """The root of `i`; `above` has the node above each, itself for a root."""
+    while above[i] != i:
+        above[i] = above[above[i]]
+        i = above[i]
+    return i
+
+
+def table_of(found: list[tuple[bytes, bytes]]) -> pa.Table:
+    return pa.table(
+        {
+            "a": pa.array([x for x, _ in found], pa.binary()),
+            "b": pa.array([y for _, y in found], pa.binary()),
+        }
+    )
+
+
+def agreeing(group: pa.Table, matches: int, percent: int) -> pa.Table:
+    """Pairs of a block, or of two, that agree in enough signature places and join nodes of different roots.
+
+    Of pairs that close a circle none is returned.
+    """
+    names = group.column("node").to_pylist()
+    sizes = group.column("n_shingles").to_numpy()
+    block = group.column("block").to_numpy()
+    signs = np.array(group.column("signature").to_pylist(), dtype=np.int64)
+    # The first node of each root stands above the others.
+    first: dict[bytes, int] = {}
+    above = [first.setdefault(x, i) for i, x in enumerate(group.column("root").to_pylist())]
+    root = np.array(above)
+    apart = block.min() != block.max()
+    parts = [x[low : low + BLOCK] for b in np.unique(block) for x in [np.flatnonzero(block == b)] for low in range(0, len(x), BLOCK)]
+    found: list[tuple[bytes, bytes]] = []
+    for n, here in enumerate(parts):
+        for there in parts[n:]:
+            if apart and block[here[0]] == block[there[0]]:
+                continue
+            kept = root[here, None] != root[None, there]
+            if not kept.any():
+                continue
+            kept &= alike(signs[here], sizes[here], signs[there], sizes[there], matches, percent)
+            before = len(found)
+            for i, j in zip(*(x.tolist() for x in np.nonzero(kept)), strict=True):
+                x, y = top(above, int(here[i])), top(above, int(there[j]))
+                if x != y:
+                    above[x] = y
+                    found.append((names[here[i]], names[there[j]]))
+            if len(found) > before:
+                root = np.array([top(above, i) for i in range(len(names))])
+    return table_of(found)
+
+
 def links_of(group: pa.Table, matches: int, percent: int) -> pa.Table:
     """Links among the nodes of a block, or between those of two blocks, that join what is not joined yet.
 
@@ -272,13 +348,9 @@ def links_of(group: pa.Table, matches: int, percent: int) -> pa.Table:
     sizes = group.column("n_shingles").to_numpy()
     block = group.column("block").to_numpy()
     signs = np.array(group.column("signature").to_pylist(), dtype=np.int64)
-    equal = np.zeros((len(names), len(names)), dtype=np.uint8)
-    for k in range(signs.shape[1]):
-        equal += signs[:, k, None] == signs[None, :, k]
-    kept = np.triu(equal >= matches, 1)
+    kept = np.triu(alike(signs, sizes, signs, sizes, matches, percent), 1)
     if block.min() != block.max():
         kept &= block[:, None] != block[None, :]
-    kept &= 100 * np.minimum(sizes[:, None], sizes) >= percent * np.maximum(sizes[:, None], sizes)
     left, right = np.nonzero(kept)
     found: list[tuple[bytes, bytes]] = []
     if len(left):
@@ -294,36 +366,24 @@ def links_of(group: pa.Table, matches: int, percent: int) -> pa.Table:
             common = common_counts(sets)[at[left], at[right]]
         holds = 100 * common >= percent * (sizes[left] + sizes[right] - common)
         above = list(range(len(names)))
-
-        def top(i: int) -> int:
-            while above[i] != i:
-                above[i] = above[above[i]]
-                i = above[i]
-            return i
-
         for i, j in zip(left[holds].tolist(), right[holds].tolist(), strict=True):
-            x, y = top(i), top(j)
+            x, y = top(above, i), top(above, j)
             if x != y:
                 above[x] = y
                 found.append((names[i], names[j]))
-    return pa.table(
-        {
-            "a": pa.array([x for x, _ in found], pa.binary()),
-            "b": pa.array([y for _, y in found], pa.binary()),
-        }
-    )
+    return table_of(found)
 
 
-def block_pairs(members: DataFrame) -> DataFrame:
+def block_pairs(members: DataFrame, size: int) -> DataFrame:
     """`members` (group, node, settled) once for each pair of blocks (`x`, `y`) that has to be compared.
 
-    A group has blocks of about BLOCK nodes by hash, those of settled nodes
+    A group has blocks of about `size` nodes by hash, those of settled nodes
     apart: settled nodes of a group are joined already, so no pair of their
     blocks is compared.
     """
     counts = members.groupBy("group").agg(
-        F.ceil(F.count(F.when(~F.col("settled"), 1)) / BLOCK).cast("int").alias("open_blocks"),
-        F.ceil(F.count(F.when(F.col("settled"), 1)) / BLOCK).cast("int").alias("settled_blocks"),
+        F.ceil(F.count(F.when(~F.col("settled"), 1)) / size).cast("int").alias("open_blocks"),
+        F.ceil(F.count(F.when(F.col("settled"), 1)) / size).cast("int").alias("settled_blocks"),
     )
     turn = F.xxhash64("node")
     block = F.when(
@@ -342,6 +402,40 @@ def block_pairs(members: DataFrame) -> DataFrame:
     )
 
 
+def open_lists(posted: DataFrame, roots: DataFrame, size: int) -> DataFrame:
+    """Members (group, node, root, settled) of the posting lists in which some nodes are not joined yet.
+
+    The pair of a list of two is the one of its middle. Of lists with the same
+    nodes one stays. In a list of more than `size` nodes those of its most
+    frequent root are settled.
+    """
+    placed = (
+        posted.select(F.col("element").alias("group"), "node")
+        .join(roots, "node", "left")
+        .withColumn("root", F.coalesce("root", "node"))
+    )
+    # Two hashes of 64 bits tell sets of nodes apart.
+    same = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"same_{k}") for k in (0, 1)]
+    lists = (
+        placed.groupBy("group", "root")
+        .agg(F.count(F.lit(1)).alias("n"), *same)
+        .groupBy("group")
+        .agg(
+            F.sum("n").alias("n"),
+            F.count(F.lit(1)).alias("roots"),
+            F.max(F.struct("n", "root"))["root"].alias("main"),
+            *[F.bit_xor(f"same_{k}").alias(f"same_{k}") for k in (0, 1)],
+        )
+        .filter("n > 2 AND roots > 1")
+        .groupBy("n", "same_0", "same_1")
+        .agg(F.min(F.struct("group", "main")).alias("x"))
+        .select("n", "x.*")
+    )
+    return placed.join(lists, "group").select(
+        "group", "node", "root", ((F.col("n") > size) & (F.col("root") == F.col("main"))).alias("settled")
+    )
+
+
 def linked(
     docs: DataFrame,
     signed: DataFrame,
@@ -354,10 +448,14 @@ def linked(
 ) -> DataFrame | None:
     """`node, root` of the nodes that are linked with others; None if there are none.
 
-    Nodes that share posting lists, directly or through others, form groups;
-    each link is within one. A group of up to BLOCK nodes is compared in one
-    task. In a larger one every node is first compared with the middles of its
-    lists, whose elements are the most shared. What that joins to the group's
+    Signatures first: each node of a posting list is compared with the middle,
+    whose elements are the most shared; lists that this does not join are
+    compared by pairs of blocks. Nodes whose signatures agree, directly or
+    through others, form groups; each link is within one. Nodes that only share
+    lists by chance, which join more of a corpus the larger it is, form none.
+
+    Then full sets, of the nodes of groups only. A group of up to BLOCK nodes is
+    compared in one task. In a larger one what the middles join to the group's
     largest component is settled; the rest is compared with everything, by
     pairs of blocks. A task returns a forest of links, never all pairs.
     """
@@ -385,16 +483,32 @@ def linked(
     )
     if spokes.isEmpty():
         return None
-    groups = components(spokes, f"{folder}/groups").withColumnRenamed("root", "group")
-    busy = nodes.join(groups, "node")
+    met = spokes.select(F.col("a").alias("node")).union(spokes.select("b")).distinct()
+    signs = written(nodes.join(met, "node"), f"{folder}/signs")
+    near = written(matching(spokes, signs, matches, similarity), f"{folder}/near")
+    roots = components(near, f"{folder}/near-roots")
+    wide = WIDER * BLOCK
+    more = written(
+        block_pairs(open_lists(posted, roots, wide), wide)
+        .join(signs.select("node", "n_shingles", "signature"), "node")
+        .groupBy("group", "x", "y")
+        .applyInArrow(lambda group: agreeing(group, matches, percent), "a binary, b binary"),
+        f"{folder}/more",
+    )
+    if not more.isEmpty():
+        roots = components(near.union(more), f"{folder}/groups")
+    groups = roots.withColumnRenamed("root", "group")
+    if groups.isEmpty():
+        return None
+    busy = signs.join(groups, "node")
     sets = written(full_sets(docs, busy, width, doc_id, text), f"{folder}/sets")
     large = written(groups.groupBy("group").count().filter(F.col("count") > BLOCK), f"{folder}/large")
     members = busy.select("group", "node", "n_shingles", "signature").withColumn("settled", F.lit(False))
     edges = None
     if not large.isEmpty():
         in_large = groups.join(large.select("group"), "group", "left_semi")
-        pairs = spokes.join(in_large, spokes["a"] == in_large["node"], "left_semi")
-        edges = written(confirmed(matching(pairs, nodes, matches, similarity), sets, percent), f"{folder}/edges-1")
+        pairs = near.join(in_large, near["a"] == in_large["node"], "left_semi")
+        edges = written(confirmed(pairs, sets, percent), f"{folder}/edges-1")
         roots = components(edges, f"{folder}/first")
         placed = in_large.join(roots, "node")
         main = (
@@ -406,7 +520,7 @@ def linked(
         settled = placed.join(main, "group").filter("root = main").select("node", F.lit(True).alias("joined"))
         members = members.join(settled, "node", "left").withColumn("settled", F.coalesce("joined", F.lit(False))).drop("joined")
     found = written(
-        block_pairs(members)
+        block_pairs(members, BLOCK)
         .join(sets, "node")
         .groupBy("group", "x", "y")
         .applyInArrow(lambda group: links_of(group, matches, percent), "a binary, b binary"),

@@ -105,3 +105,76 @@ def test_common_counts_and_forest():
         "shingles": pa.array([same.tobytes()] * n, pa.binary()),
     })
     assert neardup.links_of(group, 17, 85).num_rows == n - 1
+
+
+def test_lists_larger_than_a_block(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 2)
+    monkeypatch.setattr(neardup, "WIDER", 3)
+    rows = copies(100, 3)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert found(docs, 3, 85) == plain_components(rows, 3, 85)
+
+
+def chain(n, seed):
+    """Texts that share a passage with the one before and another with the one after, and a copy of each thirtieth."""
+    draw = random.Random(seed)
+    words = lambda k: ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(k)]
+    passages = [words(30) for _ in range(n + 1)]
+    texts = [passages[k] + words(15) + passages[k + 1] for k in range(n)]
+    texts += [[*texts[k], "end"] for k in range(0, n, 30)]
+    return [(k, " ".join(t)) for k, t in enumerate(texts)]
+
+
+def test_texts_that_only_share_passages_are_not_compared_by_blocks(spark, monkeypatch):
+    compared, with_sets = [], []
+    pairs, sets = neardup.block_pairs, neardup.full_sets
+
+    def block_pairs(*given):
+        compared.append((out := pairs(*given)).count())
+        return out
+
+    def full_sets(docs, nodes, *given):
+        with_sets.append(nodes.count())
+        return sets(docs, nodes, *given)
+
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    monkeypatch.setattr(neardup, "block_pairs", block_pairs)
+    monkeypatch.setattr(neardup, "full_sets", full_sets)
+    rows = chain(300, 4)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert found(docs, 3, 85) == plain_components(rows, 3, 85)
+    assert sum(compared) <= 2 * len(rows)
+    assert sum(with_sets) <= len(rows) / 4
+
+
+def test_agreeing_joins_different_roots_only():
+    def table(roots, blocks):
+        n = len(roots)
+        return pa.table({
+            "node": pa.array([bytes([k]) for k in range(n)], pa.binary()), "root": pa.array(roots, pa.binary()),
+            "n_shingles": pa.array([50] * n, pa.int64()), "block": pa.array(blocks, pa.int32()),
+            "signature": pa.array([[1] * 32] * (n - 1) + [[2] * 32], pa.list_(pa.int64())),
+        })
+
+    def joined(roots, blocks):
+        return neardup.agreeing(table(roots, blocks), 16, 85).num_rows
+
+    n = 600
+    own = [k.to_bytes(2, "big") for k in range(n)]
+    small = own[:40]
+    assert joined(small, [0] * 40) == 38
+    assert joined([b"x"] * 40, [0] * 40) == 0
+    assert joined([b"x"] * 20 + small[20:], [0] * 40) == 19
+    assert joined(small, [0] * 20 + [1] * 20) == 38
+    assert joined([b"x"] * 20 + [b"y"] * 20, [0] * 20 + [1] * 20) == 1
+
+
+def test_full_sets_of_the_wanted_rows(spark, monkeypatch):
+    rows = [(k, f"word{k} and more of it {k % 7}") for k in range(400)] + [(None, "no id here at all"), (3, "word3 and more of it 3")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    signed = neardup.sign(docs, 3, 32, "doc_id", "text")
+    nodes = signed.filter("doc_id IS NULL OR doc_id < 5").selectExpr("node", "struct(doc_id, text_hash) AS row").distinct()
+    got = neardup.full_sets(docs, nodes, 3, "doc_id", "text").collect()
+    shingler = neardup.Shingler(3)
+    assert sorted(bytes(r.node) for r in got) == sorted(bytes(r.node) for r in nodes.collect())
+    assert {bytes(r.shingles) for r in got} == {shingler(t).tobytes() for d, t in rows if d is None or d < 5}
