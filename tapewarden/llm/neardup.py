@@ -508,7 +508,8 @@ def linked(
     if not large.isEmpty():
         in_large = groups.join(large.select("group"), "group", "left_semi")
         pairs = near.join(in_large, near["a"] == in_large["node"], "left_semi")
-        edges = written(confirmed(pairs, sets, percent), f"{folder}/edges-1")
+        of_large = sets.join(in_large.select("node"), "node", "left_semi")
+        edges = written(confirmed(pairs, of_large, percent), f"{folder}/edges-1")
         roots = components(edges, f"{folder}/first")
         placed = in_large.join(roots, "node")
         main = (
